@@ -116,9 +116,20 @@ def salted_join(
 
 
 def dimension_join(
-    fact: DataFrame, dimension: DataFrame, keys: list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+    fact: DataFrame,
+    dimension: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    null_safe: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Join a fact to a dimension: broadcast if the measured size allows it, else salted shuffle."""
-    if fits_broadcast(dimension, max_rows):
-        return fact.join(F.broadcast(dimension), keys, how)
-    return salted_join(fact, dimension, keys, how)
+    """Join a fact to a dimension: broadcast if the measured size allows it, else a salted shuffle.
+
+    Result: all fact columns, then the dimension columns that are not keys.
+    """
+    if not fits_broadcast(dimension, max_rows):
+        return salted_join(fact, dimension, keys, how, null_safe, rows_per_split)
+    payload = [name for name in dimension.columns if name not in keys]
+    lookup = F.broadcast(dimension.select(*_prefixed(keys, "_right_"), *payload))
+    return fact.join(lookup, _equal(keys, "_right_", null_safe), how).select(*fact.columns, *payload)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from climate_lake.functions.joins import BROADCAST_ROWS, fits_broadcast, salted_join
+from climate_lake.functions.joins import BROADCAST_ROWS, dimension_join
 from climate_lake.session import materialise
 
 # A sketch of this accuracy misplaces a value by at most 1/ACCURACY of the rows.
@@ -62,15 +62,7 @@ def exact_quantiles(
         ),
         "quantile-brackets",
     )
-    if fits_broadcast(brackets, broadcast_rows):
-        renamed = brackets.select(*[F.col(g).alias(f"_g_{g}") for g in group], "n", "brackets")
-        match = F.lit(True)
-        for g in group:
-            match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        paired = rows.join(F.broadcast(renamed), match).select(*group, "v", "n", "brackets")
-    else:
-        paired = salted_join(rows, brackets, group, null_safe=True)
-
+    paired = dimension_join(rows, brackets, group, null_safe=True, max_rows=broadcast_rows)
     target = [*group, "n", "probability"]
     counts = (
         paired.select(*group, "n", "v", F.inline("brackets"))

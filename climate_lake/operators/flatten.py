@@ -32,6 +32,21 @@ def _place(name: Column) -> list[Column]:
     ]
 
 
+def _arrays(pad_missing: bool) -> list[Column]:
+    """The parallel daily arrays under their observation names; ``pad_missing`` makes absent measures empty."""
+    measures = [
+        (F.coalesce(F.col(f"daily.{name}"), F.array().cast("array<double>")) if pad_missing else F.col(f"daily.{name}"))
+        .alias(column)
+        for name, column in DAILY_MEASURES.items()
+    ]
+    return [F.col(f"daily.{DAILY_TIME}").alias("date"), *measures]
+
+
+def _zipped() -> Column:
+    """Array of day entries; shorter arrays are padded with NULL."""
+    return F.arrays_zip("date", *DAILY_MEASURES.values())
+
+
 def flatten_daily(documents: DataFrame, lenient: bool = False) -> DataFrame:
     """One row per position of the parallel daily arrays; ``date`` stays text.
 
@@ -39,26 +54,10 @@ def flatten_daily(documents: DataFrame, lenient: bool = False) -> DataFrame:
     rows, unless ``lenient``, which treats a NULL measure array as empty. Rows
     without city or date are dropped.
     """
-    def array(name: str, column: str) -> Column:
-        source = F.col(f"daily.{name}")
-        if lenient and name != DAILY_TIME:
-            source = F.coalesce(source, F.array().cast("array<double>"))
-        return source.alias(column)
-
-    named = {DAILY_TIME: "date", **DAILY_MEASURES}
-    arrays = documents.select(
-        *_place(F.col("city_info.name")),
-        *[array(name, column) for name, column in named.items()],
-        "ingestion_timestamp",
-        "data_source",
-    )
+    place = _place(F.col("city_info.name"))
+    arrays = documents.select(*place, *_arrays(lenient), "ingestion_timestamp", "data_source")
     days = arrays.select(
-        "city_name",
-        "latitude",
-        "longitude",
-        F.inline(F.arrays_zip(*named.values())),
-        "ingestion_timestamp",
-        "data_source",
+        "city_name", "latitude", "longitude", F.inline(_zipped()), "ingestion_timestamp", "data_source"
     )
     return days.filter(all_present("city_name", "date"))
 
@@ -67,21 +66,20 @@ def flatten_for_export(documents: DataFrame) -> DataFrame:
     """Flat export rows: a day counts if the maximum temperature array reaches it.
 
     Other measures are looked up by position and are NULL beyond their array;
-    an absent city or source gets its default name. ``temp_avg`` needs both
-    extremes.
+    an absent city or source gets its default name, and a day without readable
+    date is dropped. ``temp_avg`` needs both extremes.
     """
-    def at_position(name: str, column: str) -> Column:
-        return F.get(F.col(f"daily.{name}"), F.col("pos")).alias(column)
-
-    days = (
-        documents.select("*", F.posexplode(F.col(f"daily.{DAILY_TIME}")).alias("pos", "day"))
-        .filter(F.col("pos") < F.size("daily.temperature_2m_max"))
-        .select(
-            *_place(F.coalesce(F.col("city_info.name"), F.lit(UNKNOWN_CITY))),
-            to_date("day").alias("date"),
-            *[at_position(name, column) for name, column in DAILY_MEASURES.items()],
-            "ingestion_timestamp",
-            F.coalesce("data_source", F.lit(DEFAULT_DATA_SOURCE)).alias("data_source"),
-        )
+    place = _place(F.coalesce("city_info.name", F.lit(UNKNOWN_CITY)))
+    source = F.coalesce("data_source", F.lit(DEFAULT_DATA_SOURCE)).alias("data_source")
+    arrays = documents.select(*place, *_arrays(pad_missing=True), "ingestion_timestamp", source)
+    reached = F.least(F.size("date"), F.size("temp_max"))
+    days = arrays.select(
+        "city_name",
+        "latitude",
+        "longitude",
+        F.inline(F.slice(_zipped(), F.lit(1), reached)),
+        "ingestion_timestamp",
+        "data_source",
     )
-    return days.filter(F.col("date").isNotNull()).withColumn("temp_avg", midpoint()).select(*EXPORT_COLUMNS)
+    dated = days.withColumn("date", to_date("date")).filter(F.col("date").isNotNull())
+    return dated.withColumn("temp_avg", midpoint()).select(*EXPORT_COLUMNS)

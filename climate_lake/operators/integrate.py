@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 
 from climate_lake.constants import COORDINATE_TOLERANCE
 from climate_lake.functions.columns import with_optional
-from climate_lake.functions.joins import BROADCAST_ROWS, ROWS_PER_SPLIT, fits_broadcast, salted_join
+from climate_lake.functions.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    ROWS_PER_SPLIT,
+    dimension_join,
+    fits_broadcast,
+    salted_join,
+)
 from climate_lake.schemas import STATION_ATTRIBUTES
 from climate_lake.session import materialise
 
 # Cells a little wider than the tolerance: two coordinates closer than the
 # tolerance lie in the same or in adjacent cells, rounding included.
 CELL = COORDINATE_TOLERANCE * 1.1
+# A station is listed in its own cell and the eight around it.
+CELL_COPIES = 9
 LOCATION = ["city_name", "latitude", "longitude"]
 
 
@@ -40,7 +49,8 @@ def without_stations(observations: DataFrame) -> DataFrame:
 def integrate_stations(
     observations: DataFrame,
     stations: DataFrame | None,
-    broadcast_rows: int = BROADCAST_ROWS // 5,
+    broadcast_rows: int = BROADCAST_ROWS,
+    match_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Left join on ``city = city_name`` or both coordinates closer than the tolerance.
@@ -59,9 +69,9 @@ def integrate_stations(
         F.col("longitude").alias("station_longitude"),
         F.struct(*STATION_ATTRIBUTES).alias("station"),
     )
-    if fits_broadcast(slim, broadcast_rows):
+    if fits_broadcast(slim, broadcast_rows // CELL_COPIES, BROADCAST_BYTES // CELL_COPIES):
         return _with_lookup(observations, slim)
-    return _with_shuffle(observations, slim, rows_per_split)
+    return _with_locations(observations, slim, match_rows, rows_per_split)
 
 
 def _by_cell(stations: DataFrame) -> DataFrame:
@@ -111,8 +121,14 @@ def _with_lookup(observations: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def _with_shuffle(observations: DataFrame, stations: DataFrame, rows_per_split: int) -> DataFrame:
-    """Many stations: match distinct locations first, then join the matches to the observations."""
+def _with_locations(
+    observations: DataFrame, stations: DataFrame, match_rows: int, rows_per_split: int
+) -> DataFrame:
+    """Many stations: match distinct locations first, then join the matches to the observations.
+
+    The matches are written out, so their size is known: they are broadcast if
+    they are few, otherwise joined by a salted shuffle.
+    """
     locations = (
         observations.select(*LOCATION)
         .distinct()
@@ -132,6 +148,6 @@ def _with_shuffle(observations: DataFrame, stations: DataFrame, rows_per_split:
     )
     wanted = [*LOCATION, "station.*"]
     matches = materialise(same_city.select(*wanted).unionByName(nearby.select(*wanted)), "station-matches")
-    return salted_join(
-        observations, matches, LOCATION, how="left", null_safe=True, rows_per_split=rows_per_split
+    return dimension_join(
+        observations, matches, LOCATION, "left", null_safe=True, max_rows=match_rows, rows_per_split=rows_per_split
     )

@@ -225,7 +225,7 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     write_table(monthly(spark, sf), lake, "temperature_trends_monthly")
     database = "climate_" + lake.root.rsplit("-", 1)[-1]
     catalog.register_tables(spark, lake, database)
-    catalog.repair_partitions(spark, database)
+    catalog.repair_partitions(spark, lake, database)
     return spark.sql(
         f"select year, count(*) as months, round(max(max_temperature), 6) as max_temperature "
         f"from {database}.temperature_trends_monthly group by year"
@@ -254,6 +254,9 @@ def queries() -> dict[str, Query]:
         "integrate_stations_large": lambda s, sf: integrate_stations(
             weather(s, sf), stations(s, sf), broadcast_rows=0
         ),
+        "integrate_stations_shuffled": lambda s, sf: integrate_stations(
+            weather(s, sf), stations(s, sf), broadcast_rows=0, match_rows=0, rows_per_split=10_000
+        ),
         "integrate_no_stations": lambda s, sf: without_stations(weather(s, sf)),
         # relational extracts
         "active_stations": lambda s, sf: relational.active_stations(stations(s, sf)),

@@ -15,6 +15,21 @@ SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
+# Input of one task, and shuffle data of one reducer, that fit executor memory well.
+SCAN_TASK_BYTES = 256 * 1024 * 1024
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Partition sizes for a run over ``input_bytes``; adaptive execution merges partitions that stay small."""
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_TASK_BYTES)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(SCAN_TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
+    }
+
 
 def get_session(app_name: str = "climate_lake", **overrides: str) -> SparkSession:
     """A session with adaptive execution on; master and sizes come from the submitter."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from climate_lake.schemas import TABLES, Table
-from climate_lake.sources.tables import LakePaths
+from climate_lake.sources.tables import LakePaths, read_table_if_present
 
 
 def _quoted(name: str) -> str:
@@ -32,9 +32,13 @@ def register_tables(spark: SparkSession, paths: LakePaths, database: str = "clim
     return names
 
 
-def repair_partitions(spark: SparkSession, database: str = "climate") -> list[str]:
-    """Make the partitions found in the folders known to the catalog."""
-    names = [table.name for table in TABLES.values() if table.in_catalog and table.partitions]
+def repair_partitions(spark: SparkSession, paths: LakePaths, database: str = "climate") -> list[str]:
+    """Make the partitions found in the folders known to the catalog; tables not written yet are passed over."""
+    names = [
+        table.name
+        for table in TABLES.values()
+        if table.in_catalog and table.partitions and read_table_if_present(spark, paths, table.name) is not None
+    ]
     for name in names:
         spark.sql(f"MSCK REPAIR TABLE {_quoted(database)}.{_quoted(name)}")
     return names

@@ -7,6 +7,7 @@ from collections import Counter
 from datetime import date, datetime
 
 import duckdb
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
@@ -27,14 +28,17 @@ def _rows(columns: dict[str, list]) -> Counter:
     return Counter(tuple(_plain(value) for value in row) for row in zip(*[columns[name] for name in names]))
 
 
+def _read(table: pa.Table) -> tuple[list[str], Counter]:
+    types = sorted(f"{field.name} {str(field.type).removeprefix('large_')}" for field in table.schema)
+    return types, _rows(table.to_pydict())
+
+
 def spark_rows(df: DataFrame) -> tuple[list[str], Counter]:
-    columns = df.toArrow().to_pydict()
-    return sorted(columns), _rows(columns)
+    return _read(df.toArrow())
 
 
 def duck_rows(connection: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], Counter]:
-    columns = connection.sql(sql).to_arrow_table().to_pydict()
-    return sorted(columns), _rows(columns)
+    return _read(connection.sql(sql).to_arrow_table())
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+
+from climate_lake.session import get_session
+from climate_lake.sources.tables import LakePaths
+from tests import compare
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = get_session(
+        "tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "6g",
+        },
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def duck():
+    return compare.connect(SF_DIR)
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return LakePaths(str(tmp_path / "lake"))
+
+
+@pytest.fixture
+def plan():
+    def text(df) -> str:
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        return out.getvalue()
+
+    return text
+
+
+@pytest.fixture
+def rows():
+    """Rows as sorted tuples."""
+    def collect(df):
+        return sorted((tuple(row) for row in df.collect()), key=repr)
+
+    return collect
