@@ -16,22 +16,23 @@ MARGIN = 5.0 / ACCURACY
 SMALL_GROUP = 100_000
 
 
-def _bracket(probability: float, small_group: int) -> Column:
-    """Values between which the quantile is certain to lie."""
-    low, high = F.min("v"), F.max("v")
-    small = F.count("*") <= small_group
+def _brackets(probabilities: list[float], small_group: int) -> Column:
+    """For each quantile, two values between which it is certain to lie. One sketch answers them all."""
+    low, high, small = F.min("v"), F.max("v"), F.count("*") <= small_group
+    probes = sorted({min(max(p + shift, 0.0), 1.0) for p in probabilities for shift in (-MARGIN, MARGIN)})
+    estimates = F.percentile_approx("v", probes, ACCURACY)
 
-    def inner(at: float, end: Column) -> Column:
-        return F.when(small, end).otherwise(F.percentile_approx("v", at, ACCURACY))
+    def bracket(p: float) -> Column:
+        if p <= 0:
+            start = end = low
+        elif p >= 1:
+            start = end = high
+        else:
+            start = low if p <= MARGIN else F.when(small, low).otherwise(estimates[probes.index(p - MARGIN)])
+            end = high if p >= 1 - MARGIN else F.when(small, high).otherwise(estimates[probes.index(p + MARGIN)])
+        return F.struct(F.lit(p).alias("probability"), start.alias("start"), end.alias("end"))
 
-    if probability <= 0:
-        start = end = low
-    elif probability >= 1:
-        start = end = high
-    else:
-        start = inner(probability - MARGIN, low) if probability > MARGIN else low
-        end = inner(probability + MARGIN, high) if probability < 1 - MARGIN else high
-    return F.struct(F.lit(float(probability)).alias("probability"), start.alias("start"), end.alias("end"))
+    return F.array(*[bracket(float(p)) for p in probabilities])
 
 
 def exact_quantiles(
@@ -58,7 +59,7 @@ def exact_quantiles(
     brackets = materialise(
         rows.groupBy(*group).agg(
             F.count("*").alias("n"),
-            F.array(*[_bracket(p, small_group) for p in sorted(set(probabilities))]).alias("brackets"),
+            _brackets(sorted(set(probabilities)), small_group).alias("brackets"),
         ),
         "quantile-brackets",
     )

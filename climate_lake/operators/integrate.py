@@ -7,22 +7,13 @@ from pyspark.sql import functions as F
 
 from climate_lake.constants import COORDINATE_TOLERANCE
 from climate_lake.functions.columns import with_optional
-from climate_lake.functions.joins import (
-    BROADCAST_BYTES,
-    BROADCAST_ROWS,
-    ROWS_PER_SPLIT,
-    dimension_join,
-    fits_broadcast,
-    salted_join,
-)
+from climate_lake.functions.joins import BROADCAST_ROWS, ROWS_PER_SPLIT, dimension_join
 from climate_lake.schemas import STATION_ATTRIBUTES
 from climate_lake.session import materialise
 
 # Cells a little wider than the tolerance: two coordinates closer than the
 # tolerance lie in the same or in adjacent cells, rounding included.
 CELL = COORDINATE_TOLERANCE * 1.1
-# A station is listed in its own cell and the eight around it.
-CELL_COPIES = 9
 LOCATION = ["city_name", "latitude", "longitude"]
 
 
@@ -35,119 +26,77 @@ def _nearby_cells(coordinate: str) -> Column:
     return F.array_distinct(F.array(cell - 1, cell, cell + 1))
 
 
-def _close(latitude: Column, longitude: Column) -> Column:
-    return (F.abs(F.col("latitude") - latitude) < COORDINATE_TOLERANCE) & (
-        F.abs(F.col("longitude") - longitude) < COORDINATE_TOLERANCE
-    )
-
-
 def without_stations(observations: DataFrame) -> DataFrame:
     """The joined layout when no station table can be read."""
     return with_optional(observations, STATION_ATTRIBUTES)
 
 
-def integrate_stations(
-    observations: DataFrame,
-    stations: DataFrame | None,
+def station_matches(
+    locations: DataFrame,
+    stations: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
-    match_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Left join on ``city = city_name`` or both coordinates closer than the tolerance.
+    """Station attributes per distinct location, one row per matching station.
 
-    Every matching station gives a row (duplicate stations included), an
-    observation without match keeps one row with NULL attributes. Neither form
-    below is a nested loop: the proximity leg is an equi-join on grid cells
-    with the exact test on top, and it skips pairs the city leg already found,
-    so nothing has to be de-duplicated.
+    A station matches by city name, or if both coordinates are closer than the
+    tolerance. Both legs are equi-joins: the proximity leg joins grid cells,
+    with the exact test on top, and leaves out the pairs the city leg has
+    found, so a station that matches both ways appears once and duplicate
+    station rows stay apart without any de-duplication.
     """
-    if stations is None:
-        return without_stations(observations)
     slim = stations.select(
         F.col("city").alias("station_city"),
         F.col("latitude").alias("station_latitude"),
         F.col("longitude").alias("station_longitude"),
-        F.struct(*STATION_ATTRIBUTES).alias("station"),
+        *STATION_ATTRIBUTES,
     )
-    if fits_broadcast(slim, broadcast_rows // CELL_COPIES, BROADCAST_BYTES // CELL_COPIES):
-        return _with_lookup(observations, slim)
-    return _with_locations(observations, slim, match_rows, rows_per_split)
 
+    def matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        return dimension_join(left, right, keys, max_rows=broadcast_rows, rows_per_split=rows_per_split)
 
-def _by_cell(stations: DataFrame) -> DataFrame:
-    return stations.withColumn("lat_cell", F.explode(_nearby_cells("station_latitude"))).withColumn(
-        "lon_cell", F.explode(_nearby_cells("station_longitude"))
+    same_city = matched(
+        locations.withColumn("station_city", F.col("city_name")), slim.filter(F.col("station_city").isNotNull()),
+        ["station_city"],
     )
-
-
-def _with_lookup(observations: DataFrame, stations: DataFrame) -> DataFrame:
-    """Few stations: two broadcast lookups, observations are read once and never shuffled.
-
-    The arrays below are bounded by the station table, which was measured.
-    """
-    city_lookup = (
-        stations.filter(F.col("station_city").isNotNull())
-        .groupBy("station_city")
-        .agg(F.collect_list("station").alias("in_city"))
+    spread = slim.withColumn("lat_cell", F.explode(_nearby_cells("station_latitude"))).withColumn(
+        "lon_cell", F.explode(_nearby_cells("station_longitude"))
     )
-    cell_lookup = (
-        _by_cell(stations)
-        .groupBy("lat_cell", "lon_cell")
-        .agg(
-            F.collect_list(
-                F.struct("station_city", "station_latitude", "station_longitude", "station")
-            ).alias("in_cell")
-        )
+    celled = locations.withColumns({"lat_cell": _cell("latitude"), "lon_cell": _cell("longitude")})
+    close = (F.abs(F.col("latitude") - F.col("station_latitude")) < COORDINATE_TOLERANCE) & (
+        F.abs(F.col("longitude") - F.col("station_longitude")) < COORDINATE_TOLERANCE
     )
+    found_by_city = F.coalesce(F.col("city_name") == F.col("station_city"), F.lit(False))
+    nearby = matched(celled, spread, ["lat_cell", "lon_cell"]).filter(close & ~found_by_city)
 
-    def near_only(candidate: Column) -> Column:
-        other_city = ~F.coalesce(candidate["station_city"] == F.col("city_name"), F.lit(False))
-        return _close(candidate["station_latitude"], candidate["station_longitude"]) & other_city
-
-    none = F.array().cast(city_lookup.schema["in_city"].dataType)
-    near = F.transform(F.filter("in_cell", near_only), lambda candidate: candidate["station"])
-    matched = F.concat(F.coalesce("in_city", none), F.coalesce(near, none))
-    probed = (
-        observations.withColumns({"_lat_cell": _cell("latitude"), "_lon_cell": _cell("longitude")})
-        .join(F.broadcast(city_lookup), F.col("city_name") == F.col("station_city"), "left")
-        .join(
-            F.broadcast(cell_lookup),
-            (F.col("_lat_cell") == F.col("lat_cell")) & (F.col("_lon_cell") == F.col("lon_cell")),
-            "left",
-        )
-    )
-    return probed.select(*observations.columns, F.explode_outer(matched).alias("station")).select(
-        *observations.columns, "station.*"
-    )
+    wanted = [*LOCATION, *STATION_ATTRIBUTES]
+    return same_city.select(*wanted).unionByName(nearby.select(*wanted))
 
 
-def _with_locations(
-    observations: DataFrame, stations: DataFrame, match_rows: int, rows_per_split: int
+def integrate_stations(
+    observations: DataFrame,
+    stations: DataFrame | None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Many stations: match distinct locations first, then join the matches to the observations.
+    """Left join of observations to stations by city or proximity.
 
-    The matches are written out, so their size is known: they are broadcast if
-    they are few, otherwise joined by a salted shuffle.
+    Every matching station gives a row (duplicate stations included), an
+    observation without match keeps one row with NULL attributes.
+
+    Stations are matched to the distinct locations, a narrow scan that mostly
+    collapses before its shuffle; it is written out because both legs of the
+    match read it. So are the matches, whose size is then known: usually they
+    are broadcast and the observations are not shuffled, too many of them are
+    joined by a salted shuffle.
     """
-    locations = (
-        observations.select(*LOCATION)
-        .distinct()
-        .withColumns({"lat_cell": _cell("latitude"), "lon_cell": _cell("longitude")})
-    )
-    same_city = salted_join(
-        locations.withColumnRenamed("city_name", "station_city"),
-        stations,
-        ["station_city"],
-        rows_per_split=rows_per_split,
-    ).withColumnRenamed("station_city", "city_name")
-    nearby = salted_join(
-        locations, _by_cell(stations), ["lat_cell", "lon_cell"], rows_per_split=rows_per_split
-    ).filter(
-        _close(F.col("station_latitude"), F.col("station_longitude"))
-        & ~F.coalesce(F.col("station_city") == F.col("city_name"), F.lit(False))
+    if stations is None:
+        return without_stations(observations)
+    locations = materialise(observations.select(*LOCATION).distinct(), "locations")
+    matches = materialise(
+        station_matches(locations, stations, broadcast_rows, rows_per_split), "station-matches"
     )
-    wanted = [*LOCATION, "station.*"]
-    matches = materialise(same_city.select(*wanted).unionByName(nearby.select(*wanted)), "station-matches")
     return dimension_join(
-        observations, matches, LOCATION, "left", null_safe=True, max_rows=match_rows, rows_per_split=rows_per_split
+        observations, matches, LOCATION, "left", null_safe=True, max_rows=broadcast_rows,
+        rows_per_split=rows_per_split,
     )

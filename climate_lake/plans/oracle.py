@@ -321,7 +321,6 @@ def oracle_sql() -> dict[str, str]:
         "thresholds_clean": _sql(THRESHOLD_PARTS, flat_all.format("thresholds")),
         "integrate_stations": integrated,
         "integrate_stations_large": integrated,
-        "integrate_stations_shuffled": integrated,
         "integrate_no_stations": _sql(
             WEATHER,
             "select *, cast(null as varchar) as station_id, cast(null as varchar) as station_name, "

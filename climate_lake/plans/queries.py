@@ -252,10 +252,7 @@ def queries() -> dict[str, Query]:
         "thresholds_clean": thresholds,
         "integrate_stations": integrated,
         "integrate_stations_large": lambda s, sf: integrate_stations(
-            weather(s, sf), stations(s, sf), broadcast_rows=0
-        ),
-        "integrate_stations_shuffled": lambda s, sf: integrate_stations(
-            weather(s, sf), stations(s, sf), broadcast_rows=0, match_rows=0, rows_per_split=10_000
+            weather(s, sf), stations(s, sf), broadcast_rows=0, rows_per_split=10_000
         ),
         "integrate_no_stations": lambda s, sf: without_stations(weather(s, sf)),
         # relational extracts

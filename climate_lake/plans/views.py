@@ -101,33 +101,43 @@ select user_id as run,
 from {events}
 """
 
+
+
+def _daily(element: str, days: str = "1 + l.l_linenumber % 3") -> str:
+    """SQL array of ``element`` for the days 0 to 2 (written ``#``), cut to the number of ``days``."""
+    return f"slice(array({', '.join(element.replace('#', str(day)) for day in range(3))}), 1, {days})"
+
+
 # One API document per line item: one to three days, with short arrays, NULL
 # elements, absent arrays, absent names and unreadable dates mixed in.
-DOCUMENTS = """
+_TIME = _daily(
+    "case when (l.l_orderkey + #) % 503 = 0 then 'n/a' "
+    "else cast(date_add(cast(l.l_shipdate as date), #) as string) end"
+)
+_MAX = _daily(
+    "case when (l.l_partkey + #) % 97 = 0 then null else l.l_quantity * 0.5 + n.n_nationkey + # * 0.5 end",
+    "case when l.l_linenumber = 6 then 0 else 1 + l.l_linenumber % 3 end",
+)
+_MIN = _daily(
+    "l.l_quantity * 0.5 + n.n_nationkey - 2 * l.l_linenumber + # * 0.25",
+    "case when l.l_linenumber = 7 then 1 else 1 + l.l_linenumber % 3 end",
+)
+DOCUMENTS = f"""
 select named_struct(
          'name', case when l.l_orderkey % 211 = 0 then null else n.n_name end,
          'lat', cast(n.n_nationkey as double),
          'lon', cast(-n.n_nationkey as double)) as city_info,
        named_struct(
-         'time', transform(sequence(0, l.l_linenumber % 3), i ->
-           case when (l.l_orderkey + i) % 503 = 0 then 'n/a'
-                else cast(date_add(cast(l.l_shipdate as date), i) as string) end),
-         'temperature_2m_max', case when l.l_linenumber = 6 then cast(array() as array<double>)
-           else transform(sequence(0, l.l_linenumber % 3), i ->
-             case when (l.l_partkey + i) % 97 = 0 then null
-                  else l.l_quantity * 0.5 + n.n_nationkey + i * 0.5 end) end,
-         'temperature_2m_min', transform(
-           case when l.l_linenumber = 7 then array(0) else sequence(0, l.l_linenumber % 3) end,
-           i -> l.l_quantity * 0.5 + n.n_nationkey - 2 * l.l_linenumber + i * 0.25),
-         'precipitation_sum', case when l.l_partkey % 89 = 0 then null
-           else transform(sequence(0, l.l_linenumber % 3), i -> l.l_discount * 1000 + i) end,
-         'windspeed_10m_max', transform(sequence(0, l.l_linenumber % 3), i -> l.l_tax * 1000 + i),
-         'relative_humidity_2m_mean', transform(sequence(0, l.l_linenumber % 3), i ->
-           cast(l.l_partkey % 101 as double))) as daily,
+         'time', {_TIME},
+         'temperature_2m_max', {_MAX},
+         'temperature_2m_min', {_MIN},
+         'precipitation_sum', case when l.l_partkey % 89 = 0 then null else {_daily("l.l_discount * 1000 + #")} end,
+         'windspeed_10m_max', {_daily("l.l_tax * 1000 + #")},
+         'relative_humidity_2m_mean', {_daily("cast(l.l_partkey % 101 as double)")}) as daily,
        concat(cast(cast(l.l_shipdate as date) as string), 'T0', cast(l.l_linenumber as string), ':00:00')
          as ingestion_timestamp,
        case when l.l_quantity = 13 then null else l.l_returnflag end as data_source
-from {lineitem} l join {nation} n on l.l_suppkey % 25 = n.n_nationkey
+from {{lineitem}} l join {{nation}} n on l.l_suppkey % 25 = n.n_nationkey
 """
 
 

@@ -9,9 +9,8 @@ from climate_lake.operators.integrate import integrate_stations
 from climate_lake.schemas import RAW_STATIONS
 
 FORMS = {
-    "lookup": {},
-    "locations": {"broadcast_rows": 0},
-    "shuffle": {"broadcast_rows": 0, "match_rows": 0, "rows_per_split": 20},
+    "broadcast": {},
+    "shuffle": {"broadcast_rows": 0, "rows_per_split": 20},
 }
 OBSERVED = "city_name string, latitude double, longitude double, temp_max double"
 
@@ -105,7 +104,7 @@ def test_absent_station_table(spark):
     assert tuple(joined.first())[4:] == (None,) * 4
 
 
-def test_few_stations_need_no_shuffle_of_observations(spark, plan):
+def test_few_matches_need_no_shuffle_of_observations(spark, plan):
     observations = spark.range(1000).selectExpr(
         "cast(id as string) as city_name", "id * 0.01d as latitude", "id * 0.02d as longitude", "2d as temp_max"
     )
