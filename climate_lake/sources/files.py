@@ -11,14 +11,22 @@ FILE = "path string, length bigint"
 
 
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
-    """Path and length of every file below the folders; contents are not read, absent folders are empty."""
+    """Path and length of the files below the folders; contents are not read, absent folders are empty.
+
+    A scan passes over files of length zero. They are listed only for a folder
+    without any other file, which is where they matter; an inventory of the
+    store with ``path`` and ``length`` can be used instead.
+    """
     def one(folder: str) -> DataFrame:
         try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-            return files.select("path", "length")
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], FILE)
+        files = found.select("path", "length")
+        if files.isEmpty():
+            return spark.createDataFrame([(name, 0) for name in found.inputFiles()], FILE)
+        return files
 
     return reduce(DataFrame.unionByName, [one(folder) for folder in folders])

@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+
+from climate_lake.constants import SAMPLE_CITIES
+from climate_lake.operators.explore import city_stats, export_metadata, quick_stats, value_counts
+from climate_lake.operators.flatten import EXPORT_COLUMNS
+from climate_lake.schemas import RAW_DOCUMENT, RAW_EVENTS, RAW_STATIONS
+from climate_lake.sinks.tables import land_documents, land_table, write_table, write_table_if_any
+from climate_lake.sources import relational
+from climate_lake.sources.files import list_files
+from climate_lake.sources.raw import read_documents, read_snapshots
+from climate_lake.sources.sample import sample_observations
+from climate_lake.sources.tables import empty_table, first_non_empty, read_table, read_table_if_present, read_weather
+from tests.test_flatten import document
+
+
+def put(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text, encoding="utf-8")
+
+
+STATION = {
+    "station_id": "S1", "station_name": "One", "latitude": 1.0, "longitude": 2.0, "elevation": 3, "city": "Cali",
+    "department": "Valle", "country": "CO", "installation_date": "2020-01-01", "station_type": "urban",
+    "status": "active",
+}
+
+
+def test_documents_at_any_depth(spark, tmp_path):
+    raw = tmp_path / "raw"
+    pretty = json.dumps(document(), indent=2, ensure_ascii=False)
+    put(raw / "weather-api/bogota/2025/06/01", "weather_data_205540.json", pretty)
+    put(raw / "weather-api/bogota/2025/06/01/20", "weather_data.json", pretty)
+    put(raw / "weather-api/bogota/2025/06/01/20", "notes.json", pretty)
+    put(raw / "weather-api/bogota/2025/06/02/20", "part-0.json", json.dumps(document()) + "\n" + json.dumps(document()))
+    documents = read_documents(spark, str(raw))
+    assert documents.schema == RAW_DOCUMENT
+    assert documents.count() == 4
+    assert {row.city_info.name for row in documents.collect()} == {"Bogotá"}
+    assert documents.first().daily.relative_humidity_2m_mean == [80.0, 81.0, 82.0]
+
+
+def test_absent_raw_zone_is_empty(spark, tmp_path):
+    assert read_documents(spark, str(tmp_path / "nothing")).count() == 0
+    stations = read_snapshots(spark, str(tmp_path / "nothing"), "weather_stations", latest=True)
+    assert stations.schema == RAW_STATIONS and stations.count() == 0
+
+
+def test_other_read_errors_are_raised(spark, tmp_path):
+    with pytest.raises(Exception, match="unknown-scheme"):
+        read_documents(spark, "unknown-scheme://x")
+
+
+def test_snapshots_all_or_latest(spark, tmp_path):
+    folder = tmp_path / "raw/database/weather_stations"
+    put(folder / "2025/06/01", "weather_stations_data_151153.json", json.dumps([STATION, STATION]))
+    put(folder / "2025/06/01", "weather_stations_data_205546.json", json.dumps([{**STATION, "station_id": "S2"}]))
+    put(folder / "2025/06/01/19", "weather_stations_data.json", json.dumps([{**STATION, "station_id": "S3"}]))
+    everything = read_snapshots(spark, str(tmp_path / "raw"), "weather_stations")
+    assert sorted(row.station_id for row in everything.collect()) == ["S1", "S1", "S2", "S3"]
+    latest = read_snapshots(spark, str(tmp_path / "raw"), "weather_stations", latest=True)
+    assert [row.station_id for row in latest.collect()] == ["S2"]
+    put(folder / "2025/06/02/01", "part-0.json", json.dumps({**STATION, "station_id": "S4"}))
+    put(folder / "2025/06/02/01", "part-1.json", json.dumps({**STATION, "station_id": "S5"}))
+    latest = read_snapshots(spark, str(tmp_path / "raw"), "weather_stations", latest=True)
+    assert sorted(row.station_id for row in latest.collect()) == ["S4", "S5"]
+
+
+def test_bare_nan_in_thresholds(spark, tmp_path):
+    from climate_lake.operators.cleaning import clean_thresholds
+
+    text = (
+        '[{"threshold_id": 13, "station_id": "S1", "parameter_name": "t", "min_value": NaN, "max_value": 25.0, '
+        '"alert_level": "warning", "notification_enabled": 1, "station_name": "One", "city": "Cali"}]'
+    )
+    put(tmp_path / "raw/database/weather_thresholds/2025/06/01", "weather_thresholds_data_205548.json", text)
+    row = clean_thresholds(read_snapshots(spark, str(tmp_path / "raw"), "weather_thresholds")).first()
+    assert (row.threshold_id, row.min_value, row.max_value) == (13, None, 25.0)
+
+
+def test_landing_and_reading_back(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    documents = spark.createDataFrame(
+        [(("Bogotá", 4.6, -74.0), (["2025-06-01"], [1.0], [1.0], [1.0], [1.0], [1.0]), "2025-06-01T01", "api")] * 2,
+        RAW_DOCUMENT,
+    )
+    land_documents(documents, raw, datetime(2025, 6, 1, 20))
+    assert (tmp_path / "raw/weather-api/2025/06/01/20").is_dir()
+    assert read_documents(spark, raw).collect() == documents.collect()
+    stations = spark.createDataFrame([tuple(STATION.values())], RAW_STATIONS)
+    land_table(stations, raw, "weather_stations", datetime(2025, 6, 1, 20))
+    land_table(stations, raw, "weather_stations", datetime(2025, 6, 1, 20))
+    assert read_snapshots(spark, raw, "weather_stations").collect() == stations.collect()
+
+
+def test_fallback_source(spark, lake):
+    assert read_weather(spark, lake).count() == 0
+    basic = spark.createDataFrame(
+        [("Cali", 1.0, 2.0, date(2025, 6, 1), 30.0, 20.0, 0.0, 1.0, 50.0, "t", "api", 25.0, 2025, 6)],
+        empty_table(spark, "weather_data").schema,
+    )
+    write_table(basic, lake, "weather_data")
+    assert read_weather(spark, lake).collect() == basic.collect()
+    write_table(empty_table(spark, "integrated_weather_data"), lake, "integrated_weather_data")
+    assert read_table(spark, lake, "integrated_weather_data").count() == 0
+    assert read_weather(spark, lake).collect() == basic.collect()
+    assert first_non_empty(spark.range(2), spark.range(3)).count() == 2
+
+
+def test_guarded_write_keeps_old_table(spark, lake):
+    thresholds = spark.createDataFrame(
+        [(1, "S1", "t", 1.0, 2.0, "info", 1, "One", "Cali")], empty_table(spark, "weather_thresholds").schema
+    )
+    assert not write_table_if_any(thresholds.filter("false"), lake, "weather_thresholds")
+    assert read_table_if_present(spark, lake, "weather_thresholds") is None
+    assert write_table_if_any(thresholds, lake, "weather_thresholds")
+    assert not write_table_if_any(thresholds.filter("false"), lake, "weather_thresholds")
+    assert read_table(spark, lake, "weather_thresholds").count() == 1
+
+
+@pytest.mark.parametrize(
+    ("as_of", "expected"),
+    [(date(2024, 3, 31), [31, 15, 1]), (datetime(2024, 3, 31, 10), [31, 15]), (date(2024, 3, 14), [1])],
+)
+def test_recent_events(spark, as_of, expected):
+    events = spark.createDataFrame(
+        [(n, "S1", "storm", date(2024, 3, n), "low", None, None, 1.0, 2, None, None, None) for n in (1, 15, 31)]
+        + [(99, "unknown", "storm", date(2024, 3, 31), "low", None, None, 1.0, 2, None, None, None)],
+        ", ".join(f"{f.name} {'date' if f.name == 'event_date' else f.dataType.simpleString()}" for f in RAW_EVENTS),
+    )
+    stations = spark.createDataFrame([tuple(STATION.values())], RAW_STATIONS)
+    result = relational.recent_events(events, stations, as_of)
+    assert [row.event_date.day for row in result.collect()] == expected
+    assert result.columns[-3:] == ["station_name", "city", "department"]
+
+
+def test_active_stations(spark):
+    rows = [tuple({**STATION, "status": status}.values()) for status in ("active", "inactive", "maintenance", None)]
+    assert relational.active_stations(spark.createDataFrame(rows, RAW_STATIONS)).count() == 1
+
+
+def test_enabled_thresholds_take_booleans(spark):
+    stations = spark.createDataFrame([tuple(STATION.values())], RAW_STATIONS)
+    columns = "threshold_id int, station_id string, parameter_name string, min_value double, max_value double, alert_level string, notification_enabled boolean"
+    thresholds = spark.createDataFrame(
+        [(1, "S1", "t", 1.0, 2.0, "info", True), (2, "S1", "t", 1.0, 2.0, "info", False)], columns
+    )
+    assert [row.threshold_id for row in relational.enabled_thresholds(thresholds, stations).collect()] == [1]
+
+
+def test_list_files(spark, tmp_path):
+    put(tmp_path / "a/b", "one.json", "12345")
+    put(tmp_path / "a", "two.json", "")
+    put(tmp_path / "empty", "three.json", "")
+    files = list_files(spark, *[str(tmp_path / name) for name in ("a", "empty", "absent")])
+    got = {row.path.rsplit("/", 1)[-1]: row.length for row in files.collect()}
+    assert got == {"one.json": 5, "three.json": 0}
+
+
+def test_sample_observations(spark):
+    sample = sample_observations(spark, datetime(2025, 6, 1), days=200)
+    assert sample.columns == EXPORT_COLUMNS
+    assert sample.count() == 5 * 200
+    assert sample.filter("precipitation < 0 or wind_speed < 0").count() == 0
+    assert sample.collect() == sample_observations(spark, datetime(2025, 6, 1), days=200).collect()
+    means = {row.city_name: row.temp_avg for row in city_stats(sample).collect()}
+    for name, _, _, base in SAMPLE_CITIES:
+        assert abs(means[name] - (base + 3)) < 1
+    assert [row["count"] for row in value_counts(sample).collect()] == [200] * 5
+    assert quick_stats(sample).first().total_precipitation == pytest.approx(5 * 1000, rel=0.2)
+    sections = export_metadata(sample, datetime(2025, 6, 1), "sample").groupBy("section").count()
+    assert {row.section: row["count"] for row in sections.collect()} == {
+        "total_records": 1, "date_range.start": 1, "date_range.end": 1, "export_timestamp": 1, "source": 1,
+        "variable": 12, "city": 5,
+    }

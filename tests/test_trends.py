@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import pytest
+
+from climate_lake.functions.columns import ExtremeLimits
+from climate_lake.operators import trends
+
+MEASURED = (
+    "city_name string, year int, month int, temp_avg double, temp_max double, temp_min double, "
+    "precipitation double, humidity double, wind_speed double"
+)
+
+
+@pytest.fixture
+def weather(spark):
+    def build(*rows, schema=MEASURED):
+        return spark.createDataFrame(list(rows), schema)
+
+    return build
+
+
+def one(temp_max=None, temp_min=None, rain=None, wind=None, temp_avg=20.0, city="Cali", year=2025):
+    return (city, year, 6, temp_avg, temp_max, temp_min, rain, 50.0, wind)
+
+
+@pytest.mark.parametrize(
+    ("row", "label"),
+    [
+        (one(temp_max=40.0), "extreme_heat"),
+        (one(temp_min=-5.0), "extreme_cold"),
+        (one(rain=80.0), "heavy_rain"),
+        (one(wind=70.0), "strong_winds"),
+        (one(temp_max=40.0, temp_min=1.0), "extreme_cold"),
+        (one(temp_max=40.0, temp_min=1.0, rain=51.0), "heavy_rain"),
+        (one(temp_max=40.0, temp_min=1.0, rain=51.0, wind=61.0), "strong_winds"),
+        (one(temp_max=40.0, rain=50.0, wind=None), "extreme_heat"),
+    ],
+)
+def test_event_label(weather, row, label):
+    assert [r.event_type for r in trends.extreme_rows(weather(row)).collect()] == [label]
+
+
+def test_limits_are_strict(weather):
+    assert trends.extreme_rows(weather(one(35.0, 5.0, 50.0, 60.0), one())).count() == 0
+
+
+def test_limits_are_parameters(weather):
+    frame = weather(one(temp_min=3.0))
+    assert trends.extreme_rows(frame).count() == 1
+    assert trends.extreme_rows(frame, ExtremeLimits(cold=0.0)).count() == 0
+
+
+def test_rules_of_absent_measures_are_left_out(weather):
+    frame = weather(one(temp_max=40.0, wind=70.0)).drop("wind_speed", "precipitation")
+    row = trends.extreme_summary(frame).first()
+    assert (row.event_type, row.event_count, row.max_wind_speed, row.max_precipitation) == (
+        "extreme_heat", 1, None, None,
+    )
+    with pytest.raises(ValueError):
+        trends.extreme_rows(frame.select("city_name"))
+
+
+def test_monthly_skips_rows_without_key_or_mean(weather):
+    frame = weather(
+        one(30.0, 10.0, 1.0, 5.0, temp_avg=20.0),
+        one(32.0, 12.0, None, 5.0, temp_avg=22.0),
+        one(32.0, temp_avg=None),
+        one(32.0, city=None),
+        one(32.0, year=None),
+    )
+    (row,) = trends.monthly_trends(frame).collect()
+    assert row.asDict() == {
+        "city_name": "Cali", "year": 2025, "month": 6, "avg_temperature": 21.0, "data_points": 2,
+        "max_temperature": 32.0, "min_temperature": 10.0, "avg_precipitation": 1.0, "avg_humidity": 50.0,
+    }
+
+
+def test_monthly_needs_mean_temperature(weather):
+    with pytest.raises(ValueError, match="temp_avg"):
+        trends.monthly_trends(weather(one()).drop("temp_avg"))
+
+
+@pytest.mark.parametrize(
+    ("temp", "rain", "category"),
+    [
+        (26.0, 1001.0, "tropical"),
+        (26.0, 1000.0, "temperate"),
+        (26.0, 499.0, "arid"),
+        (21.0, 500.0, "temperate"),
+        (14.9, 100.0, "cold"),
+        (15.0, 100.0, "temperate"),
+        (None, 100.0, "temperate"),
+        (26.0, None, "temperate"),
+        (10.0, None, "cold"),
+    ],
+)
+def test_climate_category(weather, temp, rain, category):
+    assert trends.annual_summary(weather(one(rain=rain, temp_avg=temp))).first().climate_category == category
+
+
+def test_category_is_unknown_without_rain_column(weather):
+    row = trends.annual_summary(weather(one(), one()).drop("precipitation")).first()
+    assert (row.climate_category, row.annual_precipitation, row.total_measurements) == ("unknown", None, 2)
+
+
+def test_empty_input_gives_empty_tables(weather):
+    empty = weather(one()).filter("false")
+    for table in (trends.monthly_trends, trends.extreme_summary, trends.annual_summary):
+        assert table(empty).count() == 0
