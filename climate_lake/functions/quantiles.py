@@ -8,31 +8,31 @@ from pyspark.sql import functions as F
 from climate_lake.functions.joins import BROADCAST_ROWS, dimension_join
 from climate_lake.session import materialise
 
-# A sketch of this accuracy misplaces a value by at most 1/ACCURACY of the rows.
-ACCURACY = 10_000
-# Half width of the bracket around a quantile: several times that error.
-MARGIN = 5.0 / ACCURACY
-# Groups up to this size are bracketed by their minimum and maximum.
+# A sketch of this accuracy misplaces a value by at most 1/ACCURACY of the rows,
+# a tenth of one grid step.
+GRID = 1_000
+ACCURACY = 10 * GRID
+# A bracket is up to this share of the rows it was drawn from.
+BRACKET_SHARE = 3 / GRID
+# Groups up to this size are not narrowed down.
 SMALL_GROUP = 100_000
+# Values that may be ordered in one task.
+MAX_ORDERED = 1_000_000
 
 
-def _brackets(probabilities: list[float], small_group: int) -> Column:
-    """For each quantile, two values between which it is certain to lie. One sketch answers them all."""
-    low, high, small = F.min("v"), F.max("v"), F.count("*") <= small_group
-    probes = sorted({min(max(p + shift, 0.0), 1.0) for p in probabilities for shift in (-MARGIN, MARGIN)})
-    estimates = F.percentile_approx("v", probes, ACCURACY)
+def _grid() -> Column:
+    """Values at GRID equal steps through the group, from one mergeable sketch."""
+    return F.percentile_approx("v", [step / GRID for step in range(GRID + 1)], ACCURACY)
 
-    def bracket(p: float) -> Column:
-        if p <= 0:
-            start = end = low
-        elif p >= 1:
-            start = end = high
-        else:
-            start = low if p <= MARGIN else F.when(small, low).otherwise(estimates[probes.index(p - MARGIN)])
-            end = high if p >= 1 - MARGIN else F.when(small, high).otherwise(estimates[probes.index(p + MARGIN)])
-        return F.struct(F.lit(p).alias("probability"), start.alias("start"), end.alias("end"))
 
-    return F.array(*[bracket(float(p)) for p in probabilities])
+def _narrowed(rank: Column, size: Column, low: Column, high: Column, small_group: int) -> list[Column]:
+    """``start`` and ``end`` around ``rank``: a grid step further out on each side than the rank lies."""
+    step = F.floor(rank / F.greatest(size - 1, F.lit(1)) * GRID).cast("int")
+    small = size <= small_group
+    return [
+        F.when(small | (step < 1), low).otherwise(F.get("grid", step - 1)).alias("start"),
+        F.when(small | (step > GRID - 2), high).otherwise(F.get("grid", step + 2)).alias("end"),
+    ]
 
 
 def exact_quantiles(
@@ -41,45 +41,67 @@ def exact_quantiles(
     value: str,
     probabilities: list[float],
     small_group: int = SMALL_GROUP,
+    max_ordered: int = MAX_ORDERED,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles: columns of ``group``, ``probability``, ``quantile``.
 
-    The first pass counts each group and brackets every quantile with a
-    mergeable sketch; its result, one row per group, is written out. The second
-    pass turns everything below a bracket into one count and counts repeated
-    values inside it, all before the shuffle. Only the distinct values inside a
-    bracket, about a thousandth of a large group, are ordered in one task.
+    A first pass counts each group and brackets every quantile between two
+    values of a sketch, about a thousandth of a large group apart. Where that
+    is still too much, the bracket is narrowed again. The last pass turns
+    everything below a bracket into one count and counts repeated values
+    inside it, all before the shuffle; only the distinct values inside a
+    bracket are ordered in one task. Brackets, one row per group and
+    probability, are written out, so their size is known when they are joined.
 
     NULL and NaN are ignored; a group without values gives no rows.
     """
     rows = df.select(*group, F.col(value).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    brackets = materialise(
-        rows.groupBy(*group).agg(
-            F.count("*").alias("n"),
-            _brackets(sorted(set(probabilities)), small_group).alias("brackets"),
-        ),
-        "quantile-brackets",
+    target = [*group, "probability", "rank"]
+
+    def bracketed(brackets: DataFrame) -> DataFrame:
+        """Each row with the brackets it is not above; ``v`` is NULL where it lies below."""
+        by_group = brackets.groupBy(*group).agg(
+            F.collect_list(F.struct("probability", "rank", "start", "end")).alias("brackets")
+        )
+        paired = dimension_join(rows, by_group, group, null_safe=True, max_rows=broadcast_rows)
+        return (
+            paired.select(*group, "v", F.inline("brackets"))
+            .filter(F.col("v") <= F.col("end"))
+            .withColumn("v", F.when(F.col("v") >= F.col("start"), F.col("v")))
+        )
+
+    low, high, size = F.col("low"), F.col("high"), F.col("size")
+    wanted = F.array(*[F.lit(float(p)) for p in sorted(set(probabilities))])
+    groups = rows.groupBy(*group).agg(
+        F.count("*").alias("size"), F.min("v").alias("low"), F.max("v").alias("high"), _grid().alias("grid")
     )
-    paired = dimension_join(rows, brackets, group, null_safe=True, max_rows=broadcast_rows)
-    target = [*group, "n", "probability"]
-    counts = (
-        paired.select(*group, "n", "v", F.inline("brackets"))
-        .filter(F.col("v") <= F.col("end"))
-        .withColumn("v", F.when(F.col("v") >= F.col("start"), F.col("v")))
-        .groupBy(*target, "v")
-        .agg(F.count("*").alias("c"))
+    ranked = groups.select("*", F.explode(wanted).alias("probability")).withColumn(
+        "rank", F.col("probability") * (size - 1)
     )
+    brackets = materialise(
+        ranked.select(*target, "size", *_narrowed(F.col("rank"), size, low, high, small_group)), "brackets"
+    )
+    largest = (brackets.agg(F.max("size")).first()[0] or 0) * BRACKET_SHARE
+    while largest > max_ordered:
+        inside = bracketed(brackets).groupBy(*target, "start", "end").agg(
+            F.count("v").alias("size"), F.count_if(F.col("v").isNull()).alias("below"), _grid().alias("grid")
+        )
+        rank = F.col("rank") - F.col("below")
+        start_end = _narrowed(rank, size, F.col("start"), F.col("end"), small_group)
+        brackets = materialise(inside.select(*target, *start_end), "brackets")
+        largest *= BRACKET_SHARE
+
+    counts = bracketed(brackets).groupBy(*target, "v").agg(F.count("*").alias("c"))
     upto = Window.partitionBy(*target).orderBy(F.asc_nulls_first("v"))
-    rank = F.col("probability") * (F.col("n") - 1)
-    reached = counts.withColumn("reached", F.sum("c").over(upto)).withColumn("rank", rank)
+    reached = counts.withColumn("reached", F.sum("c").over(upto))
 
     def order_statistic(at: Column) -> Column:
         return F.min(F.when(F.col("reached") > at, F.col("v")))
 
-    picked = reached.groupBy(*target, "rank").agg(
+    picked = reached.groupBy(*target).agg(
         F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("reached"))), F.lit(0)).alias("below"),
         order_statistic(F.floor("rank")).alias("lower"),
         order_statistic(F.ceil("rank")).alias("upper"),

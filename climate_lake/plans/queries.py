@@ -14,7 +14,7 @@ from climate_lake.operators import cleaning, climatology, explore, model, qualit
 from climate_lake.operators.flatten import flatten_daily, flatten_for_export
 from climate_lake.operators.integrate import integrate_stations, without_stations
 from climate_lake.plans import views as V
-from climate_lake.session import work_path
+from climate_lake.session import materialise, work_path
 from climate_lake.sinks import catalog
 from climate_lake.sinks.tables import land_documents, land_table, write_csv, write_json, write_table, write_table_if_any
 from climate_lake.sources import relational
@@ -234,7 +234,7 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 def forest_rmse(spark: SparkSession, sf: str) -> DataFrame:
     """Root mean square error of the temperature model on held-out days."""
-    training, test = model.split(model.model_rows(integrated(spark, sf)))
+    training, test = model.split(materialise(model.model_rows(integrated(spark, sf)), "model-rows"))
     error = model.evaluate(model.train(training), test)
     return spark.createDataFrame([("temperature", error)], "model string, rmse double")
 

@@ -30,11 +30,17 @@ def frame(spark):
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
-# With a small limit, the large groups are bracketed by the sketch.
-@pytest.mark.parametrize("small_group", [1_000, 100_000])
-def test_equals_numpy(frame, small_group, broadcast_rows):
+# With a small limit, the large groups are narrowed down once, or several times.
+@pytest.mark.parametrize("small_group, max_ordered", [(100_000, 10**6), (2_000, 10**6), (2_000, 0.01)])
+def test_equals_numpy(frame, small_group, max_ordered, broadcast_rows):
     result = exact_quantiles(
-        frame, ["name"], "value", PROBABILITIES, small_group=small_group, broadcast_rows=broadcast_rows
+        frame,
+        ["name"],
+        "value",
+        PROBABILITIES,
+        small_group=small_group,
+        max_ordered=max_ordered,
+        broadcast_rows=broadcast_rows,
     )
     got = {(row["name"], row["probability"]): row["quantile"] for row in result.collect()}
     assert len(got) == len(groups()) * len(PROBABILITIES)
