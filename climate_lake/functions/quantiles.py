@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,102 +16,136 @@ GRID = 1_000
 ACCURACY = 10 * GRID
 # A bracket is up to this share of the rows it was drawn from.
 BRACKET_SHARE = 3 / GRID
-# Groups up to this size are not narrowed down.
-SMALL_GROUP = 100_000
-# Values that may be ordered in one task.
+# Groups up to this size are not narrowed down; above it a grid step is many rows wide.
+SMALL_GROUP = 10_000
+# Values of one bracket that may be ordered in one task.
 MAX_ORDERED = 1_000_000
 
 
-def _grid() -> Column:
-    """Values at GRID equal steps through the group, from one mergeable sketch."""
-    return F.percentile_approx("v", [step / GRID for step in range(GRID + 1)], ACCURACY)
+def _grid(values: Column) -> Column:
+    """Values at GRID equal steps through the rows, from one mergeable sketch."""
+    return F.percentile_approx(values, [step / GRID for step in range(GRID + 1)], ACCURACY)
 
 
-def _narrowed(rank: Column, size: Column, low: Column, high: Column, small_group: int) -> list[Column]:
-    """``start`` and ``end`` around ``rank``: a grid step further out on each side than the rank lies."""
+def _bracket(
+    rank: Column, size: Column, grid: Column, low: Column, high: Column, small_group: int
+) -> tuple[Column, Column]:
+    """Start and end around ``rank``: a grid step further out on each side than the rank lies."""
     step = F.floor(rank / F.greatest(size - 1, F.lit(1)) * GRID).cast("int")
     small = size <= small_group
-    return [
-        F.when(small | (step < 1), low).otherwise(F.get("grid", step - 1)).alias("start"),
-        F.when(small | (step > GRID - 2), high).otherwise(F.get("grid", step + 2)).alias("end"),
-    ]
+    start = F.when(small | (step < 1), low).otherwise(F.get(grid, step - 1))
+    end = F.when(small | (step > GRID - 2), high).otherwise(F.get(grid, step + 2))
+    return start, end
 
 
 def exact_quantiles(
     df: DataFrame,
     group: list[str],
     value: str,
-    probabilities: list[float],
+    names: Mapping[float, str],
     small_group: int = SMALL_GROUP,
     max_ordered: int = MAX_ORDERED,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Linearly interpolated quantiles: columns of ``group``, ``probability``, ``quantile``.
+    """Linearly interpolated quantiles, one row per group, ``names`` giving a column per probability.
 
     A first pass counts each group and brackets every quantile between two
-    values of a sketch, about a thousandth of a large group apart. Where that
-    is still too much, the bracket is narrowed again. The last pass turns
-    everything below a bracket into one count and counts repeated values
-    inside it, all before the shuffle; only the distinct values inside a
-    bracket are ordered in one task. Brackets, one row per group and
-    probability, are written out, so their size is known when they are joined.
-
-    NULL and NaN are ignored; a group without values gives no rows.
+    values of a sketch, a few thousandths of a large group apart. Where that is
+    still too much, brackets are narrowed again. The last pass replaces every
+    value outside the brackets by the start of the next one above, and counts
+    equal values before the shuffle, so that only the distinct values inside
+    brackets are ordered in one task. Brackets, one row per group, are written
+    out, so their size is known when they are joined.
+
+    NULL and NaN are ignored; a group without values gives no row.
     """
+    probabilities = sorted(names)
+    indices = range(len(probabilities))
     rows = df.select(*group, F.col(value).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    target = [*group, "probability", "rank"]
 
-    def bracketed(brackets: DataFrame) -> DataFrame:
-        """Each row with the brackets it is not above; ``v`` is NULL where it lies below."""
-        by_group = brackets.groupBy(*group).agg(
-            F.collect_list(F.struct("probability", "rank", "start", "end")).alias("brackets")
-        )
-        paired = dimension_join(rows, by_group, group, null_safe=True, max_rows=broadcast_rows)
-        return (
-            paired.select(*group, "v", F.inline("brackets"))
-            .filter(F.col("v") <= F.col("end"))
-            .withColumn("v", F.when(F.col("v") >= F.col("start"), F.col("v")))
-        )
+    def start(i: int) -> Column:
+        return F.col(f"start_{i}")
+
+    def end(i: int) -> Column:
+        return F.col(f"end_{i}")
+
+    def rank(i: int) -> Column:
+        return F.lit(float(probabilities[i])) * (F.col("n") - 1)
+
+    def inside(i: int) -> Column:
+        return F.col("v").between(start(i), end(i))
+
+    def with_brackets(brackets: DataFrame) -> DataFrame:
+        return dimension_join(rows, brackets, group, null_safe=True, max_rows=broadcast_rows)
 
-    low, high, size = F.col("low"), F.col("high"), F.col("size")
-    wanted = F.array(*[F.lit(float(p)) for p in sorted(set(probabilities))])
     groups = rows.groupBy(*group).agg(
-        F.count("*").alias("size"), F.min("v").alias("low"), F.max("v").alias("high"), _grid().alias("grid")
-    )
-    ranked = groups.select("*", F.explode(wanted).alias("probability")).withColumn(
-        "rank", F.col("probability") * (size - 1)
-    )
-    brackets = materialise(
-        ranked.select(*target, "size", *_narrowed(F.col("rank"), size, low, high, small_group)), "brackets"
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), _grid(F.col("v")).alias("grid")
     )
-    largest = (brackets.agg(F.max("size")).first()[0] or 0) * BRACKET_SHARE
-    while largest > max_ordered:
-        inside = bracketed(brackets).groupBy(*target, "start", "end").agg(
-            F.count("v").alias("size"), F.count_if(F.col("v").isNull()).alias("below"), _grid().alias("grid")
+    ends = {}
+    for i in indices:
+        ends[f"start_{i}"], ends[f"end_{i}"] = _bracket(
+            rank(i), F.col("n"), F.col("grid"), F.col("low"), F.col("high"), small_group
         )
-        rank = F.col("rank") - F.col("below")
-        start_end = _narrowed(rank, size, F.col("start"), F.col("end"), small_group)
-        brackets = materialise(inside.select(*target, *start_end), "brackets")
-        largest *= BRACKET_SHARE
-
-    counts = bracketed(brackets).groupBy(*target, "v").agg(F.count("*").alias("c"))
-    upto = Window.partitionBy(*target).orderBy(F.asc_nulls_first("v"))
-    reached = counts.withColumn("reached", F.sum("c").over(upto))
+    columns = [*group, "n", *ends]
+    brackets = materialise(groups.withColumns(ends).select(*columns), "brackets")
+
+    expected = (brackets.agg(F.max("n")).first()[0] or 0) * BRACKET_SHARE
+    while expected > max_ordered:
+        counted = [
+            aggregate
+            for i in indices
+            for aggregate in (
+                F.count_if(F.col("v") < start(i)).alias(f"below_{i}"),
+                F.count_if(inside(i)).alias(f"size_{i}"),
+                _grid(F.when(inside(i), F.col("v"))).alias(f"grid_{i}"),
+            )
+        ]
+        measured = with_brackets(brackets).groupBy(*columns).agg(*counted)
+        for i in indices:
+            ends[f"start_{i}"], ends[f"end_{i}"] = _bracket(
+                rank(i) - F.col(f"below_{i}"), F.col(f"size_{i}"), F.col(f"grid_{i}"), start(i), end(i), small_group
+            )
+        brackets = materialise(measured.withColumns(ends).select(*columns), "brackets")
+        expected *= BRACKET_SHARE
+
+    kept = F.lit(False)
+    following = []
+    for i in indices:
+        kept = kept | inside(i)
+        following.append(F.when(F.col("v") < start(i), start(i)))
+    # least() passes over NULL; a value above all brackets becomes NULL and is dropped.
+    outside = F.least(*following) if len(following) > 1 else following[0]
+    placed = (
+        with_brackets(brackets)
+        .select(*group, "n", kept.alias("kept"), F.when(kept, F.col("v")).otherwise(outside).alias("v"))
+        .filter(F.col("v").isNotNull())
+        .groupBy(*group, "n", "v", "kept")
+        .agg(F.count("*").alias("c"))
+    )
+    # Counts of the values outside come right before the bracket they precede.
+    upto = Window.partitionBy(*group).orderBy("v", "kept")
+    reached = placed.withColumn("reached", F.sum("c").over(upto))
 
     def order_statistic(at: Column) -> Column:
-        return F.min(F.when(F.col("reached") > at, F.col("v")))
+        """First value whose count reaches beyond ``at``; it must be one inside a bracket."""
+        hit = F.min(F.when(F.col("reached") > at, F.struct("v", "kept")))
+        return F.when(hit["kept"], hit["v"]).otherwise(
+            F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+        )
 
-    picked = reached.groupBy(*target).agg(
-        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("reached"))), F.lit(0)).alias("below"),
-        order_statistic(F.floor("rank")).alias("lower"),
-        order_statistic(F.ceil("rank")).alias("upper"),
+    picked = reached.groupBy(*group, "n").agg(
+        *[order_statistic(F.floor(rank(i))).alias(f"lower_{i}") for i in indices],
+        *[order_statistic(F.ceil(rank(i))).alias(f"upper_{i}") for i in indices],
     )
-    inside = (F.col("below") <= F.floor("rank")) & F.col("lower").isNotNull() & F.col("upper").isNotNull()
-    share = F.col("rank") - F.floor("rank")
-    quantile = F.col("lower") + (F.col("upper") - F.col("lower")) * share
-    checked = F.when(inside, quantile).otherwise(
-        F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    return picked.select(
+        *group,
+        *[
+            (
+                F.col(f"lower_{i}")
+                + (F.col(f"upper_{i}") - F.col(f"lower_{i}")) * (rank(i) - F.floor(rank(i)))
+            ).alias(names[probabilities[i]])
+            for i in indices
+        ],
     )
-    return picked.select(*group, "probability", checked.alias("quantile"))

@@ -38,16 +38,6 @@ def city_stats(weather: DataFrame) -> DataFrame:
     )
 
 
-def _with_quartiles(basics: DataFrame, quartiles: DataFrame, key: str) -> DataFrame:
-    wide = quartiles.groupBy(key).agg(
-        *[
-            F.max(F.when(F.col("probability") == probability, F.col("quantile"))).alias(name)
-            for probability, name in QUARTILES.items()
-        ]
-    )
-    return basics.join(wide, key, "left")
-
-
 def describe(weather: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per numeric column."""
     present = [name for name in NUMERIC if name in weather.columns]
@@ -61,8 +51,7 @@ def describe(weather: DataFrame) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, ["column_name"], "value", list(QUARTILES))
-    return _with_quartiles(basics, quartiles, "column_name")
+    return basics.join(exact_quantiles(long, ["column_name"], "value", QUARTILES), "column_name", "left")
 
 
 def city_count(weather: DataFrame) -> DataFrame:
@@ -91,8 +80,7 @@ def box_stats(weather: DataFrame) -> DataFrame:
     """Extremes and exact quartiles of the mean temperature per city."""
     measured = weather.filter(F.col("temp_avg").isNotNull())
     basics = measured.groupBy("city_name").agg(F.min("temp_avg").alias("low"), F.max("temp_avg").alias("high"))
-    quartiles = exact_quantiles(measured, ["city_name"], "temp_avg", list(QUARTILES))
-    return _with_quartiles(basics, quartiles, "city_name")
+    return basics.join(exact_quantiles(measured, ["city_name"], "temp_avg", QUARTILES), "city_name", "left")
 
 
 def histogram(weather: DataFrame, column: str = "temp_avg", width: float = 1.0) -> DataFrame:

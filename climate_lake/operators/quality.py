@@ -92,8 +92,8 @@ def readiness(files: DataFrame) -> DataFrame:
 # -- documents ---------------------------------------------------------------
 
 
-def document_checks(documents: DataFrame) -> DataFrame:
-    """Structure flags of every raw document."""
+def document_checks(documents: DataFrame, need_temperature: bool = True) -> DataFrame:
+    """Structure flags of every raw document; the basic form does without temperatures."""
     flags = documents.select(
         F.col("city_info.name").alias("city_name"),
         F.col("city_info").isNotNull().alias("has_city_info"),
@@ -103,17 +103,17 @@ def document_checks(documents: DataFrame) -> DataFrame:
         F.col("daily.precipitation_sum").isNotNull().alias("has_precipitation"),
         F.coalesce(F.size("daily.time"), F.lit(0)).alias("days_of_data"),
     )
-    complete = (
-        F.col("has_city_info") & F.col("has_daily_data") & F.col("has_timestamp") & F.col("has_temperature")
-    )
+    complete = F.col("has_city_info") & F.col("has_daily_data") & F.col("has_timestamp")
+    if need_temperature:
+        complete = complete & F.col("has_temperature")
     return flags.withColumn("status", F.when(complete, "OK").otherwise("ISSUES"))
 
 
-def document_summary(documents: DataFrame) -> DataFrame:
+def document_summary(documents: DataFrame, need_temperature: bool = True) -> DataFrame:
     """One row over all documents: OK if every one is complete."""
     passed = F.col("documents_ok") == F.col("files_found")
     return (
-        document_checks(documents)
+        document_checks(documents, need_temperature)
         .agg(
             F.count("*").alias("files_found"),
             F.countDistinct("city_name").alias("cities_covered"),

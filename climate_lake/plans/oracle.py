@@ -180,8 +180,10 @@ THRESHOLD_PARTS = ["raw_thresholds", "thresholds"]
 LOAD_PARTS = ["manifest", "loads"]
 
 
-def _sql(parts: list[str], body: str) -> str:
-    named = ",\n".join(f"{part} as ({NAMED[part].strip()})" for part in parts)
+def _sql(parts: list[str], body: str, **other: str) -> str:
+    """``body`` over the named parts; ``other`` replaces the text of some."""
+    texts = {**NAMED, **other}
+    named = ",\n".join(f"{part} as ({texts[part].strip()})" for part in parts)
     return f"with {named}\n{body.strip()}"
 
 
@@ -548,6 +550,12 @@ def oracle_sql() -> dict[str, str]:
             "select year, count(*) as months, round(max(max_temperature), 6) as max_temperature "
             "from monthly group by year",
         ),
+        "lake_end_to_end": _sql(
+            ["days", "flat", "flat_dated", *WEATHER[1:], *STATIONS, "integrated", "annual_sums", "annual"],
+            f"select {ANNUAL_COLUMNS} from annual",
+            weather=CLEAN.format(source="flat_dated"),
+            annual_sums=ANNUAL_SUMS.replace("from weather", "from integrated"),
+        ),
         "lag_features": _sql(
             WEATHER,
             "select city_name, date, temp_avg, lag(temp_avg, 1) over w as temp_lag1, "

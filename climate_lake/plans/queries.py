@@ -13,6 +13,7 @@ from climate_lake.functions.columns import ExtremeLimits
 from climate_lake.operators import cleaning, climatology, explore, model, quality, serving, trends
 from climate_lake.operators.flatten import flatten_daily, flatten_for_export
 from climate_lake.operators.integrate import integrate_stations, without_stations
+from climate_lake.plans import pipeline
 from climate_lake.plans import views as V
 from climate_lake.session import materialise, work_path
 from climate_lake.sinks import catalog
@@ -232,6 +233,20 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw documents and snapshots landed, all jobs run, the annual table read back."""
+    lake = _lake(spark, "lake")
+    land_documents(documents(spark, sf), lake.raw, EVALUATED_AT)
+    for name, text in [
+        ("weather_stations", V.STATIONS),
+        ("climate_events", V.EVENTS),
+        ("weather_thresholds", V.THRESHOLDS),
+    ]:
+        land_table(V.view(spark, sf, text), lake.raw, name, EVALUATED_AT)
+    pipeline.run(spark, lake, EVALUATED_AT)
+    return rounded(read_table(spark, lake, "annual_weather_summary"))
+
+
 def forest_rmse(spark: SparkSession, sf: str) -> DataFrame:
     """Root mean square error of the temperature model on held-out days."""
     training, test = model.split(materialise(model.model_rows(integrated(spark, sf)), "model-rows"))
@@ -347,6 +362,7 @@ def queries() -> dict[str, Query]:
         "landed_documents": landed_documents,
         "landed_events": landed_events,
         "catalog_tables": catalog_tables,
+        "lake_end_to_end": lake_end_to_end,
         # model
         "lag_features": lambda s, sf: model.lag_features(weather(s, sf)).select(
             "city_name", "date", "temp_avg", "temp_lag1", "temp_lag2"

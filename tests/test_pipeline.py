@@ -7,9 +7,8 @@ from datetime import datetime
 
 import pytest
 
-from climate_lake.constants import EXPECTED_FOLDERS
 from climate_lake.operators import model, quality
-from climate_lake.plans import pipeline
+from climate_lake.plans import pipeline, report
 from climate_lake.schemas import TABLES
 from climate_lake.sinks import catalog
 from climate_lake.sources.files import list_files
@@ -156,20 +155,29 @@ def test_catalog_queries(spark, lake):
 
 
 def test_reports_on_the_lake(spark, lake):
-    files = list_files(spark, *[lake.zone(zone) for zone in EXPECTED_FOLDERS])
-    status = quality.zone_status(quality.zone_report(files))
-    assert {row.status for row in status.collect()} == {"OK"}
-    assert tuple(quality.snapshot_files(files).first()) == (3, 2, 0, 1, "OK")
+    checks = {row.check: row.status for row in report.improved_checks(spark, lake).collect()}
+    assert checks == {
+        "raw": "OK", "trusted": "OK", "refined": "OK", "api_data_structure": "OK", "database_data": "OK",
+        "readiness": "READY_FOR_ETL",
+    }
+    score = report.save_report(spark, lake, "improved").first()
+    assert (score.total_checks, score.passed_checks, score.label) == (6, 6, "excellent")
+    basic = report.save_report(spark, lake, "basic", improved=False).first()
+    assert (basic.total_checks, basic.passed_checks, basic.label) == (8, 8, "validated")
     documents = quality.document_summary(read_documents(spark, lake.raw))
     assert tuple(documents.first()) == (6, 3, 6, 6, 7, 7, "OK")
-    checks = (
-        status.selectExpr("zone as check", "status")
-        .unionByName(documents.selectExpr("'documents' as check", "status"))
-        .unionByName(quality.snapshot_files(files).selectExpr("'snapshots' as check", "status"))
-        .unionByName(quality.readiness(files).selectExpr("'readiness' as check", "status"))
-    )
-    row = quality.score(checks).first()
-    assert (row.total_checks, row.passed_checks, row.label) == (6, 6, "excellent")
+
+
+def test_reports_on_nothing(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    checks = {row.check: row.status for row in report.improved_checks(spark, paths).collect()}
+    assert checks == {
+        "raw": "NO_FILES", "trusted": "NO_FILES", "refined": "NO_FILES", "api_data_structure": "NO_API_DATA",
+        "database_data": "NO_DB_DATA", "readiness": "NEEDS_ETL",
+    }
+    basic = quality.score(report.basic_checks(spark, paths), improved=False).first()
+    # Empty zones pass, absent tables and the absence of documents do not.
+    assert (basic.total_checks, basic.passed_checks) == (8, 3)
 
 
 def test_latest_option(spark, tmp_path):

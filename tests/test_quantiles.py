@@ -37,16 +37,25 @@ def test_equals_numpy(frame, small_group, max_ordered, broadcast_rows):
         frame,
         ["name"],
         "value",
-        PROBABILITIES,
+        {probability: f"q{probability}" for probability in PROBABILITIES},
         small_group=small_group,
         max_ordered=max_ordered,
         broadcast_rows=broadcast_rows,
     )
-    got = {(row["name"], row["probability"]): row["quantile"] for row in result.collect()}
-    assert len(got) == len(groups()) * len(PROBABILITIES)
+    got = {row["name"]: row for row in result.collect()}
+    assert got.keys() == groups().keys()
     for name, values in groups().items():
         for probability in PROBABILITIES:
-            assert got[(name, probability)] == pytest.approx(np.quantile(values, probability), rel=1e-9), (
-                name,
-                probability,
-            )
+            expected = pytest.approx(np.quantile(values, probability), rel=1e-9)
+            assert got[name][f"q{probability}"] == expected, (name, probability)
+
+
+def test_null_group_and_single_probability(spark):
+    frame = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "name string, value double")
+    got = {row["name"]: row["median"] for row in exact_quantiles(frame, ["name"], "value", {0.5: "median"}).collect()}
+    assert got == {None: 2.0, "a": 5.0}
+
+
+def test_empty_input(spark):
+    frame = spark.createDataFrame([], "name string, value double")
+    assert exact_quantiles(frame, ["name"], "value", {0.5: "median"}).count() == 0

@@ -9,7 +9,7 @@ from tests import compare
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # These write files while the query is built; their reads are plain scans.
-WRITING = {name for name in QUERIES if name.startswith(("sink_", "landed_", "catalog_", "rf_"))}
+WRITING = {name for name in QUERIES if name.startswith(("sink_", "landed_", "catalog_", "lake_", "rf_"))}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
