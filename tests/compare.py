@@ -15,7 +15,7 @@ def _plain(value):
     if value is None:
         return None
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else value + 0.0
+        return "NaN" if math.isnan(value) else repr(value)
     if isinstance(value, datetime):
         return value.isoformat()
     if isinstance(value, date):
