@@ -28,9 +28,11 @@ def _grid(values: Column) -> Column:
 
 
 def _bracket(
-    rank: Column, size: Column, grid: Column, low: Column, high: Column, small_group: int
+    probability: float, rank: Column, size: Column, grid: Column, low: Column, high: Column, small_group: int
 ) -> tuple[Column, Column]:
     """Start and end around ``rank``: a grid step further out on each side than the rank lies."""
+    if probability in (0, 1):
+        return (low, low) if probability == 0 else (high, high)
     step = F.floor(rank / F.greatest(size - 1, F.lit(1)) * GRID).cast("int")
     small = size <= small_group
     start = F.when(small | (step < 1), low).otherwise(F.get(grid, step - 1))
@@ -86,7 +88,7 @@ def exact_quantiles(
     ends = {}
     for i in indices:
         ends[f"start_{i}"], ends[f"end_{i}"] = _bracket(
-            rank(i), F.col("n"), F.col("grid"), F.col("low"), F.col("high"), small_group
+            probabilities[i], rank(i), F.col("n"), F.col("grid"), F.col("low"), F.col("high"), small_group
         )
     columns = [*group, "n", *ends]
     brackets = materialise(groups.withColumns(ends).select(*columns), "brackets")
@@ -105,7 +107,13 @@ def exact_quantiles(
         measured = with_brackets(brackets).groupBy(*columns).agg(*counted)
         for i in indices:
             ends[f"start_{i}"], ends[f"end_{i}"] = _bracket(
-                rank(i) - F.col(f"below_{i}"), F.col(f"size_{i}"), F.col(f"grid_{i}"), start(i), end(i), small_group
+                probabilities[i],
+                rank(i) - F.col(f"below_{i}"),
+                F.col(f"size_{i}"),
+                F.col(f"grid_{i}"),
+                start(i),
+                end(i),
+                small_group,
             )
         brackets = materialise(measured.withColumns(ends).select(*columns), "brackets")
         expected *= BRACKET_SHARE

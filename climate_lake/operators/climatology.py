@@ -158,18 +158,26 @@ def calendar_days(as_of: date, corrected: bool = False) -> list[tuple[int, str]]
     return [((today + step) % 366 or 366, as_of.isoformat()) for step in steps]
 
 
+def _months(days: list[int]) -> list[int]:
+    """Months the day numbers fall in, in common or leap years."""
+    starts = [date(year, 1, 1) for year in (2023, 2024)]
+    return sorted({(start + timedelta(days=day - 1)).month for start in starts for day in days})
+
+
 def forecasts(feature_rows: DataFrame, as_of: date, corrected: bool = False) -> DataFrame:
     """Historical averages of the next 30 days.
 
     The 30 day numbers are also a filter below the aggregation, so only the
-    matching twelfth of the history is shuffled.
+    matching twelfth of the history is shuffled, and their months (``month`` is
+    that of the date) skip the other partitions of a stored table.
     """
-    days = calendar_days(as_of, corrected)
-    calendar = feature_rows.sparkSession.createDataFrame(days, "day_of_year int, forecast_date string")
-    relevant = feature_rows.filter(F.col("day_of_year").isin([day for day, _ in days]))
+    calendar = calendar_days(as_of, corrected)
+    days = [day for day, _ in calendar]
+    relevant = feature_rows.filter(F.col("day_of_year").isin(days) & F.col("month").isin(_months(days)))
+    ahead = feature_rows.sparkSession.createDataFrame(calendar, "day_of_year int, forecast_date string")
     # The calendar always has 30 rows.
     return (
         climatology(relevant, count_years=corrected)
-        .join(F.broadcast(calendar), "day_of_year")
+        .join(F.broadcast(ahead), "day_of_year")
         .withColumn("forecast_type", F.lit(C.FORECAST_TYPE))
     )

@@ -41,17 +41,21 @@ def city_stats(weather: DataFrame) -> DataFrame:
 def describe(weather: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per numeric column."""
     present = [name for name in NUMERIC if name in weather.columns]
-    long = weather.select(*[F.col(name).cast("double").alias(name) for name in present]).unpivot(
-        [], present, "column_name", "value"
-    )
-    basics = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return basics.join(exact_quantiles(long, ["column_name"], "value", QUARTILES), "column_name", "left")
+    numbers = weather.select(*[F.col(name).cast("double").alias(name) for name in present])
+    basics = numbers.agg(
+        *[
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.count(name).alias("count"),
+                F.avg(name).alias("mean"),
+                F.stddev_samp(name).alias("std"),
+            ).alias(name)
+            for name in present
+        ]
+    ).select(F.inline(F.array(*present)))
+    long = numbers.unpivot([], present, "column_name", "value")
+    spread = exact_quantiles(long, ["column_name"], "value", {0.0: "min", **QUARTILES, 1.0: "max"})
+    return basics.join(spread, "column_name", "left")
 
 
 def city_count(weather: DataFrame) -> DataFrame:
@@ -78,9 +82,7 @@ def daily_mean(weather: DataFrame) -> DataFrame:
 
 def box_stats(weather: DataFrame) -> DataFrame:
     """Extremes and exact quartiles of the mean temperature per city."""
-    measured = weather.filter(F.col("temp_avg").isNotNull())
-    basics = measured.groupBy("city_name").agg(F.min("temp_avg").alias("low"), F.max("temp_avg").alias("high"))
-    return basics.join(exact_quantiles(measured, ["city_name"], "temp_avg", QUARTILES), "city_name", "left")
+    return exact_quantiles(weather, ["city_name"], "temp_avg", {0.0: "low", **QUARTILES, 1.0: "high"})
 
 
 def histogram(weather: DataFrame, column: str = "temp_avg", width: float = 1.0) -> DataFrame:

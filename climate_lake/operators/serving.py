@@ -45,12 +45,12 @@ SUMMARY_COLUMNS = [
 def latest_observations(weather: DataFrame, as_of: date, city: str = "all", limit: int = 10) -> DataFrame:
     """Newest rows of the last seven days, of one city or all.
 
-    The implied year bound lets a table partitioned by year skip older ones.
+    The implied bound on year and month lets a partitioned table skip older ones.
     """
     since = as_of - timedelta(days=LATEST_DAYS)
     recent = weather.filter(F.col("date") >= F.lit(since))
-    if "year" in weather.columns:
-        recent = recent.filter(F.col("year") >= since.year)
+    if {"year", "month"} <= set(weather.columns):
+        recent = recent.filter(F.col("year") * 12 + F.col("month") >= since.year * 12 + since.month)
     if city != "all":
         recent = recent.filter(F.col("city_name") == city)
     rest = [name for name in LATEST_COLUMNS if name != "date"]

@@ -62,5 +62,5 @@ def land_documents(documents: DataFrame, raw: str, as_of: datetime) -> str:
     """Land API documents of one fetch, a folder per city."""
     path = f"{raw}/weather-api/{_hour_folder(as_of)}"
     by_city = documents.withColumn("city", F.col("city_info.name"))
-    by_city.write.mode("overwrite").partitionBy("city").json(path)
+    by_city.hint("rebalance", "city").write.mode("overwrite").partitionBy("city").json(path)
     return path

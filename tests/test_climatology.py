@@ -133,3 +133,24 @@ def test_forecasts(weather):
     ]
     (row,) = result.collect()
     assert tuple(row) == (153, "Cali", 2, 22.5, 0.0, 50.0, "2025-06-01", "historical_average")
+
+
+@pytest.mark.parametrize(
+    ("days", "months"), [([60], [2, 3]), ([61], [3]), ([366, 1], [1, 12]), ([366], [1, 12]), ([1], [1]), ([182], [6, 7])]
+)
+def test_months_of_day_numbers(days, months):
+    assert cl._months(days) == months
+
+
+def test_forecasts_prune_partitions(spark, tmp_path, plan, sf_dir):
+    from climate_lake.plans.queries import weather as test_weather
+    from climate_lake.sinks.tables import write_table
+    from climate_lake.sources.tables import LakePaths, read_table
+
+    lake = LakePaths(str(tmp_path))
+    write_table(test_weather(spark, sf_dir), lake, "weather_data")
+    rows = cl.features(read_table(spark, lake, "weather_data"))
+    text = plan(cl.forecasts(rows, date(2001, 11, 4)))
+    scan = next(line for line in text.splitlines() if "FileScan parquet" in line)
+    assert "month" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "NestedLoop" not in text

@@ -13,14 +13,14 @@ AS_OF = date(2025, 6, 10)
 @pytest.fixture
 def weather(spark):
     rows = [
-        (city, AS_OF - timedelta(days=back), 20.0 + back, 30.0, 10.0, 0.0, 50.0, 2025)
+        (city, AS_OF - timedelta(days=back), 20.0 + back, 30.0, 10.0, 0.0, 50.0, 2025, 5 if back > 9 else 6)
         for city in ("Cali", "Neiva")
         for back in range(12)
     ]
     return spark.createDataFrame(
         rows,
         "city_name string, date date, temp_avg double, temp_max double, temp_min double, precipitation double, "
-        "humidity double, year int",
+        "humidity double, year int, month int",
     )
 
 
@@ -100,7 +100,8 @@ def test_latest_prunes_partitions(spark, lake, plan, sf_dir):
 
     write_table(weather(spark, sf_dir), lake, "weather_data")
     text = plan(serving.latest_observations(read_table(spark, lake, "weather_data"), date(2001, 11, 4), "NATION_3"))
-    assert "year" in text.split("PartitionFilters: [")[1].split("]")[0]
+    filters = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "month" in filters
     assert "EqualTo(city_name" in text.split("PushedFilters: [")[1].split("]")[0]
     assert "wind_speed" not in text.split("ReadSchema")[1].splitlines()[0]
     assert "TakeOrderedAndProject" in text
