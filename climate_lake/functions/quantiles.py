@@ -133,7 +133,7 @@ def exact_quantiles(
         .agg(F.count("*").alias("c"))
     )
     # Counts of the values outside come right before the bracket they precede.
-    upto = Window.partitionBy(*group).orderBy("v", "kept")
+    upto = Window.partitionBy(*group).orderBy("v", "kept").rowsBetween(Window.unboundedPreceding, 0)
     reached = placed.withColumn("reached", F.sum("c").over(upto))
 
     def order_statistic(at: Column) -> Column:

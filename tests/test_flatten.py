@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import random
+from collections import Counter
+from itertools import zip_longest
 
 import pytest
 
@@ -109,3 +112,70 @@ def test_export_form(documents):
     assert {row.data_source for row in unknown} == {"openmeteo_api"}
     assert [row.precipitation for row in export.filter("city_name = 'Cali'").collect()] == [None] * 3
     assert export.filter("city_name = 'Neiva'").count() == 0
+
+
+# Observation columns in the order of the arrays below.
+ARRAYS = [
+    "time",
+    "temperature_2m_max",
+    "temperature_2m_min",
+    "precipitation_sum",
+    "windspeed_10m_max",
+    "relative_humidity_2m_mean",
+]
+
+
+def random_document(source, number):
+    def values(make):
+        if source.random() < 0.08:
+            return None
+        return [None if source.random() < 0.1 else make() for _ in range(source.randrange(0, 6))]
+
+    arrays = {name: values(lambda: float(source.randrange(400)) / 10) for name in ARRAYS[1:]}
+    arrays["time"] = values(lambda: source.choice(["2025-06-01", "2024-02-29", "2023-02-29", "soon"]))
+    name = None if source.random() < 0.1 else f"City {number}"
+    return document(name, None if source.random() < 0.2 else "api", **arrays)
+
+
+def flat_model(doc, lenient):
+    arrays = [doc["daily"][name] for name in ARRAYS]
+    if lenient:
+        arrays[1:] = [array or [] for array in arrays[1:]]
+    if any(array is None for array in arrays) or doc["city_info"]["name"] is None:
+        return []
+    days = zip_longest(*arrays)
+    return [(doc["city_info"]["name"], *day, doc["data_source"]) for day in days if day[0] is not None]
+
+
+def export_model(doc):
+    arrays = [doc["daily"][name] or [] for name in ARRAYS]
+
+    def at(array, position):
+        return array[position] if position < len(array) else None
+
+    out = []
+    for position, day in enumerate(arrays[0][: len(arrays[1])]):
+        if day not in ("2025-06-01", "2024-02-29"):
+            continue
+        high, low, rain, wind, humidity = (at(array, position) for array in arrays[1:])
+        mean = (high + low) / 2 if None not in (high, low) else None
+        source = doc["data_source"] or "openmeteo_api"
+        out.append((doc["city_info"]["name"] or "Unknown", day, high, low, mean, rain, humidity, wind, source))
+    return out
+
+
+def test_random_documents(documents):
+    source = random.Random(5)
+    docs = [random_document(source, number) for number in range(400)]
+    frame = documents(*docs)
+    columns = ["city_name", "date", "temp_max", "temp_min", "precipitation", "wind_speed", "humidity", "data_source"]
+    for lenient in (False, True):
+        flat = flatten_daily(frame, lenient).select(*columns)
+        expected = Counter(row for doc in docs for row in flat_model(doc, lenient))
+        assert expected and Counter(tuple(row) for row in flat.collect()) == expected
+    export = flatten_for_export(frame).selectExpr(
+        "city_name", "cast(date as string)", "temp_max", "temp_min", "temp_avg", "precipitation", "humidity",
+        "wind_speed", "data_source",
+    )
+    expected = Counter(row for doc in docs for row in export_model(doc))
+    assert expected and Counter(tuple(row) for row in export.collect()) == expected

@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pytest
 
+from climate_lake.__main__ import main
 from climate_lake.operators import model, quality
 from climate_lake.plans import pipeline, report
 from climate_lake.schemas import TABLES
@@ -212,6 +213,21 @@ def test_failures_are_raised_or_reported(spark, tmp_path, monkeypatch):
     assert tuple(quality.step_rollup(steps).first()) == (2, 3)
 
 
+def test_jobs_from_the_command_line(spark, tmp_path, capsys):
+    build_raw(tmp_path / "raw")
+    for job in ("etl", "analytics", "climatology"):
+        main([job, str(tmp_path), "--as-of", "2025-06-01T12:00:00", "--latest"])
+    paths = LakePaths(str(tmp_path))
+    assert read_table(spark, paths, "integrated_weather_data").count() == 21
+    assert read_table(spark, paths, "weather_forecasts").count() == 0  # one row per day is below the minimum
+    main(["catalog", str(tmp_path), "--database", "lake_cli"])
+    assert spark.table("lake_cli.annual_weather_summary").count() == 3
+    main(["report", str(tmp_path)])
+    assert "excellent" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["unknown", str(tmp_path)])
+
+
 def test_lags_skip_repeated_fetches(spark, lake):
     lagged = model.lag_features(read_table(spark, lake, "weather_data")).filter("city_name = 'Bogotá'")
     rows = lagged.orderBy("date").collect()

@@ -16,7 +16,8 @@ def weather(spark):
     return clean_observations(
         spark.range(200_000, numPartitions=8).selectExpr(
             "concat('C', id % 50) as city_name", "1d as latitude", "2d as longitude",
-            "case when id < 200 then date'2024-01-01' + cast(id % 100 as int) else date'2025-06-01' + cast(id % 30 as int) end as date",
+            "case when id < 200 then date'2024-01-01' + cast(id % 100 as int) "
+            "else date'2025-06-01' + cast(id % 30 as int) end as date",
             "rand(1) * 30 as temp_max", "rand(2) * 10 as temp_min", "rand(3) as precipitation", "rand(4) as wind_speed",
             "rand(5) as humidity", "cast(id as string) as ingestion_timestamp", "'api' as data_source",
         )

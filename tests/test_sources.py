@@ -145,7 +145,10 @@ def test_active_stations(spark):
 
 def test_enabled_thresholds_take_booleans(spark):
     stations = spark.createDataFrame([tuple(STATION.values())], RAW_STATIONS)
-    columns = "threshold_id int, station_id string, parameter_name string, min_value double, max_value double, alert_level string, notification_enabled boolean"
+    columns = (
+        "threshold_id int, station_id string, parameter_name string, min_value double, max_value double, "
+        "alert_level string, notification_enabled boolean"
+    )
     thresholds = spark.createDataFrame(
         [(1, "S1", "t", 1.0, 2.0, "info", True), (2, "S1", "t", 1.0, 2.0, "info", False)], columns
     )
