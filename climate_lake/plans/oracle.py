@@ -29,8 +29,9 @@ select case when l.l_orderkey % 211 = 0 then null else n.n_name end as city_name
        case when l.l_partkey % 89 = 0 then null else l.l_discount * 1000 + u.i end as precipitation,
        l.l_tax * 1000 + u.i as wind_speed,
        cast(l.l_partkey % 101 as double) as humidity,
-       concat(cast(cast(l.l_shipdate as date) as varchar), 'T0', cast(l.l_linenumber as varchar), ':00:00')
-         as ingestion_timestamp,
+       case when l.l_orderkey % 307 = 0 then null
+            else concat(cast(cast(l.l_shipdate as date) as varchar), 'T0', cast(l.l_linenumber as varchar), ':00:00')
+       end as ingestion_timestamp,
        case when l.l_quantity = 13 then null else l.l_returnflag end as data_source,
        l.l_linenumber = 6 as no_temp_max,
        l.l_partkey % 89 = 0 as no_precipitation,
@@ -508,14 +509,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "raw_structure": _sql(
             ["days"],
-            "select city_name, 'OK' as status, days_of_data, count(*) as documents from days where pos = 0 "
-            "group by city_name, days_of_data",
+            "select city_name, case when ingestion_timestamp is null then 'ISSUES' else 'OK' end as status, "
+            "days_of_data, count(*) as documents from days where pos = 0 group by all",
         ),
         "raw_structure_summary": _sql(
             ["days"],
-            "select count(*) as files_found, count(distinct city_name) as cities_covered, count(*) as documents_ok, "
+            "select count(*) as files_found, count(distinct city_name) as cities_covered, "
+            "count(ingestion_timestamp) as documents_ok, "
             "count(*) filter (where not no_precipitation) as with_precipitation, min(days_of_data) as min_days, "
-            "max(days_of_data) as max_days, 'OK' as status from days where pos = 0",
+            "max(days_of_data) as max_days, "
+            "case when count(ingestion_timestamp) = count(*) then 'OK' else 'ISSUES' end as status "
+            "from days where pos = 0",
         ),
         "table_counts": _sql(
             [*INTEGRATED_PARTS, "monthly", "labelled", "extremes", "annual_sums", "annual"],

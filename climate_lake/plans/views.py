@@ -109,7 +109,7 @@ def _daily(element: str, days: str = "1 + l.l_linenumber % 3") -> str:
 
 
 # One API document per line item: one to three days, with short arrays, NULL
-# elements, absent arrays, absent names and unreadable dates mixed in.
+# elements, absent arrays, names and timestamps and unreadable dates mixed in.
 _TIME = _daily(
     "case when (l.l_orderkey + #) % 503 = 0 then 'n/a' "
     "else cast(date_add(cast(l.l_shipdate as date), #) as string) end"
@@ -134,8 +134,9 @@ select named_struct(
          'precipitation_sum', case when l.l_partkey % 89 = 0 then null else {_daily("l.l_discount * 1000 + #")} end,
          'windspeed_10m_max', {_daily("l.l_tax * 1000 + #")},
          'relative_humidity_2m_mean', {_daily("cast(l.l_partkey % 101 as double)")}) as daily,
-       concat(cast(cast(l.l_shipdate as date) as string), 'T0', cast(l.l_linenumber as string), ':00:00')
-         as ingestion_timestamp,
+       case when l.l_orderkey % 307 = 0 then null
+            else concat(cast(cast(l.l_shipdate as date) as string), 'T0', cast(l.l_linenumber as string), ':00:00')
+       end as ingestion_timestamp,
        case when l.l_quantity = 13 then null else l.l_returnflag end as data_source
 from {{lineitem}} l join {{nation}} n on l.l_suppkey % 25 = n.n_nationkey
 """
