@@ -115,6 +115,18 @@ def salted_join(
     return salted.join(copied, match, how).select(*left.columns, *payload)
 
 
+def lookup_join(
+    fact: DataFrame, dimension: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
+    """Join to a broadcast dimension, which the caller has measured with ``fits_broadcast``.
+
+    Result: all fact columns, then the dimension columns that are not keys.
+    """
+    payload = [name for name in dimension.columns if name not in keys]
+    lookup = F.broadcast(dimension.select(*_prefixed(keys, "_right_"), *payload))
+    return fact.join(lookup, _equal(keys, "_right_", null_safe), how).select(*fact.columns, *payload)
+
+
 def dimension_join(
     fact: DataFrame,
     dimension: DataFrame,
@@ -124,12 +136,7 @@ def dimension_join(
     max_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Join a fact to a dimension: broadcast if the measured size allows it, else a salted shuffle.
-
-    Result: all fact columns, then the dimension columns that are not keys.
-    """
-    if not fits_broadcast(dimension, max_rows):
-        return salted_join(fact, dimension, keys, how, null_safe, rows_per_split)
-    payload = [name for name in dimension.columns if name not in keys]
-    lookup = F.broadcast(dimension.select(*_prefixed(keys, "_right_"), *payload))
-    return fact.join(lookup, _equal(keys, "_right_", null_safe), how).select(*fact.columns, *payload)
+    """Join a fact to a dimension: broadcast if the measured size allows it, else a salted shuffle."""
+    if fits_broadcast(dimension, max_rows):
+        return lookup_join(fact, dimension, keys, how, null_safe)
+    return salted_join(fact, dimension, keys, how, null_safe, rows_per_split)

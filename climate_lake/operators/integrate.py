@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 
 from climate_lake.constants import COORDINATE_TOLERANCE
 from climate_lake.functions.columns import with_optional
-from climate_lake.functions.joins import BROADCAST_ROWS, ROWS_PER_SPLIT, dimension_join
+from climate_lake.functions.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    ROWS_PER_SPLIT,
+    dimension_join,
+    fits_broadcast,
+    lookup_join,
+    salted_join,
+)
 from climate_lake.schemas import STATION_ATTRIBUTES
 from climate_lake.session import materialise
 
 # Cells a little wider than the tolerance: two coordinates closer than the
 # tolerance lie in the same or in adjacent cells, rounding included.
 CELL = COORDINATE_TOLERANCE * 1.1
+# A station is listed in its own cell and the eight around it.
+CELL_COPIES = 9
 LOCATION = ["city_name", "latitude", "longitude"]
 
 
@@ -52,13 +62,15 @@ def station_matches(
         *STATION_ATTRIBUTES,
     )
 
+    few = fits_broadcast(slim, broadcast_rows // CELL_COPIES, BROADCAST_BYTES // CELL_COPIES)
+
     def matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-        return dimension_join(left, right, keys, max_rows=broadcast_rows, rows_per_split=rows_per_split)
+        if few:
+            return lookup_join(left, right, keys)
+        return salted_join(left, right, keys, rows_per_split=rows_per_split)
 
-    same_city = matched(
-        locations.withColumn("station_city", F.col("city_name")), slim.filter(F.col("station_city").isNotNull()),
-        ["station_city"],
-    )
+    named = locations.withColumn("station_city", F.col("city_name"))
+    same_city = matched(named, slim.filter(F.col("station_city").isNotNull()), ["station_city"])
     spread = slim.withColumn("lat_cell", F.explode(_nearby_cells("station_latitude"))).withColumn(
         "lon_cell", F.explode(_nearby_cells("station_longitude"))
     )
@@ -93,10 +105,5 @@ def integrate_stations(
     if stations is None:
         return without_stations(observations)
     locations = materialise(observations.select(*LOCATION).distinct(), "locations")
-    matches = materialise(
-        station_matches(locations, stations, broadcast_rows, rows_per_split), "station-matches"
-    )
-    return dimension_join(
-        observations, matches, LOCATION, "left", null_safe=True, max_rows=broadcast_rows,
-        rows_per_split=rows_per_split,
-    )
+    matches = materialise(station_matches(locations, stations, broadcast_rows, rows_per_split), "station-matches")
+    return dimension_join(observations, matches, LOCATION, "left", True, broadcast_rows, rows_per_split)
