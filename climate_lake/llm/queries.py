@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climate_lake.llm import mixing, packing, rules, token_files
+from climate_lake.llm import chat, lines, mixing, neighbours, packing, repeats, rules, simhash, token_files, toxicity
 from climate_lake.llm.common import read
 
 
@@ -29,6 +29,28 @@ def op3_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.*")
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = [(-1, 0, "user", text), (-1, 1, "assistant", text)]
+    fields = ["conv_id", "turn", "role", "text"]
+    rows = read(spark, sf_dir, "conversations").select(*fields)
+    rows = rows.unionByName(spark.createDataFrame(extra, rows.schema))
+    return chat.digests(chat.format_conversations(rows))
+
+
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select(
@@ -36,13 +58,31 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_documents(documents, toxicity.train(documents, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_token_files": op1_token_files,
-        "op2_best_fit_packing": op2_best_fit_packing,
-        "op3_pfair_mixing": op3_pfair_mixing,
-        "op8_quality_rules": op8_quality_rules,
-    }
+    every = (
+        op1_token_files,
+        op2_best_fit_packing,
+        op3_pfair_mixing,
+        op4_repeated_strings,
+        op5_chat_format,
+        op6_nearest_vectors,
+        op7_simhash,
+        op8_quality_rules,
+        op9_line_dedup,
+        op10_toxicity,
+    )
+    return {one.__name__: one for one in every}
 
 
 def oracle_sql() -> dict[str, str]:
