@@ -9,8 +9,8 @@ the same document. All are found, in three steps whose groups depend on content
    Stretches of a minimiser that occurs once, or always in the same stretch, are settled here: only hashes move.
 2. Merging. The distinct stretches of a group are cut into shards, and each shard gets its Burrows-Wheeler transform.
    The transforms are merged by refining their interleave: stable passes by symbol bring the merged order from depth k
-   to depth k + 1, without comparing suffixes again. The pass in which two neighbours part gives their common prefix;
-   intervals whose common prefix reaches LENGTH are the repeated strings, and all starts but the earliest are repeats.
+   to deeper ones, without comparing suffixes again. Intervals that still hold two rows at depth k have a common prefix
+   of k; those left at LENGTH are the repeated strings, and all their starts but the earliest are repeats.
 3. Removal. The ranges of repeated starts go back to their documents, where the covered bytes are cut out.
 """
 
@@ -31,8 +31,8 @@ LENGTH = 100
 KEY = 32
 # Text whose stretches one bucket of step 1 gathers, and suffixes merged at a time and per shard.
 BUCKET_BYTES = 32 * 1024 * 1024
-UNIT_SUFFIXES = 200_000
-SHARD_SUFFIXES = 50_000
+UNIT_SUFFIXES = 150_000
+SHARD_SUFFIXES = 30_000
 # Distinct stretches of one minimiser beyond which its strings are grouped by nearly all their bytes instead.
 HOT_STRETCHES = 20_000
 HOT_SPAN = 4
@@ -247,52 +247,51 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     string = np.repeat(np.arange(len(strings)), sizes)
     own, size = begin[string], sizes[string]
     place = np.arange(len(symbols)) - own
-    rank, step = symbols.astype(np.int64), 1
-    while step < sizes.max():
+    # Ranks by the first seven symbols, then by twice as many in each round.
+    rank, step = np.zeros(len(symbols), np.int64), 7
+    for k in range(step):
+        rank = rank << 8 | symbols[own + (place + k) % size]
+    values, rank = np.unique(rank, return_inverse=True)
+    while step < sizes.max() and len(values) < len(symbols):
         ahead = own + (place + step) % size
-        values, rank = np.unique(rank * (len(symbols) + 256) + rank[ahead], return_inverse=True)
-        if len(values) == len(symbols):
-            break
+        values, rank = np.unique(rank * len(symbols) + rank[ahead], return_inverse=True)
         step *= 2
     rows = np.argsort(rank, kind="stable")
     before = own + (place - 1) % size
     return symbols[before[rows]], string[rows], place[rows]
 
 
-def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards' rows, sorted to ``depth``, and each row's common prefix with the one before (capped).
+def merge(transforms: list[np.ndarray], rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the merged transforms that share ``depth`` symbols with others, in order, and their interval.
 
-    The interleave starts as one shard after the other, sorted to depth 0. A pass reads the symbol before each row in
-    the order so far and deals the rows before them out by symbol, keeping that order: the result is sorted one symbol
-    deeper. Where neighbours are first told apart in pass k, their common prefix is k - 1 long.
+    The interleave starts as one shard after the other, each in its own order: one interval with common prefix 0. A
+    pass reads the two symbols before each row and deals the rows two places before out by them, keeping their order:
+    intervals of common prefix k split into intervals of common prefix k + 2. A row left alone in its interval shares
+    no more, nor do the rows before it, so it is dropped. ``rows`` are those to start from, by their place in the
+    concatenated transforms; ``depth`` symbols must lie before each.
     """
-    total = sum(map(len, transforms))
     symbols = np.concatenate(transforms)
-    back = np.empty(total, np.int32)  # the row that a symbol leads to, within its shard
+    back = np.empty(len(symbols), np.int32)  # the row before a row, by the transform's own property
     base = 0
     for one in transforms:
         back[base + np.argsort(one, kind="stable")] = np.arange(base, base + len(one), dtype=np.int32)
         base += len(one)
-    rows = np.arange(total, dtype=np.int32)
-    block = np.zeros(total, np.int32)
-    common = np.full(total, depth, np.int32)
-    common[:1] = 0
-    blocks = 1
-    for k in range(depth):
-        read = symbols[rows]
-        order = np.argsort(read, kind="stable")
-        read, source = read[order], block[order]
-        edge = np.empty(total, bool)
-        edge[:1] = True
-        np.not_equal(read[1:], read[:-1], out=edge[1:])
-        edge[1:] |= source[1:] != source[:-1]
-        rows = back[rows[order]]
-        block = np.cumsum(edge, dtype=np.int32)
-        if block[-1] != blocks:
-            blocks = block[-1]
-            common[edge & (common == depth)] = k
-    common[:1] = 0
-    return rows, common
+    twice = back[back]
+    both = symbols[back].astype(np.uint16) << 8 | symbols
+    block = np.zeros(len(rows), np.int32)
+    for k in range(0, depth, 2):
+        read, before = (both, twice) if k + 1 < depth else (symbols, back)
+        symbol = read[rows]
+        order = np.argsort(symbol, kind="stable")
+        symbol, source = symbol[order], block[order]
+        edge = np.ones(len(rows) + 1, bool)
+        edge[1:-1] = (symbol[1:] != symbol[:-1]) | (source[1:] != source[:-1])
+        shared = ~(edge[:-1] & edge[1:])
+        block = np.cumsum(edge[:-1], dtype=np.int32)[shared]
+        rows = before[rows[order[shared]]]
+        if not len(rows):
+            break
+    return rows, block
 
 
 def repeated_starts(strings: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int = LENGTH, shard: int = SHARD_SUFFIXES):
@@ -301,21 +300,16 @@ def repeated_starts(strings: list[bytes], docs: np.ndarray, starts: np.ndarray,
     which = (np.cumsum(sizes) - sizes) // shard
     cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(strings)]
     made = [transform(strings[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-    rows, common = merge([x[0] for x in made], length)
-    string = np.concatenate([x[1] + a for x, a in zip(made, cuts)])[rows]
-    place = np.concatenate([x[2] for x in made])[rows]
-    interval = np.cumsum(common < length)
-    whole = place + length < sizes[string]
-    string, place, interval = string[whole], place[whole], interval[whole]
-    doc, at = docs[string], starts[string] + place
+    string = np.concatenate([x[1] + a for x, a in zip(made, cuts)])
+    place = np.concatenate([x[2] for x in made])
+    rows, interval = merge([x[0] for x in made], np.flatnonzero(place >= length), length)
+    doc, at = docs[string[rows]], starts[string[rows]] + place[rows]
     order = np.lexsort((at, doc, interval))
     doc, at, interval = doc[order], at[order], interval[order]
-    again = np.zeros(len(doc), bool)
-    again[1:] = (interval[1:] == interval[:-1]) & ((doc[1:] != doc[:-1]) | (at[1:] != at[:-1]))
-    # The same start, reached by two stretches of a hot group, is no repeat of itself.
+    # All but the earliest; a document given twice is no repeat of itself.
     first = np.flatnonzero(np.diff(interval, prepend=-1))
     lead = np.repeat(first, np.diff(np.append(first, len(doc))))
-    again &= (doc != doc[lead]) | (at != at[lead])
+    again = (doc != doc[lead]) | (at != at[lead])
     return doc[again], at[again]
 
 
@@ -329,10 +323,9 @@ def _merged(batches, length: int, unit: int) -> Iterator[pa.RecordBatch]:
         )
         order = np.lexsort((starts, docs))
         docs, starts = docs[order], starts[order]
-        edge = np.ones(len(docs), bool)
-        edge[1:] = (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + 1)
-        first = np.flatnonzero(edge)
-        last = np.append(first[1:], len(docs)) - 1
+        edge = np.ones(len(docs) + 1, bool)
+        edge[1:-1] = (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + 1)
+        first, last = np.flatnonzero(edge[:-1]), np.flatnonzero(edge[1:])
         out = np.empty(len(first), RANGE)
         out["doc"], out["start"], out["n"] = docs[first], starts[first], starts[last] - starts[first] + 1
         return _span_batch(out)
