@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A frame of documents from (doc_id, text) or (doc_id, text, lang, source) tuples."""
+
+    def make(*rows):
+        full = [(*row, *("en", "src0")[len(row) - 2 :]) if len(row) < 4 else row for row in rows]
+        return spark.createDataFrame([(*row[:4], len(row[1] or "")) for row in full], DOCUMENTS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    """The whole documents table of the smallest test data, as rows and as a frame."""
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return frame, [tuple(row) for row in frame.select("doc_id", "text", "lang", "source").collect()]
+
+
+@pytest.fixture(scope="session")
+def odd_documents(documents):
+    """Nulls in any column, empty and very long texts, ties, repeated rows, and extra columns with clashing names."""
+    long = " ".join(f"word{k % 977} wörd{k}" for k in range(40_000))
+    rows = [
+        (1, None), (2, ""), (3, long), (4, "same line here\nand there"), (5, "same line here\nand there"),
+        (5, "same line here\nand there"), (5, "another text under a used id"), (None, "no id"), (None, "no id"),
+        (None, None), (6, "\n\n \t\n"), (7, "null \x00 byte and ünïcode 日本語 🙂", None, None),
+        (8, "x", "de", "src1"), (9, "Licensed " * 60, "de", "src1"),
+    ]
+    from pyspark.sql import functions as F
+
+    frame = documents(*rows)
+    for name in ("start", "length", "rank", "mix", "h", "row", "kept", "n_words", "n_lines", "score", "_drop", "fp", "slot"):
+        frame = frame.withColumn(name, F.lit(f"own {name}"))
+    return frame, rows
+
+
+@pytest.fixture(scope="session")
+def empty_documents(documents, spark):
+    return spark.createDataFrame([], T._parse_datatype_string(DOCUMENTS))

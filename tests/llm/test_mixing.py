@@ -1,0 +1,111 @@
+"""Schedules against a plain earliest-deadline-first loop, and the deviation they promise."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import pytest
+
+from climate_lake.llm import mixing
+from climate_lake.llm.queries import op3_pfair_mixing
+
+
+def plain_round(gives):
+    """Earliest deadline first over released blocks, slot by slot."""
+    slots, placed, order = sum(gives), [0] * len(gives), []
+    for slot in range(slots):
+        ready = [
+            (-(-slots * (done + 1) // own), i, done)
+            for i, (done, own) in enumerate(zip(placed, gives))
+            if done < own and slots * done // own <= slot
+        ]
+        deadline, i, done = min(ready)
+        assert slot < deadline
+        placed[i] += 1
+        order.append((i, done))
+    return order
+
+
+def plain_schedule(sources):
+    """(source, block) by slot, from {source: (blocks, share)}."""
+    names, done, order = sorted(sources), dict.fromkeys(sources, 0), []
+    while any(done[s] < sources[s][0] for s in names):
+        gives = [min(sources[s][1], sources[s][0] - done[s]) for s in names]
+        order += [(names[i], done[names[i]] + block) for i, block in plain_round(gives)]
+        for s, n in zip(names, gives):
+            done[s] += n
+    return order
+
+
+CASES = [
+    {"a": (1, 1)},
+    {"a": (10, 3), "b": (7, 2), "c": (1, 5)},
+    {"a": (40, 7), "b": (3, 1), "c": (25, 5), "d": (25, 5)},
+    {"a": (5, 20), "b": (100, 1)},
+]
+
+
+@pytest.mark.parametrize("sources", CASES)
+def test_schedule_equals_plain_loop(spark, sources):
+    frame = spark.createDataFrame([(s, *x) for s, x in sources.items()], "source string, blocks long, share int")
+    found = {}
+    for row in mixing.schedule(frame).collect():
+        for turn in range(row["first_round"], row["last_round"] + 1):
+            start = row["first_slot"] + (turn - row["first_round"]) * row["slots"]
+            for one in row["placed"]:
+                found[start + one["slot_in_round"]] = (row["source"], turn * row["share"] + one["nth"])
+    assert [found[slot] for slot in sorted(found)] == plain_schedule(sources)
+    assert sorted(found) == list(range(len(found)))
+
+
+def blocks_of(rows):
+    return sorted({(row["mix"]["slot"], row["mix"]["source"], row["mix"]["block"]) for row in rows})
+
+
+def test_deviation_stays_below_one_block(spark):
+    counts = {"a": 3000, "b": 1000, "c": 400, "d": 37}
+    shares = {"a": 1.0, "b": 4.0, "c": 2.5, "d": 2.5}
+    rows = [(k, s) for s in counts for k in range(counts[s])]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = spark.createDataFrame(list(shares.items()), "source string, weight double")
+    found = mixing.mix(frame, weights, resolution=10, block_rows=5, chunk_rows=300).collect()
+    assert sorted((row["doc_id"], row["source"]) for row in found) == sorted(rows)
+    blocks, done = blocks_of(found), defaultdict(int)
+    assert [slot for slot, _, _ in blocks] == list(range(len(blocks)))
+    running = min(-(-counts[s] // 5) / shares[s] for s in counts) * 10 - 10  # as long as every source gives
+    for slot, source, block in blocks:
+        assert block == done[source]
+        done[source] += 1
+        if slot < running:
+            assert all(abs(done[s] - (slot + 1) * shares[s] / 10) < 1 for s in counts)
+
+
+def test_table(spark, sample, sf_dir):
+    _, rows = sample
+    found = op3_pfair_mixing(spark, sf_dir).collect()
+    assert sorted((row["doc_id"], row["source"]) for row in found) == sorted((row[0], row[3]) for row in rows)
+    assert all(row["release"] <= row["slot"] < row["deadline"] for row in found)
+    assert len({(row["slot"], row["rank"]) for row in found}) == len(found)
+
+
+def test_many_small_chunks_keep_all(sample):
+    frame, rows = sample
+    found = mixing.mix(frame, block_rows=3, chunk_rows=4, resolution=50).collect()
+    assert sorted(row["doc_id"] for row in found) == sorted(row[0] for row in rows)
+    assert len({(row["mix"]["slot"], row["mix"]["rank"]) for row in found}) == len(rows)
+
+
+def test_odd_rows(odd_documents, empty_documents):
+    frame, rows = odd_documents
+    found = mixing.mix(frame)
+    assert found.columns == [*[name for name in frame.columns if name != "mix"], "mix"]
+    assert sorted([tuple(row[:2]) for row in found.collect()], key=repr) == sorted([row[:2] for row in rows], key=repr)
+    ordered = mixing.in_mixed_order(frame)
+    assert ordered.columns == frame.columns
+    assert mixing.mix(empty_documents).count() == 0
+    assert mixing.in_mixed_order(empty_documents).columns == empty_documents.columns
+
+
+def test_no_python_on_the_way(sample, plan):
+    text = plan(mixing.mix(sample[0]))
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
