@@ -27,8 +27,7 @@ SEPARATOR = 0
 # Tokens one packing task takes: enough that the sequences it leaves open at its end weigh little.
 TASK_TOKENS = 1 << 25
 
-PIECES = "doc_id long, piece int, start long, length long, ids binary"
-PACKED = PIECES + ", sequence_id long, offset long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class OpenBins:
@@ -84,14 +83,15 @@ def _pieces(batches, path: str, capacity: int, separator: int) -> Iterator[pa.Re
                 pa.array(pieces, pa.int32()),
                 pa.array(starts, pa.int64()),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([zlib.crc32(x) for x in ids], pa.int64()),
                 pa.array(ids, pa.binary()),
             ],
-            names=["doc_id", "piece", "start", "length", "ids"],
+            names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
         )
 
 
 def cut_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
-    """Token pieces of ``doc_id, text``: ids as little-endian unsigned 32-bit integers, the separator at the end.
+    """Token pieces of ``doc_id, text``: ids as little-endian unsigned 32-bit integers, the separator at the end, and their crc32.
 
     A null or empty text is the separator alone. Only documents longer than ``capacity`` are cut. Repeated rows and
     null doc_ids are documents like any other; further columns are ignored.
@@ -115,32 +115,24 @@ def _pack(batches, capacity: int, most: int) -> Iterator[pa.RecordBatch]:
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, task_tokens: int = TASK_TOKENS
+    pieces: DataFrame,
+    capacity: int = CAPACITY,
+    open_bins: int = OPEN_BINS,
+    task_tokens: int = TASK_TOKENS,
+    with_ids: bool = True,
 ) -> DataFrame:
     """``sequence_id`` and a gapless ``offset`` for each row of a written table of ``cut_pieces``.
 
-    Tasks read neighbouring files (no shuffle) until each has about ``task_tokens`` tokens.
+    Tasks read neighbouring files (no shuffle) until each has about ``task_tokens`` tokens. Without ids, only
+    their checksums are read and carried.
     """
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-tokens // task_tokens))
-    rows = pieces.select("doc_id", "piece", "start", "length", "ids").coalesce(tasks)
-    return map_batches(rows, _pack, PACKED, capacity=capacity, most=open_bins)
+    schema = PIECES if with_ids else PIECES.removesuffix(", ids binary")
+    rows = pieces.select([field.split()[0] for field in schema.split(", ")]).coalesce(tasks)
+    return map_batches(rows, _pack, schema + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, **options) -> DataFrame:
     """Cut, write the pieces to the shared work folder, and pack them."""
     return pack_pieces(materialise(cut_pieces(documents, tokenizer), "pieces"), **options)
-
-
-def _sums(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sums = pa.array([zlib.crc32(ids) for ids in batch.column("ids").to_pylist()], pa.int64())
-        at = batch.schema.get_field_index("ids")
-        names = [name if name != "ids" else "ids_crc32" for name in batch.schema.names]
-        columns = [column if k != at else sums for k, column in enumerate(batch.columns)]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
-def with_checksums(packed: DataFrame) -> DataFrame:
-    """The ids of each row replaced by their unsigned crc32."""
-    return map_batches(packed, _sums, PACKED.replace("ids binary", "ids_crc32 long"))

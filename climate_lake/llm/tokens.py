@@ -18,8 +18,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task per core
 
-# Most words the memo holds, and the longest of them: some 120 MB per Python worker.
-MEMO_WORDS = 600_000
+# Most words the memo holds, and the longest of them: some 80 MB per Python worker.
+MEMO_WORDS = 400_000
 MEMO_LETTERS = 64
 
 # Runs of letters, single digits, runs of anything else, after the contractions: the file's own split, for Latin-1.

@@ -1,0 +1,93 @@
+"""Vantage-point trees against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from climate_lake.llm import neighbours
+from climate_lake.llm.queries import op6_nearest_vectors
+
+
+def plain(vectors, every, k):
+    """{query: [(vec_id, score), ...]} by all cosines."""
+    names = np.array(sorted(vectors))
+    values = np.array([vectors[n] for n in names], float)
+    unit = values / np.linalg.norm(values, axis=1)[:, None]
+    out = {}
+    for at in np.flatnonzero(names % every == 0):
+        scores = unit @ unit[at]
+        scores[at] = -np.inf
+        order = np.lexsort((names, -scores.round(12)))[: min(k, len(names) - 1)]
+        out[int(names[at])] = [(int(names[x]), float(scores[x])) for x in order]
+    return out
+
+
+def got(frame):
+    out = {}
+    for row in frame.orderBy("query_id", "rank").collect():
+        own = out.setdefault(row["query_id"], [])
+        own.append((row["vec_id"], row["score"]))
+        assert row["rank"] == len(own)
+    return out
+
+
+def recall(found, expected):
+    hits = sum(len({n for n, _ in expected[q]} & {n for n, _ in found.get(q, [])}) for q in expected)
+    return hits / sum(map(len, expected.values()))
+
+
+def clusters(n, dim=16, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(20, dim))
+    return {k: (centres[k % 20] + 0.3 * rng.normal(size=dim)).astype(np.float32).tolist() for k in range(n)}
+
+
+def frame_of(spark, vectors):
+    return spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>")
+
+
+def test_table(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    expected = plain({row["vec_id"]: row["embedding"] for row in rows}, 50, 5)
+    found = got(op6_nearest_vectors(spark, sf_dir))
+    assert recall(found, expected) >= 0.9
+
+
+def test_factor_one_is_exact(spark):
+    vectors = clusters(1500)
+    found = got(neighbours.nearest(frame_of(spark, vectors), every=7, factor=1.0, shard_vectors=400, leaf=16, block_queries=50))
+    expected = plain(vectors, 7, 5)
+    assert found.keys() == expected.keys()
+    for query, own in expected.items():
+        assert [n for n, _ in found[query]] == [n for n, _ in own]
+        assert [s for _, s in found[query]] == pytest.approx([s for _, s in own], abs=1e-12)
+
+
+@pytest.mark.parametrize("factor", [neighbours.FACTOR, 2.0])
+def test_recall_falls_and_work_too(factor):
+    vectors = clusters(4000)
+    names, values = np.array(list(vectors)), np.array(list(vectors.values()))
+    tree, queries = neighbours.Tree(names, values), values[::50]
+    exact, _ = tree.search(names[::50], queries, 5, 1.0)
+    relaxed, _ = tree.search(names[::50], queries, 5, factor)
+    share = np.mean([len(set(a) & set(b)) / 5 for a, b in zip(exact.tolist(), relaxed.tolist())])
+    assert share >= (0.9 if factor == neighbours.FACTOR else 0.3)
+
+
+def test_ties_and_repeated_vectors(spark):
+    vectors = {k: [1.0, 2.0, 3.0] for k in range(300)} | {1000 + k: [-1.0, float(k), 0.0] for k in range(40)}
+    found = got(neighbours.nearest(frame_of(spark, vectors), every=100, shard_vectors=50, leaf=8))
+    assert [n for n, _ in found[100]] == [0, 1, 2, 3, 4] and [n for n, _ in found[0]] == [1, 2, 3, 4, 5]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, None), (100, [0.0, 0.0]), (150, [nan, 1.0]), (200, [inf, 1.0]),
+            (250, [None, 1.0]), (None, [1.0, 1.0]), (300, []), (2, [1.0, 1.0]), (350, [1.0, 2.0, 3.0]), (400, [2.0, 2.0, 3.0])]
+    frame = spark.createDataFrame([(*row, "x", "y", 1) for row in rows], "vec_id long, embedding array<double>, score string, vector string, shard int")
+    found = got(neighbours.nearest(frame))
+    assert {q: [n for n, _ in own] for q, own in found.items()} == {0: [2, 50], 50: [2, 0], 350: [400], 400: [350]}
+    assert neighbours.nearest(frame.limit(0)).count() == 0
+    alone = neighbours.nearest(frame.filter("vec_id = 0"))
+    assert alone.count() == 0 and alone.columns == ["query_id", "rank", "vec_id", "score"]

@@ -1,0 +1,121 @@
+"""Counts, the binomial bound and the choice of cutoffs against plain Python."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from climate_lake.llm import rules
+from climate_lake.llm.queries import op8_quality_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {k + j for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    own = [line for line in text.split("\n") if WORD.search(line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(text.count(c) for c in "#*$%&|<>"),
+        "n_dup_lines": len(own) - len(set(own)),
+        "n_repeat_words": len(covered),
+        "n_marks": text.count("!") + text.count("?"),
+        "n_lines": len(own),
+    }
+
+
+def plain_score(rule, c):
+    return {
+        "symbols": c["n_symbols"] / max(c["word_chars"], 1),
+        "exclaiming": c["n_marks"] / max(c["n_words"], 1),
+        "repeated_words": c["n_repeat_words"] / max(c["n_words"], 1),
+        "repeated_lines": c["n_dup_lines"] / max(c["n_lines"], 1),
+        "long_words": c["word_chars"] / max(c["n_words"], 1) / 100,
+    }[rule]
+
+
+def tail(k, n, p):
+    return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+
+
+def plain_verdicts(rows, labels, max_loss=rules.MAX_LOSS, error=rules.ERROR):
+    """(doc_id, kept) by the same method, over strata lang."""
+    counts = [plain_counts(row[1]) for row in rows]
+    failed = [c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"] for c in counts]
+    good = {name for name, quality in labels if quality == 1}
+    held = [(row[2], c) for row, c, bad in zip(rows, counts, failed) if not bad and row[0] in good]
+    strata = {lang for lang, _ in held}
+    cuts = {}
+    for lang in strata:
+        own = [c for one, c in held if one == lang]
+        for rule in rules.RULES:
+            for cut in sorted(rules.CUTOFFS):
+                k = sum(plain_score(rule, c) > cut for c in own)
+                risk = max_loss / len(rules.RULES)
+                if k < len(own) * risk and tail(k, len(own), risk) <= error / (len(strata) * len(rules.RULES) * len(rules.CUTOFFS)):
+                    cuts[lang, rule] = cut
+                    break
+    return [
+        (row[0], not bad and all(plain_score(rule, c) <= cuts.get((row[2], rule), math.inf) for rule in rules.RULES))
+        for row, c, bad in zip(rows, counts, failed)
+    ]
+
+
+def test_table(spark, sample, sf_dir):
+    _, rows = sample
+    labels = [tuple(row) for row in spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").collect()]
+    found = op8_quality_rules(spark, sf_dir).collect()
+    kept = dict(plain_verdicts(rows, labels))
+    texts = {row[0]: row[1] for row in rows}
+    for row in found:
+        assert all(row[name] == n for name, n in plain_counts(texts[row["doc_id"]]).items() if name in found[0].asDict())
+        assert row["kept"] == kept[row["doc_id"]]
+    assert len(found) == len(rows)
+
+
+def test_enough_labels_choose_cutoffs(spark, documents):
+    rng = random.Random(4)
+    clean = lambda: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))
+    rows = [(k, clean() + (" ###" * 15 if k % 50 == 0 else ""), ("en", "de")[k % 4 == 0], "s") for k in range(6000)]
+    labels = [(k, int(k % 50 != 0)) for k in range(6000)]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    options = {"max_loss": 0.05, "error": 0.1}
+    found = {row["doc_id"]: row["kept"] for row in rules.judge(documents(*rows), frame, **options).collect()}
+    assert found == dict(plain_verdicts(rows, labels, **options))
+    assert not any(found[k] for k in range(0, 6000, 50)) and all(found[k] for k in range(6000) if k % 50)
+
+
+@pytest.mark.parametrize("n, k, p", [(1, 0, 0.5), (10, 2, 0.4), (500, 3, 0.02), (100_000, 300, 0.004), (50, 49, 0.999), (200_000, 0, 0.02)])
+def test_binomial_tail(spark, n, k, p):
+    frame = spark.createDataFrame([(k, n)], "k long, n long")
+    got = frame.select(rules.binomial_tail(F.col("k"), F.col("n"), p).alias("x")).first()["x"]
+    assert got == pytest.approx(tail(k, n, p), rel=1e-9, abs=1e-300)
+
+
+def test_odd_rows(spark, odd_documents, empty_documents):
+    frame, rows = odd_documents
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None), (3, 1), (77, 1)], "doc_id long, quality int")
+    found = rules.judge(frame, labels).collect()
+    assert len(found) == len(rows)
+    by_id = {row["doc_id"]: row for row in found}
+    assert by_id[1]["n_words"] == 0 and by_id[1]["base_failed"] and not by_id[1]["kept"]
+    assert by_id[3]["kept"] and by_id[9]["n_repeat_words"] == 60 and not by_id[9]["kept"]
+    kept = rules.keep_good(frame, labels)
+    assert kept.columns == frame.columns and [row["doc_id"] for row in kept.collect()] == [3]
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert rules.judge(empty_documents, none).count() == 0 and rules.judge(frame, none).count() == len(rows)
+
+
+def test_no_python_on_the_way(spark, sample, plan):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    text = plan(rules.judge(sample[0], labels))
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
