@@ -21,7 +21,7 @@ from climate_lake.session import materialise
 RESOLUTION = 1000
 BLOCK_ROWS = 64
 # Rows of a source that one task ranks.
-CHUNK_ROWS = 200_000
+CHUNK_ROWS = 5_000
 TEMPERATURE = 0.5
 
 PLAN = ("source", "block", "rank", "slot", "release", "deadline")
