@@ -24,9 +24,9 @@ from climate_lake.session import materialise
 
 THRESHOLD = 0.3
 # Bounds of the fit: labelled training documents used at most (chosen by hash), features, and voters.
-MAX_FIT_DOCS = 200_000
+MAX_FIT_DOCS = 40_000
 MAX_FEATURES = 20_000
-MAX_VOTERS = 300
+MAX_VOTERS = 150
 # Lengths of beginnings; a pattern is written with a star.
 BEGINNINGS = (4, 5, 6)
 MIN_DOCS = 5
@@ -115,7 +115,8 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30, min_corr
         mass = np.stack([1 - posterior, posterior])
         rates = (mass @ votes + 0.01 * votes.mean(axis=0) + 1e-3) / (mass.sum(axis=1, keepdims=True) + 0.01 + 2e-3)
         rates = np.clip(rates, 1e-6, 1 - 1e-6)
-        residual = votes - (posterior[:, None] * rates[1] + (1 - posterior)[:, None] * rates[0])
+        residual = votes - np.outer(posterior, rates[1]).astype(np.float32)
+        residual -= np.outer(1 - posterior, rates[0]).astype(np.float32)
         spread = np.sqrt((residual**2).mean(axis=0)) + 1e-9
         correlation = np.abs(residual.T @ residual / n / np.outer(spread, spread))
         np.fill_diagonal(correlation, 0.0)
@@ -154,7 +155,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     """
     marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).limit(MAX_FIT_DOCS)
-    fit = materialise(documents.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic"), "labelled")
+    # At most MAX_FIT_DOCS short rows: sent to all tasks, so that no text is shuffled.
+    fit = materialise(documents.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic"), "labelled")
     sizes = {row["toxic"]: row["count"] for row in fit.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
@@ -163,7 +165,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     # Features of the few toxic documents first; only those are looked for in the others.
     counted = map_batches(fit.filter("toxic = 1"), _count_features, "feature string, toxic int, n long", only=None)
     toxic = counted.groupBy("feature").agg(F.sum("n").alias("n1")).filter(F.col("n1") >= MIN_DOCS)
-    in_toxic = {row["feature"]: row["n1"] for row in toxic.orderBy(F.desc("n1"), "feature").limit(10 * MAX_FEATURES).collect()}
+    in_toxic = {row["feature"]: row["n1"] for row in toxic.orderBy(F.desc("n1"), "feature").limit(3 * MAX_FEATURES).collect()}
     counted = map_batches(
         fit.filter("toxic != 1"), _count_features, "feature string, toxic int, n long", only=frozenset(in_toxic)
     )
@@ -182,8 +184,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     features = {name: i for i, name in enumerate(names.tolist())}
     # A bounded number of rows: MAX_FIT_DOCS at most, each a short list of feature numbers.
     found = map_batches(fit, _fired, "toxic int, found array<int>", features=features).toPandas()
-    rows = [np.asarray(x, np.int64) for x in found["found"]]
+    rows = [np.asarray(x, np.int32) for x in found["found"]]
     marked = (found["toxic"].to_numpy() == 1).astype(float)
+    del found
 
     # Voters: strong entries, widest reach first.
     strong = np.flatnonzero(gain > 2.0)
