@@ -64,7 +64,7 @@ def blocks_of(rows):
 
 def test_deviation_stays_below_one_block(spark):
     counts = {"a": 3000, "b": 1000, "c": 400, "d": 37}
-    shares = {"a": 1.0, "b": 4.0, "c": 2.5, "d": 2.5}
+    shares = {"a": 1.0, "b": 4.0, "c": 3.0, "d": 2.0}
     rows = [(k, s) for s in counts for k in range(counts[s])]
     frame = spark.createDataFrame(rows, "doc_id long, source string")
     weights = spark.createDataFrame(list(shares.items()), "source string, weight double")
@@ -72,7 +72,7 @@ def test_deviation_stays_below_one_block(spark):
     assert sorted((row["doc_id"], row["source"]) for row in found) == sorted(rows)
     blocks, done = blocks_of(found), defaultdict(int)
     assert [slot for slot, _, _ in blocks] == list(range(len(blocks)))
-    running = min(-(-counts[s] // 5) / shares[s] for s in counts) * 10 - 10  # as long as every source gives
+    running = min(-(-counts[s] // 5) // int(shares[s]) for s in counts) * 10  # as long as every source gives
     for slot, source, block in blocks:
         assert block == done[source]
         done[source] += 1
