@@ -59,8 +59,13 @@ def land_table(df: DataFrame, raw: str, table: str, as_of: datetime) -> str:
 
 
 def land_documents(documents: DataFrame, raw: str, as_of: datetime) -> str:
-    """Land API documents of one fetch, a folder per city."""
+    """Land API documents of one fetch, a folder per city.
+
+    Only the folders of the cities in this fetch are replaced: another landing in the same hour adds its cities.
+    """
     path = f"{raw}/weather-api/{_hour_folder(as_of)}"
     by_city = documents.withColumn("city", F.col("city_info.name"))
-    by_city.hint("rebalance", "city").write.mode("overwrite").partitionBy("city").json(path)
+    by_city.hint("rebalance", "city").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("city").json(path)
     return path

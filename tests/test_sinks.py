@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import datetime
+
 import pytest
 
 from climate_lake.operators.cleaning import clean_observations
 from climate_lake.session import materialise, settings_for, work_path
-from climate_lake.sinks.tables import write_csv, write_table
+from climate_lake.sinks.tables import land_documents, write_csv, write_table
 from climate_lake.sources.files import list_files
 from climate_lake.sources.tables import read_table
 
@@ -75,3 +77,16 @@ def test_settings_follow_the_data_size():
     partitions = int(settings_for(10 * 10**12)["spark.sql.shuffle.partitions"])
     assert 70_000 < partitions < 80_000
     assert int(settings_for(10**18)["spark.sql.shuffle.partitions"]) == 100_000
+
+
+def test_second_landing_in_an_hour_keeps_the_first(spark, tmp_path):
+    def fetch(*cities, elevation):
+        fields = "city_info struct<name:string>, elevation double"
+        return spark.createDataFrame([((city,), elevation) for city in cities], fields)
+
+    as_of, raw = datetime(2025, 6, 1, 20, 55), str(tmp_path / "raw")
+    land_documents(fetch("a", "b", elevation=1.0), raw, as_of)
+    land_documents(fetch("c", elevation=1.0), raw, as_of)
+    path = land_documents(fetch("b", elevation=2.0), raw, as_of)
+    found = spark.read.json(path).select("city", "elevation").collect()
+    assert sorted(map(tuple, found)) == [("a", 1.0), ("b", 2.0), ("c", 1.0)]
