@@ -8,42 +8,37 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from climate_lake.session import materialise
+
 # A frame may be broadcast only if it was counted and stays below both bounds.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Rows of one key that a single join task may read before the key is split.
 ROWS_PER_SPLIT = 2_000_000
-# Any key beyond the most frequent HOT_KEYS holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``: row count and text size, reading at most ``max_rows + 1`` rows into the count."""
+    """Measure ``df``: row count and text size, added up in each task before the shuffle."""
     if max_rows <= 0:
         return False
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count("*").alias("rows"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
+    size = df.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Keys that need more than one task, with the number of ``splits``; at most HOT_KEYS rows.
+    """Every key that needs more than one task, with the number of ``splits``.
 
-    The count is combined before the shuffle, and the most frequent keys come
-    from a distributed top-k, so nothing here grows with the data.
+    The count is combined before the shuffle. Each of these keys has more than
+    ``rows_per_split`` rows, so the list is short against the rows, but it does
+    grow with them: measure it before it is broadcast.
     """
-    frequent = (
-        df.groupBy(*keys).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), *keys).limit(HOT_KEYS)
-    )
+    counted = df.groupBy(*keys).agg(F.count("*").alias("rows"))
     splits = F.ceil(F.col("rows") / rows_per_split).cast("int")
-    return frequent.select(*keys, splits.alias("splits")).filter(F.col("splits") > 1)
+    return counted.select(*keys, splits.alias("splits")).filter(F.col("splits") > 1)
 
 
 def _equal(keys: list[str], prefix: str, null_safe: bool) -> Column:
@@ -55,6 +50,31 @@ def _prefixed(keys: list[str], prefix: str) -> list[Column]:
     return [F.col(key).alias(prefix + key) for key in keys]
 
 
+def _measured(marks: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """The hot keys, written once, and 0 if they can be broadcast, else the largest number of splits."""
+    stored = materialise(marks, "hot-keys")
+    if fits_broadcast(stored, max_rows):
+        return stored, 0
+    return stored, stored.agg(F.coalesce(F.max("splits"), F.lit(1))).first()[0]
+
+
+def _with_splits(df: DataFrame, keys: list[str], marks: DataFrame, widest: int, name: str) -> DataFrame:
+    """``df`` with the splits of its key in column ``name``, NULL for keys that are not hot.
+
+    A list beyond the broadcast bound is joined by shuffle. Every key is then
+    spread over ``widest`` salts, with the list copied to each of them, so that
+    finding the hot keys does not itself gather one of them in a task.
+    """
+    listed = marks.select(*_prefixed(keys, "_hot_"), F.col("splits").alias(name))
+    same = _equal(keys, "_hot_", True)
+    if not widest:
+        return df.join(F.broadcast(listed), same, "left").select(*df.columns, name)
+    salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(widest)).cast("int")
+    copied = listed.withColumn("_hot_salt", F.explode(F.sequence(F.lit(0), F.lit(widest - 1))))
+    salted = df.withColumn("_salt", salt)
+    return salted.join(copied, same & (F.col("_salt") == F.col("_hot_salt")), "left").select(*df.columns, name)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -62,13 +82,14 @@ def salted_join(
     how: str = "inner",
     null_safe: bool = False,
     rows_per_split: int = ROWS_PER_SPLIT,
+    max_marks: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Inner or left join on same-named ``keys`` that splits hot keys over several tasks.
 
     A hot key of one side has its rows spread over salts and the other side's
-    rows copied once per salt. An inner join splits hot keys of both sides; a
-    left join only those of the left, because a copied left row without match
-    would appear twice. Keys that are not hot get salt 0 and one copy.
+    rows copied once per salt. Keys that are not hot get salt 0 and one copy.
+    In a left join, a left row whose key is hot on the right surely matches, so
+    its copies that met no row in their salt are dropped.
 
     The salt hashes the row together with its partition number: a task that is
     run again gives every row the same salt whatever order its input arrives
@@ -78,21 +99,17 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError("salting supports inner and left joins")
     payload = [name for name in right.columns if name not in keys]
-    marks = [
-        hot_keys(left, keys, rows_per_split).select(*_prefixed(keys, "_hot_left_"), F.col("splits").alias("_left_n"))
-    ]
-    if how == "inner":
-        marks.append(
-            hot_keys(right, keys, rows_per_split).select(
-                *_prefixed(keys, "_hot_right_"), F.col("splits").alias("_right_n")
-            )
-        )
+    # NULL keys match nothing in a plain join: right rows with one need no split.
+    matching = right if null_safe else right.dropna("any", subset=keys)
+    marks = {
+        "_left_n": _measured(hot_keys(left, keys, rows_per_split), max_marks),
+        "_right_n": _measured(hot_keys(matching, keys, rows_per_split), max_marks),
+    }
 
     def tagged(df: DataFrame) -> DataFrame:
-        # At most HOT_KEYS rows each, see hot_keys.
-        for prefix, frame in zip(["_hot_left_", "_hot_right_"], marks):
-            df = df.join(F.broadcast(frame), _equal(keys, prefix, True), "left")
-        return df if how == "inner" else df.withColumn("_right_n", F.lit(None).cast("int"))
+        for name, (frame, widest) in marks.items():
+            df = _with_splits(df, keys, frame, widest, name)
+        return df
 
     def one_of(splits: str, columns: list[str]) -> Column:
         row_hash = F.xxhash64(*columns, F.spark_partition_id())
@@ -104,15 +121,19 @@ def salted_join(
     salted = (
         tagged(left)
         .withColumn("_a", one_of("_left_n", left.columns))
-        .select(*left.columns, "_a", each_of("_right_n").alias("_b"))
+        .select(*left.columns, "_right_n", "_a", each_of("_right_n").alias("_b"))
     )
     copied = (
         tagged(right)
         .withColumn("_right__b", one_of("_right_n", right.columns))
         .select(*_prefixed(keys, "_right_"), "_right__b", each_of("_left_n").alias("_right__a"), *payload)
+        .withColumn("_met", F.lit(True))
     )
     match = _equal(keys, "_right_", null_safe) & _equal(["_a", "_b"], "_right_", False)
-    return salted.join(copied, match, how).select(*left.columns, *payload)
+    joined = salted.join(copied, match, how)
+    if how == "left":
+        joined = joined.filter(F.col("_right_n").isNull() | F.col("_met"))
+    return joined.select(*left.columns, *payload)
 
 
 def lookup_join(

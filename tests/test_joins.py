@@ -41,9 +41,10 @@ def expected(left, right, how, null_safe):
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("rows_per_split", [3, 100, 10_000])
-def test_salted_join_equals_plain_join(hot_pair, how, null_safe, rows_per_split):
+@pytest.mark.parametrize("max_marks", [0, 1_000])
+def test_salted_join_equals_plain_join(hot_pair, how, null_safe, rows_per_split, max_marks):
     left, right = hot_pair
-    joined = joins.salted_join(left, right, ["key"], how, null_safe, rows_per_split)
+    joined = joins.salted_join(left, right, ["key"], how, null_safe, rows_per_split, max_marks)
     assert joined.columns == ["key", "value", "attribute"]
     assert Counter(tuple(row) for row in joined.collect()) == expected(left, right, how, null_safe)
 
@@ -55,11 +56,13 @@ def test_dimension_join_forms_agree(hot_pair, max_rows):
     assert Counter(tuple(row) for row in joined.collect()) == expected(left, right, "left", True)
 
 
-def test_hot_keys_are_bounded_and_split(hot_pair):
+def test_every_hot_key_is_split(spark, hot_pair):
     left, _ = hot_pair
     marks = {row.key: row.splits for row in joins.hot_keys(left, ["key"], 100).collect()}
     assert marks["hot"] == 10
     assert all(splits > 1 for splits in marks.values())
+    many = spark.range(4500).select((F.col("id") % 1500).alias("key"))
+    assert joins.hot_keys(many, ["key"], 2).count() == 1500
 
 
 def test_hot_key_reaches_several_tasks(spark, hot_pair):
