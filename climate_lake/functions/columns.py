@@ -82,6 +82,8 @@ def climate_category() -> Column:
 
 
 def season_code() -> Column:
-    """1 for December to February, then one per quarter; 4 for an unknown month."""
-    quarter = F.floor(F.pmod(F.col("month"), F.lit(12)) / 3) + 1
-    return F.coalesce(quarter, F.lit(4)).cast("int")
+    """1 for December to February, 2 to May, 3 to August, 4 to November and for anything that is no month."""
+    month = F.col("month")
+    return (
+        F.when(month.isin(12, 1, 2), 1).when(month.between(3, 5), 2).when(month.between(6, 8), 3).otherwise(4).cast("int")
+    )

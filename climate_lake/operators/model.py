@@ -1,7 +1,9 @@
-"""Lag features and a random forest on the mean temperature."""
+"""Lag features, and random forests on the mean temperature and the precipitation."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -24,6 +26,24 @@ MODEL_INPUTS = [
 ]
 
 
+@dataclass(frozen=True)
+class Target:
+    """A measure to predict, and the columns it is predicted from."""
+
+    name: str
+    label: str
+    inputs: tuple[str, ...]
+
+
+TEMPERATURE = Target("temperature", "temp_avg", tuple(MODEL_INPUTS))
+# The measure itself is no input; the mean temperature takes its place.
+PRECIPITATION = Target(
+    "precipitation",
+    "precipitation",
+    tuple("temp_avg" if name == "precipitation" else name for name in MODEL_INPUTS),
+)
+
+
 def lag_features(weather: DataFrame) -> DataFrame:
     """Mean temperature of the two preceding entries of the city.
 
@@ -41,30 +61,56 @@ def model_rows(weather: DataFrame) -> DataFrame:
     return lag_features(weather).withColumns({"day_of_year": F.dayofyear("date"), "season": season_code()})
 
 
-def _ready(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "city_name", "date", "temp_avg", *[F.col(name).cast("double").alias(name) for name in MODEL_INPUTS]
-    ).dropna()
+def _ready(rows: DataFrame, target: Target) -> DataFrame:
+    """Rows with a known label. An absent input is 0 with its indicator set, so no row is lost for it."""
+    filled = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in target.inputs]
+    absent = [F.col(name).isNull().cast("double").alias(f"{name}_absent") for name in target.inputs]
+    label = F.col(target.label).cast("double").alias("label")
+    return rows.filter(F.col(target.label).isNotNull()).select(label, *filled, *absent)
+
+
+def with_part(rows: DataFrame, train_tenths: int = 8) -> DataFrame:
+    """``training`` is true for the first tenths of the covered time span: no test day precedes a training day."""
+    span = rows.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    days = F.floor(F.datediff("last", "first") * train_tenths / 10).cast("int")
+    # One row.
+    cut = F.broadcast(span.select(F.date_add("first", days).alias("_cut")))
+    return rows.join(cut, F.col("date") < F.col("_cut"), "left").select(
+        *rows.columns, F.col("_cut").isNotNull().alias("training")
+    )
 
 
 def split(rows: DataFrame, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows, told apart by a hash of city and date: the same on every run."""
-    bucket = F.pmod(F.xxhash64("city_name", "date"), F.lit(10))
-    return rows.filter(bucket < train_tenths), rows.filter(bucket >= train_tenths)
+    """Training rows and the later test rows."""
+    parts = with_part(rows, train_tenths)
+    return parts.filter("training").drop("training"), parts.filter(~F.col("training")).drop("training")
 
 
-def train(rows: DataFrame, trees: int = 20, depth: int = 5, seed: int = 42) -> PipelineModel:
+def train(
+    rows: DataFrame, target: Target = TEMPERATURE, trees: int = 20, depth: int = 5, seed: int = 42
+) -> PipelineModel:
+    inputs = [*target.inputs, *[f"{name}_absent" for name in target.inputs]]
     forest = RandomForestRegressor(
-        featuresCol="scaled_features", labelCol="temp_avg", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="scaled_features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
     )
     stages = [
-        VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features"),
+        VectorAssembler(inputCols=inputs, outputCol="features"),
         StandardScaler(inputCol="features", outputCol="scaled_features"),
         forest,
     ]
-    return Pipeline(stages=stages).fit(_ready(rows))
+    return Pipeline(stages=stages).fit(_ready(rows, target))
 
 
-def evaluate(model: PipelineModel, rows: DataFrame) -> float:
-    scored = model.transform(_ready(rows))
-    return RegressionEvaluator(labelCol="temp_avg", metricName="rmse").evaluate(scored)
+def evaluate(model: PipelineModel, rows: DataFrame, target: Target = TEMPERATURE) -> float:
+    scored = model.transform(_ready(rows, target))
+    return RegressionEvaluator(labelCol="label", metricName="rmse").evaluate(scored)
+
+
+def persistence_error(rows: DataFrame) -> DataFrame:
+    """Rows, rows with a preceding entry, and the error of predicting a day by that entry."""
+    error = F.col("temp_avg") - F.col("temp_lag1")
+    return rows.agg(
+        F.count("*").alias("rows"),
+        F.count(error).alias("rows_used"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+    )

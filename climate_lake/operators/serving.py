@@ -57,30 +57,37 @@ def latest_observations(weather: DataFrame, as_of: date, city: str = "all", limi
     return recent.select(*LATEST_COLUMNS).orderBy(F.desc("date"), *rest).limit(limit)
 
 
-def trends(monthly: DataFrame, city: str | None = None, year: int = 2024) -> DataFrame:
-    """Months of one city, or the first hundred city months."""
+def _at_most(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
+def trends(monthly: DataFrame, city: str | None = None, year: int = 2024, limit: int | None = 100) -> DataFrame:
+    """Months of one city, or the first ``limit`` city months (None: all)."""
     rows = monthly.filter(F.col("year") == year).select(*TREND_COLUMNS)
     if city:
         return rows.filter(F.col("city_name") == city).orderBy("month")
-    return rows.orderBy("city_name", "month").limit(100)
+    return _at_most(rows.orderBy("city_name", "month"), limit)
 
 
-def extreme_events(summary: DataFrame, event_type: str = "all", year: int = 2024) -> DataFrame:
-    """The fifty largest event groups of a year."""
+def extreme_events(
+    summary: DataFrame, event_type: str = "all", year: int = 2024, limit: int | None = 50
+) -> DataFrame:
+    """The ``limit`` largest event groups of a year (None: all)."""
     rows = summary.filter(F.col("year") == year)
     if event_type != "all":
         rows = rows.filter(F.col("event_type") == event_type)
-    return (
-        rows.select(*EVENT_COLUMNS).orderBy(F.desc("event_count"), "city_name", "event_type").limit(50)
-    )
+    largest = rows.select(*EVENT_COLUMNS).orderBy(F.desc("event_count"), "city_name", "event_type")
+    return _at_most(largest, limit)
 
 
-def annual(summary: DataFrame, year: int = 2024, climate_category: str = "all") -> DataFrame:
-    """Warmest cities of a year: twenty of all, or every city of one category."""
+def annual(
+    summary: DataFrame, year: int = 2024, climate_category: str = "all", limit: int | None = 20
+) -> DataFrame:
+    """Warmest cities of a year: the first ``limit`` (None: all), or every city of one category."""
     rows = summary.filter(F.col("year") == year).select(*SUMMARY_COLUMNS)
     order = [F.desc("annual_avg_temp"), F.col("city_name")]
     if climate_category == "all":
-        return rows.orderBy(*order).limit(20)
+        return _at_most(rows.orderBy(*order), limit)
     return rows.filter(F.col("climate_category") == climate_category).orderBy(*order)
 
 
@@ -110,7 +117,7 @@ def json_rows(result: DataFrame) -> DataFrame:
 
 
 def response_header(result: DataFrame, params: Mapping[str, str]) -> DataFrame:
-    """The envelope around ``json_rows``: row count and the query parameters."""
+    """The envelope around ``json_rows``: rows returned, after any limit of the read, and the query parameters."""
     return result.agg(F.count("*").alias("total_records")).withColumn(
         "query_params", F.lit(dumps(dict(params), ensure_ascii=False))
     )

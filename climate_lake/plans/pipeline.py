@@ -19,15 +19,20 @@ from climate_lake.sources.tables import LakePaths, read_table, read_table_if_pre
 STEP = "step string, status string, error string, finished string"
 
 
-def run_etl(spark: SparkSession, paths: LakePaths, latest: bool = False) -> None:
-    """Raw to trusted. ``latest`` keeps one row per city and date and the newest snapshots only."""
+def run_etl(spark: SparkSession, paths: LakePaths, latest: bool = False, all_stations: bool = False) -> None:
+    """Raw to trusted. ``latest`` keeps one row per city and date and the newest snapshots only.
+
+    Stations come from their newest snapshot; with ``all_stations`` from every
+    one, which repeats each matched observation once per snapshot.
+    """
     observations = cleaning.clean_observations(flatten_daily(read_documents(spark, paths.raw)))
     write_table(cleaning.latest_only(observations) if latest else observations, paths, "weather_data")
 
-    def snapshot(name: str) -> DataFrame:
-        return read_snapshots(spark, paths.raw, name, latest)
+    def snapshot(name: str, newest: bool = latest) -> DataFrame:
+        return read_snapshots(spark, paths.raw, name, newest)
 
-    write_table(cleaning.clean_stations(snapshot("weather_stations")), paths, "weather_stations")
+    stations = snapshot("weather_stations", latest or not all_stations)
+    write_table(cleaning.clean_stations(stations), paths, "weather_stations")
     write_table_if_any(cleaning.clean_events(snapshot("climate_events")), paths, "climate_events")
     write_table_if_any(cleaning.clean_thresholds(snapshot("weather_thresholds")), paths, "weather_thresholds")
 
@@ -65,13 +70,14 @@ def run(
     latest: bool = False,
     corrected: bool = False,
     keep_going: bool = False,
+    all_stations: bool = False,
 ) -> DataFrame:
     """Run all jobs; one row per job with its status.
 
     A failing job raises, or with ``keep_going`` is reported and the next one runs.
     """
     jobs: dict[str, Callable[[], None]] = {
-        "etl": lambda: run_etl(spark, paths, latest),
+        "etl": lambda: run_etl(spark, paths, latest, all_stations),
         "analytics": lambda: run_analytics(spark, paths),
         "climatology": lambda: run_climatology(spark, paths, as_of, corrected),
     }

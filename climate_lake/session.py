@@ -18,14 +18,13 @@ SETTINGS = {
 # Input of one task, and shuffle data of one reducer, that fit executor memory well.
 SCAN_TASK_BYTES = 256 * 1024 * 1024
 SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 # The raw zone holds one small file per fetch: about a thousand of them make a task.
 SMALL_FILE_BYTES = 256 * 1024
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
     """Partition sizes for a run over ``input_bytes``; adaptive execution merges partitions that stay small."""
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_TASK_BYTES)))
+    partitions = max(200, -(-input_bytes // SHUFFLE_TASK_BYTES))
     return {
         "spark.sql.files.maxPartitionBytes": str(SCAN_TASK_BYTES),
         "spark.sql.files.openCostInBytes": str(SMALL_FILE_BYTES),

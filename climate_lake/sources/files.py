@@ -6,16 +6,17 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FILE = "path string, length bigint"
 
 
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
-    """Path and length of the files below the folders; contents are not read, absent folders are empty.
+    """Path and length of every file below the folders; contents are not read, absent folders are empty.
 
-    A scan passes over files of length zero. They are listed only for a folder
-    without any other file, which is where they matter; an inventory of the
-    store with ``path`` and ``length`` can be used instead.
+    A scan passes over files of length zero. Those are the names in the
+    scan's own file index that it gave no row for. For a store with very many
+    files, give the reports its inventory instead (``path`` and ``length``).
     """
     def one(folder: str) -> DataFrame:
         try:
@@ -24,9 +25,12 @@ def list_files(spark: SparkSession, *folders: str) -> DataFrame:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], FILE)
-        files = found.select("path", "length")
-        if files.isEmpty():
-            return spark.createDataFrame([(name, 0) for name in found.inputFiles()], FILE)
-        return files
+        filled = found.select("path", "length")
+        # The index names files as encoded URIs, the scan as plain paths.
+        names = spark.createDataFrame([(name,) for name in found.inputFiles()], "uri string")
+        plain = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+        indexed = names.select(F.regexp_replace(plain, "^file:/+", "file:/").alias("path"))
+        empty = indexed.join(filled, "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"))
+        return filled.unionByName(empty)
 
     return reduce(DataFrame.unionByName, [one(folder) for folder in folders])

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from climate_lake.schemas import RAW_DOCUMENT, RAW_EVENTS, RAW_STATIONS, RAW_THRESHOLDS
+from climate_lake.sources.files import list_files
 
 SNAPSHOT_SCHEMAS = {
     "weather_stations": RAW_STATIONS,
@@ -47,18 +48,32 @@ def read_documents(spark: SparkSession, raw: str) -> DataFrame:
 
 def read_snapshots(spark: SparkSession, raw: str, table: str, latest: bool = False) -> DataFrame:
     """Rows of every snapshot of a relational table, or only of the ``latest`` one."""
-    rows = _read_json(spark, f"{raw}/database/{table}", SNAPSHOT_SCHEMAS[table], f"{table}_data")
+    folder = f"{raw}/database/{table}"
+    if latest:
+        folder = newest_folder(list_files(spark, folder), f"{table}_data") or folder
+    rows = _read_json(spark, folder, SNAPSHOT_SCHEMAS[table], f"{table}_data")
     return (latest_snapshot(rows) if latest else rows).drop("_file")
 
 
-def latest_snapshot(rows: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot, dated by the folder and file names in ``_file``."""
-    path = F.col("_file")
+def newest_folder(files: DataFrame, name: str) -> str | None:
+    """Folder of the newest snapshot file with content, from a listing: no other folder need be read."""
+    base = F.regexp_extract("path", r"([^/]*)$", 1)
+    found = files.filter((F.col("length") > 0) & base.rlike(rf"^({name}|part-).*\.json$"))
+    newest = found.agg(F.max_by("path", _taken(F.col("path"))).alias("path")).first()["path"]
+    return newest and newest.rsplit("/", 1)[0]
+
+
+def _taken(path: Column) -> Column:
+    """Time of a snapshot as text that sorts, from the folder and file names."""
     day = F.regexp_extract(path, r"/(\d{4}/\d{2}/\d{2})/", 1)
     hour = F.regexp_extract(path, r"/\d{4}/\d{2}/\d{2}/(\d{2})/", 1)
     second = F.regexp_extract(path, r"_data_(\d{6})\.json$", 1)
-    taken = F.concat(day, F.lit("/"), F.when(second != "", second).otherwise(F.rpad(hour, 6, "0")))
-    dated = rows.withColumn(SNAPSHOT, taken)
+    return F.concat(day, F.lit("/"), F.when(second != "", second).otherwise(F.rpad(hour, 6, "0")))
+
+
+def latest_snapshot(rows: DataFrame) -> DataFrame:
+    """Rows of the newest snapshot, dated by the folder and file names in ``_file``."""
+    dated = rows.withColumn(SNAPSHOT, _taken(F.col("_file")))
     newest = dated.agg(F.max(SNAPSHOT).alias(SNAPSHOT))
     # One row.
     return dated.join(F.broadcast(newest), SNAPSHOT).drop(SNAPSHOT)

@@ -34,12 +34,14 @@ THRESHOLD_COLUMNS = [
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] = (0, 0),
-    partitions: int = 1, **options: str,
+    spark: SparkSession, url: str, table: str, key: str | None = None,
+    bounds: tuple[int, int] | None = None, partitions: int = 1, **options: str,
 ) -> DataFrame:
-    """A table over JDBC, read in ``partitions`` ranges of a numeric ``key``."""
+    """A table over JDBC, read in ``partitions`` ranges of a numeric ``key`` within ``bounds``."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-    if key and partitions > 1:
+    if partitions > 1:
+        if not key or bounds is None or bounds[0] >= bounds[1]:
+            raise ValueError("several partitions need a key and its lowest and highest value")
         reader = reader.options(
             partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions
         )
@@ -57,12 +59,15 @@ def recent_events(
 
     Events carry dates, the window ends at a point in time: a date counts if
     its midnight lies inside. The event id makes the order total, so that one
-    busy day can still be sorted by several tasks.
+    busy day can still be sorted by several tasks. The implied years let a
+    partitioned table skip the others.
     """
     end = as_of if isinstance(as_of, datetime) else datetime.combine(as_of, time.min)
     start = end - timedelta(days=days_back)
     first_day = start.date() if start.time() == time.min else start.date() + timedelta(days=1)
     recent = events.filter(F.col("event_date").between(F.lit(first_day), F.lit(end.date())))
+    if "year" in events.columns:
+        recent = recent.filter(F.col("year").between(first_day.year, end.year))
     place = ["station_name", "city", "department"]
     joined = dimension_join(recent.select(*EVENT_COLUMNS), stations.select("station_id", *place), ["station_id"])
     return joined.select(*EVENT_COLUMNS, *place).orderBy(F.desc("event_date"), "event_id")

@@ -47,9 +47,9 @@ def test_features_derive_mean_only_from_both_extremes(spark):
 def test_season_codes(spark):
     from climate_lake.functions.columns import season_code
 
-    months = spark.createDataFrame([(month,) for month in [*range(1, 13), None]], "month int")
+    months = spark.createDataFrame([(month,) for month in [*range(1, 13), None, 0, 13]], "month int")
     seasons = [row.s for row in months.select(season_code().alias("s")).collect()]
-    assert seasons == [1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4, 1, 4]
+    assert seasons == [1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4, 1, 4, 4, 4]
 
 
 def test_months_need_five_rows(weather):

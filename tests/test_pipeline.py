@@ -6,6 +6,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from climate_lake.__main__ import main
 from climate_lake.operators import model, quality
@@ -70,7 +71,7 @@ def lake(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     build_raw(root / "raw")
     paths = LakePaths(str(root))
-    steps = pipeline.run(spark, paths, AS_OF)
+    steps = pipeline.run(spark, paths, AS_OF, all_stations=True)
     assert {(row.step, row.status) for row in steps.collect()} == {
         ("etl", "COMPLETED"), ("analytics", "COMPLETED"), ("climatology", "COMPLETED"),
     }
@@ -181,6 +182,15 @@ def test_reports_on_nothing(spark, tmp_path):
     assert (basic.total_checks, basic.passed_checks) == (8, 3)
 
 
+def test_stations_of_the_newest_snapshot(spark, tmp_path):
+    build_raw(tmp_path / "raw")
+    paths = LakePaths(str(tmp_path))
+    pipeline.run_etl(spark, paths)
+    assert read_table(spark, paths, "weather_data").count() == 42
+    assert read_table(spark, paths, "weather_stations").count() == 2
+    assert read_table(spark, paths, "integrated_weather_data").count() == 42
+
+
 def test_latest_option(spark, tmp_path):
     build_raw(tmp_path / "raw")
     paths = LakePaths(str(tmp_path))
@@ -243,6 +253,13 @@ def test_model_learns(spark):
         "20 + 5 * sin((id div 5) / 30.0) + (id % 5) as temp_avg, 0d as precipitation, 50d as humidity, "
         "10d as wind_speed, 100 * (id % 5) as elevation, cast('t' as string) as ingestion_timestamp from range(4000)"
     ).selectExpr("*", "month(date) as month")
-    training, test = model.split(model.model_rows(rows))
+    rows = rows.withColumn("elevation", F.expr("if(city_name = 'C0', null, elevation)"))
+    prepared = model.model_rows(rows)
+    training, test = model.split(prepared)
     assert training.count() + test.count() == 4000
+    assert training.agg(F.max("date")).first()[0] < test.agg(F.min("date")).first()[0]
+    # A row without a station, or without predecessors, stays.
+    assert model._ready(prepared, model.TEMPERATURE).count() == 4000
     assert model.evaluate(model.train(training), test) < 1.5
+    rain = model.train(training, model.PRECIPITATION)
+    assert model.evaluate(rain, test, model.PRECIPITATION) == 0

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from climate_lake.constants import SAMPLE_CITIES
 from climate_lake.operators.explore import city_stats, export_metadata, quick_stats, value_counts
@@ -161,7 +163,11 @@ def test_list_files(spark, tmp_path):
     put(tmp_path / "empty", "three.json", "")
     files = list_files(spark, *[str(tmp_path / name) for name in ("a", "empty", "absent")])
     got = {row.path.rsplit("/", 1)[-1]: row.length for row in files.collect()}
-    assert got == {"one.json": 5, "three.json": 0}
+    assert got == {"one.json": 5, "two.json": 0, "three.json": 0}
+    put(tmp_path / "odd", "a b+c%d é.json", "")
+    put(tmp_path / "odd", "e f.json", "12")
+    odd = {row.path.rsplit("/", 1)[-1]: row.length for row in list_files(spark, str(tmp_path / "odd")).collect()}
+    assert odd == {"a b+c%d é.json": 0, "e f.json": 2}
 
 
 def test_sample_observations(spark):
@@ -180,3 +186,28 @@ def test_sample_observations(spark):
         "total_records": 1, "date_range.start": 1, "date_range.end": 1, "export_timestamp": 1, "source": 1,
         "variable": 12, "city": 5,
     }
+
+
+def test_newest_folder_and_year_filter(spark, tmp_path, capsys):
+    folder = tmp_path / "raw/database/climate_events"
+    for day in ("2025/06/01/05", "2025/06/02/04", "2025/06/02/07"):
+        put(folder / day, "part-0.json", "{\"event_id\": 1}")
+    put(folder / "2025/06/03/01", "part-0.json", "")
+    rows = read_snapshots(spark, str(tmp_path / "raw"), "climate_events", latest=True)
+    assert [name.split("/climate_events/")[1] for name in rows.inputFiles()] == ["2025/06/02/07/part-0.json"]
+    assert rows.count() == 1
+    events = spark.createDataFrame([(None,) * len(RAW_EVENTS)], RAW_EVENTS).withColumns(
+        {"event_date": F.col("event_date").cast("date"), "year": F.lit(2025)}
+    )
+    path = str(tmp_path / "events")
+    events.write.partitionBy("year").parquet(path)
+    stored = spark.read.schema(events.schema).parquet(path)
+    stations = spark.createDataFrame([], RAW_STATIONS)
+    recent = relational.recent_events(stored, stations, date(2025, 1, 5))
+    recent.explain("formatted")
+    assert re.search(r"PartitionFilters: \[[^\]]*year[^\]]*2024[^\]]*2025", capsys.readouterr().out)
+
+
+def test_split_reads_need_bounds(spark):
+    with pytest.raises(ValueError):
+        relational.read_jdbc(spark, "jdbc:x", "t", key="id", partitions=4)
