@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,14 +14,27 @@ from climate_lake import constants as C
 # -- files -----------------------------------------------------------------
 
 
-def zone_report(files: DataFrame, expected: Mapping[str, list[str]] = C.EXPECTED_FOLDERS) -> DataFrame:
+# Scheme and host of a path.
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def below(root: str) -> Column:
+    """The part of ``path`` below the lake's (absolute) root, NULL elsewhere; either may lack scheme and host."""
+    start = re.sub(_STORE, "", root.rstrip("/")) + "/"
+    plain = F.regexp_replace("path", _STORE, "")
+    return F.when(plain.startswith(start), F.substr(plain, F.lit(len(start) + 1)))
+
+
+def zone_report(
+    files: DataFrame, root: str, expected: Mapping[str, list[str]] = C.EXPECTED_FOLDERS
+) -> DataFrame:
     """Per expected folder: files, files with content, bytes. ``files`` has ``path`` and ``length``."""
     folders = [(zone, folder) for zone, names in expected.items() for folder in names]
     # One row per expected folder, a fixed list.
     wanted = files.sparkSession.createDataFrame(folders, "zone string, folder string")
     place = F.coalesce(
         *[
-            F.when(F.contains(F.col("path"), F.lit(f"/{zone}/{folder}/")), F.lit(f"{zone}/{folder}"))
+            F.when(below(root).startswith(f"{zone}/{folder}/"), F.lit(f"{zone}/{folder}"))
             for zone, folder in folders
         ]
     )
@@ -54,9 +68,9 @@ def zone_status(report: DataFrame) -> DataFrame:
     )
 
 
-def zone_presence(files: DataFrame, folders: Mapping[str, str]) -> DataFrame:
+def zone_presence(files: DataFrame, root: str, folders: Mapping[str, str]) -> DataFrame:
     """Short form: files of one folder per zone, OK or EMPTY."""
-    report = zone_report(files, {zone: [folder] for zone, folder in folders.items()})
+    report = zone_report(files, root, {zone: [folder] for zone, folder in folders.items()})
     return report.select(
         "zone",
         F.col("total_files").alias("files_count"),
@@ -64,29 +78,24 @@ def zone_presence(files: DataFrame, folders: Mapping[str, str]) -> DataFrame:
     )
 
 
-def snapshot_files(files: DataFrame) -> DataFrame:
-    """Non-empty database snapshot files in all and per table, told apart by their path."""
-    def of(table: str) -> Column:
-        return F.count_if(F.contains(F.col("path"), F.lit(table)))
-
-    found = files.filter((F.col("length") > 0) & F.contains(F.col("path"), F.lit("/database/")))
-    return found.agg(
-        F.count("*").alias("total_files"),
-        of("weather_stations").alias("stations_files"),
-        of("climate_events").alias("events_files"),
-        of("weather_thresholds").alias("thresholds_files"),
-    ).withColumn("status", F.when(F.col("total_files") > 0, "OK").otherwise("NO_DB_DATA"))
-
-
-def readiness(files: DataFrame) -> DataFrame:
-    trusted = files.agg(F.count_if(F.contains(F.col("path"), F.lit("/trusted/"))).alias("trusted_files"))
-    ready = F.col("trusted_files") > 0
-    return trusted.withColumns(
-        {
-            "status": F.when(ready, "READY_FOR_ETL").otherwise("NEEDS_ETL"),
-            "next_step": F.when(ready, "Configure catalog").otherwise("Run ETL first"),
-        }
-    )
+def snapshot_files(files: DataFrame, root: str) -> DataFrame:
+    """Files with content per table of the database snapshots."""
+    table = F.regexp_extract(below(root), r"^raw/database/([^/]+)/", 1)
+    tables = files.filter(F.col("length") > 0).groupBy(table.alias("table")).agg(F.count("*").alias("files"))
+    return tables.filter(F.col("table") != "")
+
+
+def snapshot_status(files: DataFrame, root: str) -> DataFrame:
+    """One row over all snapshot tables: OK with any file that has content."""
+    total = snapshot_files(files, root).agg(F.coalesce(F.sum("files"), F.lit(0)).alias("total_files"))
+    return total.withColumn("status", F.when(F.col("total_files") > 0, "OK").otherwise("NO_DB_DATA"))
+
+
+def readiness(files: DataFrame, root: str) -> DataFrame:
+    """Whether the trusted zone holds any file, empty ones and unexpected folders included."""
+    trusted = files.agg(F.count_if(below(root).startswith("trusted/")).alias("trusted_files"))
+    status = F.when(F.col("trusted_files") > 0, "READY_FOR_ETL").otherwise("NEEDS_ETL")
+    return trusted.withColumn("status", status)
 
 
 # -- documents ---------------------------------------------------------------

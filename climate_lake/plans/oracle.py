@@ -303,6 +303,52 @@ def _score() -> str:
     return _sql(LOAD_PARTS, f", {CHECKS} " + LABELS.format(improved=improved, basic=basic))
 
 
+MODEL_ROWS = f"""
+select city_name, date, temp_avg, lag(temp_avg, 1) over w as temp_lag1, lag(temp_avg, 2) over w as temp_lag2,
+       cast(dayofyear(date) as int) as day_of_year, cast(month(date) % 12 // 3 + 1 as int) as season,
+       date < (select min(date) + cast(floor((max(date) - min(date)) * 8 / 10) as int) from weather) as training
+from ({NEWEST}) window w as (partition by city_name order by date)
+"""
+
+
+def _inventory() -> dict[str, str]:
+    """The queries over the file inventory."""
+    parts = (
+        f"with inventory as ({V.INVENTORY.format(orders='orders')}), zones as (select w.zone, w.folder, "
+        "count(i.path) as total_files, count(i.path) filter (where i.length > 0) as non_empty_files, "
+        "cast(coalesce(sum(i.length), 0) as bigint) as total_size "
+        "from (values ('raw', 'weather-api'), ('raw', 'database/weather_stations'), "
+        "('raw', 'database/weather_thresholds'), ('trusted', 'weather_data'), ('trusted', 'weather_stations'), "
+        "('refined', 'temperature_trends_monthly')) as w(zone, folder) left join inventory i "
+        f"on starts_with(i.path, '{V.INVENTORY_ROOT}/' || w.zone || '/' || w.folder || '/') group by all), "
+        "status as (select zone, cast(sum(total_files) as bigint) as total_files, "
+        "cast(sum(non_empty_files) as bigint) as non_empty_files, "
+        "case when sum(non_empty_files) > 0 then 'OK' when sum(total_files) > 0 then 'EMPTY_FILES' "
+        "else 'NO_FILES' end as status from zones group by zone), "
+        "snapshots as (select split_part(path, '/', 8) as \"table\", count(*) as files from inventory "
+        f"where length > 0 and starts_with(path, '{V.INVENTORY_ROOT}/raw/database/') group by 1), "
+        "ready as (select count(*) as trusted_files, case when count(*) > 0 then 'READY_FOR_ETL' "
+        f"else 'NEEDS_ETL' end as status from inventory where starts_with(path, '{V.INVENTORY_ROOT}/trusted/')) "
+    )
+    documents = (
+        "select 'api_data_structure', case when count(*) = 0 then 'NO_API_DATA' "
+        "when count(*) filter (where l_orderkey % 307 = 0) > 0 then 'ISSUES' else 'OK' end "
+        "from lineitem join nation on l_suppkey % 25 = n_nationkey"
+    )
+    checks = (
+        'select zone as "check", status from status union all ' + documents + " union all select 'database_data', "
+        "case when count(*) > 0 then 'OK' else 'NO_DB_DATA' end from snapshots "
+        "union all select 'readiness', status from ready"
+    )
+    return {
+        "zone_report": parts + "select * from zones",
+        "zone_status": parts + "select * from status",
+        "snapshot_files": parts + "select * from snapshots",
+        "readiness": parts + "select * from ready",
+        "quality_report": parts + checks,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     flat_all = "select * from {0}"
     events = _sql(EVENT_PARTS, flat_all.format("clean_events"))
@@ -560,6 +606,17 @@ def oracle_sql() -> dict[str, str]:
             weather=CLEAN.format(source="flat_dated"),
             annual_sums=ANNUAL_SUMS.replace("from weather", "from integrated"),
         ),
+        **_inventory(),
+        "landed_twice": _sql(["days", "flat"], flat_all.format("flat")),
+        "many_hot_keys": "select l_partkey as part, count(*) as items, cast(sum(p_size) as bigint) as sizes "
+        "from lineitem left join part on l_partkey = p_partkey group by l_partkey",
+        "model_rows": _sql(WEATHER, f"select * from ({MODEL_ROWS})"),
+        "persistence_rmse": _sql(
+            WEATHER,
+            'select count(*) as "rows", count(temp_avg - temp_lag1) as rows_used, '
+            "round(sqrt(avg((temp_avg - temp_lag1) ** 2)), 6) as rmse "
+            f"from ({MODEL_ROWS}) where not training",
+        ),
         "lag_features": _sql(
             WEATHER,
             "select city_name, date, temp_avg, lag(temp_avg, 1) over w as temp_lag1, "

@@ -13,13 +13,13 @@ from climate_lake.functions.columns import ExtremeLimits
 from climate_lake.operators import cleaning, climatology, explore, model, quality, serving, trends
 from climate_lake.operators.flatten import flatten_daily, flatten_for_export
 from climate_lake.operators.integrate import integrate_stations, without_stations
-from climate_lake.plans import pipeline
+from climate_lake.functions.joins import salted_join
+from climate_lake.plans import pipeline, report
 from climate_lake.plans import views as V
 from climate_lake.session import materialise, work_path
 from climate_lake.sinks import catalog
 from climate_lake.sinks.tables import land_documents, land_table, write_csv, write_json, write_table, write_table_if_any
 from climate_lake.sources import relational
-from climate_lake.sources.files import list_files
 from climate_lake.sources.raw import read_documents, read_snapshots
 from climate_lake.sources.tables import LakePaths, read_table
 
@@ -160,12 +160,13 @@ def quality_score(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(forms[0].unionByName(forms[1]))
 
 
-def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """The given tables' own files, by folder of the scale directory."""
-    files = list_files(spark, sf)
-    scale = sf.rstrip("/").rsplit("/", 1)
-    zone = scale[0].rsplit("/", 1)[-1]
-    return quality.zone_status(quality.zone_report(files, {zone: [scale[1]], "absent": ["folder"]}))
+def inventory(spark: SparkSession, sf: str) -> DataFrame:
+    return V.view(spark, sf, V.INVENTORY)
+
+
+def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks of one lake: its inventory and its documents."""
+    return report.checks_of(inventory(spark, sf), documents(spark, sf), V.INVENTORY_ROOT)
 
 
 def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,11 +248,47 @@ def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_table(spark, lake, "annual_weather_summary"))
 
 
+def landed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sets of cities landed in the same hour, then one city once more."""
+    raw = work_path(spark, "raw")
+    docs = documents(spark, sf).filter("city_info.name is not null")
+    first = F.col("city_info.name") < "NATION_2"
+    for part in (first, ~first, F.col("city_info.name") == "NATION_3"):
+        land_documents(docs.filter(part), raw, EVALUATED_AT)
+    return flatten_daily(read_documents(spark, raw))
+
+
+def many_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items joined to their parts with every key of over two rows split, however many they are."""
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", F.col("l_partkey").alias("part"))
+    parts = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("part"), "p_size")
+    joined = salted_join(items, parts, ["part"], "left", rows_per_split=2, max_marks=10)
+    return joined.groupBy("part").agg(F.count("*").alias("items"), F.sum("p_size").alias("sizes"))
+
+
+def split_model_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = model.with_part(model.model_rows(weather(spark, sf)))
+    return rows.select(
+        "city_name", "date", "temp_avg", "temp_lag1", "temp_lag2", "day_of_year", "season", "training"
+    )
+
+
+def persistence_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of yesterday's value as a prediction, on the test days of the models."""
+    _, test = model.split(model.model_rows(weather(spark, sf)))
+    return rounded(model.persistence_error(test))
+
+
 def forest_rmse(spark: SparkSession, sf: str) -> DataFrame:
-    """Root mean square error of the temperature model on held-out days."""
-    training, test = model.split(materialise(model.model_rows(integrated(spark, sf)), "model-rows"))
-    error = model.evaluate(model.train(training), test)
-    return spark.createDataFrame([("temperature", error)], "model string, rmse double")
+    """Root mean square error of both models on the last days, with all rows and the rows that have a label."""
+    rows = materialise(model.model_rows(integrated(spark, sf)), "model-rows")
+    training, test = model.split(rows)
+    errors = []
+    for target in (model.TEMPERATURE, model.PRECIPITATION):
+        counts = rows.agg(F.count("*").alias("all"), F.count(target.label).alias("used")).first()
+        error = model.evaluate(model.train(training, target), test, target)
+        errors.append((target.name, counts["all"], counts["used"], error))
+    return spark.createDataFrame(errors, "model string, rows bigint, rows_used bigint, rmse double")
 
 
 def queries() -> dict[str, Query]:
@@ -270,6 +307,7 @@ def queries() -> dict[str, Query]:
             weather(s, sf), stations(s, sf), broadcast_rows=0, rows_per_split=10_000
         ),
         "integrate_no_stations": lambda s, sf: without_stations(weather(s, sf)),
+        "many_hot_keys": many_hot_keys,
         # relational extracts
         "active_stations": lambda s, sf: relational.active_stations(stations(s, sf)),
         "recent_events": recent_events,
@@ -352,7 +390,11 @@ def queries() -> dict[str, Query]:
         "ingest_rollup": lambda s, sf: quality.load_rollup(loads(s, sf)),
         "step_rollup": lambda s, sf: quality.step_rollup(V.view(s, sf, V.STEPS), "run"),
         "quality_score": quality_score,
-        "file_inventory": file_inventory,
+        "zone_report": lambda s, sf: quality.zone_report(inventory(s, sf), V.INVENTORY_ROOT),
+        "zone_status": lambda s, sf: quality.zone_status(quality.zone_report(inventory(s, sf), V.INVENTORY_ROOT)),
+        "snapshot_files": lambda s, sf: quality.snapshot_files(inventory(s, sf), V.INVENTORY_ROOT),
+        "readiness": lambda s, sf: quality.readiness(inventory(s, sf), V.INVENTORY_ROOT),
+        "quality_report": quality_report,
         # sinks and catalog
         "sink_partitioned": partitioned_roundtrip,
         "sink_guarded": guarded_roundtrip,
@@ -360,6 +402,7 @@ def queries() -> dict[str, Query]:
         "sink_csv": lambda s, sf: export_roundtrip(s, sf, as_json=False),
         "sink_json": lambda s, sf: export_roundtrip(s, sf, as_json=True),
         "landed_documents": landed_documents,
+        "landed_twice": landed_twice,
         "landed_events": landed_events,
         "catalog_tables": catalog_tables,
         "lake_end_to_end": lake_end_to_end,
@@ -367,5 +410,7 @@ def queries() -> dict[str, Query]:
         "lag_features": lambda s, sf: model.lag_features(weather(s, sf)).select(
             "city_name", "date", "temp_avg", "temp_lag1", "temp_lag2"
         ),
+        "model_rows": split_model_rows,
+        "persistence_rmse": persistence_rmse,
         "rf_rmse": forest_rmse,
     }

@@ -23,42 +23,50 @@ SERVED_TABLES = [
 
 
 def _files(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    folders = [f"{paths.zone(zone)}/{name}" for zone, names in EXPECTED_FOLDERS.items() for name in names]
-    return list_files(spark, *folders, f"{paths.raw}/database/climate_events")
+    """Files of the three zones. Earlier reports lie in the refined zone, but in no expected folder."""
+    return list_files(spark, *[paths.zone(zone) for zone in EXPECTED_FOLDERS])
 
 
 def _check(report: DataFrame, name: str) -> DataFrame:
     return report.select(F.lit(name).alias("check"), "status")
 
 
-def improved_checks(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    """Zones with content, document structure, database snapshots, readiness."""
-    files = _files(spark, paths)
+def checks_of(files: DataFrame, documents: DataFrame, root: str) -> DataFrame:
+    """Zones with content, document structure, database snapshots, readiness, from a file inventory."""
     checks = [
-        quality.zone_status(quality.zone_report(files)).select(F.col("zone").alias("check"), "status"),
-        _check(quality.document_summary(read_documents(spark, paths.raw)), "api_data_structure"),
-        _check(quality.snapshot_files(files), "database_data"),
-        _check(quality.readiness(files), "readiness"),
+        quality.zone_status(quality.zone_report(files, root)).select(F.col("zone").alias("check"), "status"),
+        _check(quality.document_summary(documents), "api_data_structure"),
+        _check(quality.snapshot_status(files, root), "database_data"),
+        _check(quality.readiness(files, root), "readiness"),
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
-def basic_checks(spark: SparkSession, paths: LakePaths) -> DataFrame:
+def improved_checks(spark: SparkSession, paths: LakePaths, files: DataFrame | None = None) -> DataFrame:
+    """``checks_of`` a lake; its files are listed unless an inventory (``path``, ``length``) is given."""
+    listed = _files(spark, paths) if files is None else files
+    return checks_of(listed, read_documents(spark, paths.raw), paths.root)
+
+
+def basic_checks(spark: SparkSession, paths: LakePaths, files: DataFrame | None = None) -> DataFrame:
     """Files per zone, rows per served table, document structure."""
+    listed = _files(spark, paths) if files is None else files
     main_folders = {zone: names[0] for zone, names in EXPECTED_FOLDERS.items()}
     tables = {name: read_table_if_present(spark, paths, name) for name in SERVED_TABLES}
     documents = quality.document_summary(read_documents(spark, paths.raw), need_temperature=False)
     checks = [
-        quality.zone_presence(_files(spark, paths), main_folders).select(F.col("zone").alias("check"), "status"),
+        quality.zone_presence(listed, paths.root, main_folders).select(F.col("zone").alias("check"), "status"),
         quality.table_counts(spark, tables).select(F.col("table").alias("check"), "status"),
         _check(documents, "data_structure"),
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
-def save_report(spark: SparkSession, paths: LakePaths, label: str, improved: bool = True) -> DataFrame:
+def save_report(
+    spark: SparkSession, paths: LakePaths, label: str, improved: bool = True, files: DataFrame | None = None
+) -> DataFrame:
     """Write checks and score below the refined zone; the score is returned."""
-    checks = improved_checks(spark, paths) if improved else basic_checks(spark, paths)
+    checks = (improved_checks if improved else basic_checks)(spark, paths, files)
     folder = f"{paths.zone('refined')}/validation_reports/{label}"
     write_json(checks, f"{folder}/checks")
     stored = spark.read.schema(checks.schema).json(f"{folder}/checks")

@@ -92,6 +92,20 @@ select o_orderkey as load_id,
 from {orders}
 """
 
+# A store's inventory, a file per order, of a lake whose root itself lies below a folder named like a zone.
+# Another lake beside it, empty files and an unexpected folder are mixed in.
+INVENTORY_ROOT = "s3a://store/trusted/climate"
+INVENTORY = """
+select concat('s3a://store/trusted/',
+         case o_orderkey % 8 when 0 then 'other/raw/weather-api' when 1 then 'climate/raw/weather-api'
+           when 2 then 'climate/raw/database/weather_stations' when 3 then 'climate/raw/database/climate_events'
+           when 4 then 'climate/raw/database/weather_thresholds' when 5 then 'climate/trusted/weather_data'
+           when 6 then 'climate/trusted/integrated_weather_data' else 'climate/refined/temperature_trends_monthly' end,
+         '/2025/06/01/', cast(o_orderkey as string), '.json') as path,
+       case when o_orderkey % 8 = 7 or o_custkey % 3 = 0 then 0 else cast(o_custkey as bigint) end as length
+from {orders}
+"""
+
 # One pipeline step per event; a run is one user.
 STEPS = """
 select user_id as run,

@@ -14,6 +14,7 @@ def files(spark):
     return build
 
 
+ROOT = "/lake"
 LAKE = [
     ("file:/lake/raw/weather-api/cali/2025/06/01/weather_data_1.json", 100),
     ("file:/lake/raw/weather-api/neiva/2025/06/01/weather_data_1.json", 0),
@@ -24,7 +25,7 @@ LAKE = [
 
 
 def test_zone_report_and_status(files):
-    report = quality.zone_report(files(*LAKE))
+    report = quality.zone_report(files(*LAKE), ROOT)
     got = {(row.zone, row.folder): (row.total_files, row.non_empty_files, row.total_size) for row in report.collect()}
     assert got == {
         ("raw", "weather-api"): (2, 1, 100),
@@ -40,16 +41,27 @@ def test_zone_report_and_status(files):
 
 def test_short_zone_form(files):
     folders = {"raw": "weather-api", "trusted": "weather_data", "refined": "temperature_trends_monthly"}
-    got = {row.zone: (row.files_count, row.status) for row in quality.zone_presence(files(*LAKE), folders).collect()}
+    got = {row.zone: (row.files_count, row.status) for row in quality.zone_presence(files(*LAKE), ROOT, folders).collect()}
     assert got == {"raw": (2, "OK"), "trusted": (1, "OK"), "refined": (0, "EMPTY")}
 
 
 def test_snapshots_and_readiness(files):
-    row = quality.snapshot_files(files(*LAKE)).first()
-    assert tuple(row) == (2, 1, 1, 0, "OK")
-    assert quality.snapshot_files(files(LAKE[0])).first().status == "NO_DB_DATA"
-    assert quality.readiness(files(*LAKE)).first().status == "READY_FOR_ETL"
-    assert tuple(quality.readiness(files(LAKE[0])).first()) == (0, "NEEDS_ETL", "Run ETL first")
+    tables = {row.table: row.files for row in quality.snapshot_files(files(*LAKE), ROOT).collect()}
+    assert tables == {"weather_stations": 1, "climate_events": 1}
+    assert tuple(quality.snapshot_status(files(*LAKE), ROOT).first()) == (2, "OK")
+    assert quality.snapshot_status(files(LAKE[0]), ROOT).first().status == "NO_DB_DATA"
+    assert quality.readiness(files(*LAKE), ROOT).first().status == "READY_FOR_ETL"
+    assert tuple(quality.readiness(files(LAKE[0]), ROOT).first()) == (0, "NEEDS_ETL")
+
+
+@pytest.mark.parametrize("root", ["/lake/trusted/x", "file:/lake/trusted/x/", "file:///lake/trusted/x", "s3a://b/lake/trusted/x"])
+def test_zones_lie_directly_below_the_root(files, root):
+    inside = ("file:/lake/trusted/x/raw/weather-api/a.json", 1)
+    assert quality.readiness(files(inside), root).first().status == "NEEDS_ETL"
+    report = quality.zone_report(files(inside, ("file:/lake/trusted/y/raw/weather-api/a.json", 1)), root)
+    assert {row.zone: row.total_files for row in quality.zone_status(report).collect()} == {
+        "raw": 1, "trusted": 0, "refined": 0,
+    }
 
 
 def test_document_structure(spark):
