@@ -42,6 +42,12 @@ HEADLINE = [
     "quality_score",
     "sink_partitioned",
     "lag_features",
+    "lake_end_to_end",
+    "rf_rmse",
+    "landed_documents",
+    "sink_csv",
+    "sink_json",
+    "table_counts",
 ]
 
 
