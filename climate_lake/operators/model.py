@@ -71,13 +71,10 @@ def _ready(rows: DataFrame, target: Target) -> DataFrame:
 
 def with_part(rows: DataFrame, train_tenths: int = 8) -> DataFrame:
     """``training`` is true for the first tenths of the covered time span: no test day precedes a training day."""
-    span = rows.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    days = F.floor(F.datediff("last", "first") * train_tenths / 10).cast("int")
-    # One row.
-    cut = F.broadcast(span.select(F.date_add("first", days).alias("_cut")))
-    return rows.join(cut, F.col("date") < F.col("_cut"), "left").select(
-        *rows.columns, F.col("_cut").isNotNull().alias("training")
-    )
+    days = F.floor(F.datediff(F.max("date"), F.min("date")) * train_tenths / 10).cast("int")
+    # One row is fetched; without rows there is no cut.
+    cut = rows.agg(F.date_add(F.min("date"), days).alias("cut")).first()["cut"]
+    return rows.withColumn("training", F.coalesce(F.col("date") < F.lit(cut).cast("date"), F.lit(False)))
 
 
 def split(rows: DataFrame, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
