@@ -192,9 +192,14 @@ def domain_violations(table: DataFrame, allowed: Mapping[str, list[str]]) -> Dat
 
 
 def load_status(manifest: DataFrame, nothing: str = "no_data_or_error") -> DataFrame:
-    """Outcome of each load from ``records``, ``has_local`` and ``has_lake``."""
+    """Outcome of each load from ``records``, ``has_local`` and ``has_lake``.
+
+    With a column ``fetched``, a load that got no answer at all is ``fetch_failed``, whatever else is set.
+    """
+    answered = F.coalesce(F.col("fetched"), F.lit(False)) if "fetched" in manifest.columns else F.lit(True)
     outcome = (
-        F.when(F.coalesce(F.col("records"), F.lit(0)) == 0, nothing)
+        F.when(~answered, "fetch_failed")
+        .when(F.coalesce(F.col("records"), F.lit(0)) == 0, nothing)
         .when(F.col("has_local") & F.col("has_lake"), "success")
         .when(F.col("has_local"), "partial_success_local")
         .when(F.col("has_lake"), "partial_success_s3")

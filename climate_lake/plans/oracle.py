@@ -349,6 +349,82 @@ def _inventory() -> dict[str, str]:
     }
 
 
+LAKE_PARTS = ["days", "flat", "flat_dated", "weather", *STATIONS, "integrated"]
+
+
+def _lake(body: str, *parts: str) -> str:
+    """``body`` over the tables that the jobs derive from the documents and the station snapshot."""
+    return _sql(
+        [*LAKE_PARTS, *parts],
+        body,
+        weather=CLEAN.format(source="flat_dated"),
+        monthly=MONTHLY.format(source="integrated"),
+        labelled=LABELLED.format(cold=5).replace("from weather", "from integrated"),
+        annual_sums=ANNUAL_SUMS.replace("from weather", "from integrated"),
+        features=FEATURES.format(source="integrated", elevation=""),
+    )
+
+
+def _lake_tables() -> dict[str, str]:
+    """The tables of a lake after its jobs."""
+    measures = ", ".join(
+        f"round({name}, 6) as {name}"
+        for name in ("latitude", "longitude", "temp_max", "temp_min", "temp_avg", "precipitation", "wind_speed", "humidity")
+    )
+    forecast = (
+        f"select {CLIMATOLOGY_COLUMNS}, forecast_date, 'historical_average' as forecast_type "
+        f"from climatology join ({CALENDAR}) using (day_of_year)"
+    )
+    stats = ("features", "month_stats")
+    counts = " union all ".join(
+        f"select '{name}' as \"table\", {rows} as record_count, '{status}' as status"
+        for name, rows, status in [
+            ("weather_data", "(select count(*) from weather)", "OK"),
+            ("integrated_weather_data", "(select count(*) from weather)", "OK"),
+            ("weather_stations", "0", "EMPTY"),
+            ("climate_events", "0", "ERROR"),
+            ("weather_thresholds", "0", "ERROR"),
+        ]
+    )
+    return {
+        "lake_weather_data": _lake(f"select * replace ({measures}) from weather"),
+        "lake_weather_stations": _sql(STATIONS, "select * replace (round(latitude, 6) as latitude) from stations"),
+        "lake_climate_events": _sql(
+            EVENT_PARTS, "select * replace (round(economic_impact, 6) as economic_impact) from clean_events"
+        ),
+        "lake_weather_thresholds": _sql(
+            THRESHOLD_PARTS,
+            "select * replace (round(min_value, 6) as min_value, round(max_value, 6) as max_value) from thresholds",
+        ),
+        "lake_integrated_weather_data": _lake(f"select * replace ({measures}) from integrated"),
+        "lake_temperature_trends_monthly": _lake(f"select {MONTHLY_COLUMNS} from monthly", "monthly"),
+        "lake_extreme_weather_events": _lake(f"select {EXTREME_COLUMNS} from extremes", "labelled", "extremes"),
+        "lake_ml_model_metrics": _lake(METRICS, *stats),
+        "lake_temperature_predictions": _lake(
+            PREDICTION.format(mean="historical_avg_temp", measure="temp_avg"), *stats
+        ),
+        "lake_precipitation_predictions": _lake(
+            PREDICTION.format(mean="historical_avg_precip", measure="precipitation"), *stats
+        ),
+        "lake_weather_forecasts": _lake(forecast, "features", "climatology"),
+        "lake_fallback": _sql(WEATHER, "select * from weather"),
+        "lake_without_snapshots": _lake(counts),
+    }
+
+
+def _damaged(body: str) -> str:
+    """``body`` over one row per document, of which some lack a part."""
+    flags = (
+        "select case when kind <> 1 then city_name end as city_name, kind <> 1 as has_city_info, "
+        "kind <> 2 as has_daily_data, ingestion_timestamp is not null as has_timestamp, "
+        "kind not in (2, 3) as has_temperature, kind <> 2 and not no_precipitation as has_precipitation, "
+        "case when kind = 2 then 0 else days_of_data end as days_of_data, "
+        "case when kind in (0, 4) and ingestion_timestamp is not null then 'OK' else 'ISSUES' end as status "
+        "from (select *, cast(latitude as int) % 5 as kind from days where pos = 0)"
+    )
+    return _sql(["days", "flags"], body, flags=flags)
+
+
 def oracle_sql() -> dict[str, str]:
     flat_all = "select * from {0}"
     events = _sql(EVENT_PARTS, flat_all.format("clean_events"))
@@ -553,6 +629,23 @@ def oracle_sql() -> dict[str, str]:
             "select 'alert_level', alert_level, count(*) from thresholds where alert_level = 'critical' "
             "group by alert_level",
         ),
+        "domain_violations_met": _sql(
+            [*EVENT_PARTS, *STATIONS, *THRESHOLD_PARTS],
+            "select 'event_type' as column_name, 'tornado' as value, count(*) as violations from clean_events "
+            "where event_id % 7 = 0 having count(*) > 0 union all "
+            "select 'severity', 'mild', count(*) from clean_events where event_id % 5 = 0 having count(*) > 0 "
+            "union all select 'status', 'retired', count(*) from stations where elevation % 300 = 0 "
+            "having count(*) > 0 union all "
+            "select 'alert_level', 'panic', count(*) from thresholds where threshold_id % 10 = 0 having count(*) > 0",
+        ),
+        "raw_structure_parts": _damaged("select *, count(*) as documents from flags group by all"),
+        "raw_structure_parts_summary": _damaged(
+            "select count(*) as files_found, count(distinct city_name) as cities_covered, "
+            "count(*) filter (where status = 'OK') as documents_ok, "
+            "count(*) filter (where has_precipitation) as with_precipitation, min(days_of_data) as min_days, "
+            "max(days_of_data) as max_days, "
+            "case when count(*) filter (where status = 'OK') = count(*) then 'OK' else 'ISSUES' end as status from flags"
+        ),
         "raw_structure": _sql(
             ["days"],
             "select city_name, case when ingestion_timestamp is null then 'ISSUES' else 'OK' end as status, "
@@ -576,6 +669,11 @@ def oracle_sql() -> dict[str, str]:
             "union all select 'not_registered', 0, 'ERROR'",
         ),
         "load_status": _sql(LOAD_PARTS, flat_all.format("loads")),
+        "load_status_fetched": _sql(
+            LOAD_PARTS,
+            "select * replace (case when load_id % 9 = 0 then 'fetch_failed' else status end as status), "
+            "load_id % 9 <> 0 as fetched from loads",
+        ),
         "ingest_rollup": _sql(
             LOAD_PARTS,
             "select count(*) as total, count(*) filter (where status = 'success') as successful, "
@@ -595,6 +693,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_json": export,
         "landed_documents": _sql(["days", "flat"], flat_all.format("flat")),
         "landed_events": events,
+        "landed_thresholds": _sql(THRESHOLD_PARTS, flat_all.format("thresholds")),
         "catalog_tables": _sql(
             MONTHLY_PARTS,
             "select year, count(*) as months, round(max(max_temperature), 6) as max_temperature "
@@ -607,6 +706,7 @@ def oracle_sql() -> dict[str, str]:
             annual_sums=ANNUAL_SUMS.replace("from weather", "from integrated"),
         ),
         **_inventory(),
+        **_lake_tables(),
         "landed_twice": _sql(["days", "flat"], flat_all.format("flat")),
         "many_hot_keys": "select l_partkey as part, count(*) as items, cast(sum(p_size) as bigint) as sizes "
         "from lineitem left join part on l_partkey = p_partkey group by l_partkey",

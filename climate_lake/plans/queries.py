@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climate_lake.constants import ALERT_LEVELS, EVENT_SEVERITY
+from climate_lake.constants import ALERT_LEVELS, EVENT_SEVERITY, EVENT_TYPES, STATION_STATUS
 from climate_lake.functions.columns import ExtremeLimits
 from climate_lake.operators import cleaning, climatology, explore, model, quality, serving, trends
 from climate_lake.operators.flatten import flatten_daily, flatten_for_export
@@ -21,7 +21,7 @@ from climate_lake.sinks import catalog
 from climate_lake.sinks.tables import land_documents, land_table, write_csv, write_json, write_table, write_table_if_any
 from climate_lake.sources import relational
 from climate_lake.sources.raw import read_documents, read_snapshots
-from climate_lake.sources.tables import LakePaths, read_table
+from climate_lake.sources.tables import LakePaths, read_table, read_table_if_present, read_weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,23 @@ EVENTS_UNTIL = date(2024, 1, 31)
 EVALUATED_AT = datetime(2001, 11, 4, 6, 30)
 DIGITS = 6
 
+# Tables that the jobs write; ``lake_end_to_end`` reads the annual one.
+TRUSTED_TABLES = [
+    "weather_data",
+    "weather_stations",
+    "climate_events",
+    "weather_thresholds",
+    "integrated_weather_data",
+]
+REFINED_TABLES = [
+    "temperature_trends_monthly",
+    "extreme_weather_events",
+    "ml_model_metrics",
+    "temperature_predictions",
+    "precipitation_predictions",
+    "weather_forecasts",
+]
+
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show in a comparison."""
@@ -144,6 +161,38 @@ def domain_violations(spark: SparkSession, sf: str) -> DataFrame:
     return seen.unionByName(quality.domain_violations(thresholds(spark, sf), {"alert_level": ALERT_LEVELS[:-1]}))
 
 
+def domain_violations_met(spark: SparkSession, sf: str) -> DataFrame:
+    """The four domains as they are, against tables where a value outside each was mixed in."""
+
+    def with_other(table: DataFrame, column: str, other: str, where: Column) -> DataFrame:
+        return table.withColumn(column, F.when(where, other).otherwise(F.col(column)))
+
+    seen = with_other(events(spark, sf), "event_type", "tornado", F.col("event_id") % 7 == 0)
+    seen = with_other(seen, "severity", "mild", F.col("event_id") % 5 == 0)
+    places = with_other(stations(spark, sf), "status", "retired", F.col("elevation") % 300 == 0)
+    limits = with_other(thresholds(spark, sf), "alert_level", "panic", F.col("threshold_id") % 10 == 0)
+    found = quality.domain_violations(seen, {"event_type": EVENT_TYPES, "severity": EVENT_SEVERITY})
+    found = found.unionByName(quality.domain_violations(places, {"status": STATION_STATUS}))
+    return found.unionByName(quality.domain_violations(limits, {"alert_level": ALERT_LEVELS}))
+
+
+def damaged_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that lack the city, the daily part or the temperatures, each for a fifth of the cities."""
+    kind = F.col("city_info.lat").cast("int") % 5
+    bare = F.col("daily").withField("temperature_2m_max", F.lit(None).cast("array<double>"))
+    return documents(spark, sf).select(
+        F.when(kind != 1, F.col("city_info")).alias("city_info"),
+        F.when(kind == 3, bare).when(kind != 2, F.col("daily")).alias("daily"),
+        "ingestion_timestamp",
+        "data_source",
+    )
+
+
+def load_status_fetched(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads of which a ninth got no answer."""
+    return quality.load_status(V.view(spark, sf, V.MANIFEST).withColumn("fetched", F.col("load_id") % 9 != 0))
+
+
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
     """One check per load, scored both ways."""
     checks = loads(spark, sf).select(
@@ -221,6 +270,15 @@ def landed_events(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_events(read_snapshots(spark, raw, "climate_events", latest=True))
 
 
+def landed_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """Two threshold snapshots landed; the newest one read and cleaned."""
+    raw = work_path(spark, "raw")
+    extract = V.view(spark, sf, V.THRESHOLDS)
+    land_table(extract.filter(F.col("alert_level") == "info"), raw, "weather_thresholds", datetime(2024, 1, 30, 22))
+    land_table(extract, raw, "weather_thresholds", datetime(2024, 1, 31, 5))
+    return cleaning.clean_thresholds(read_snapshots(spark, raw, "weather_thresholds", latest=True))
+
+
 def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Partitioned trends behind an external table, queried with SQL after partition repair."""
     lake = _lake(spark, "catalog")
@@ -234,8 +292,8 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw documents and snapshots landed, all jobs run, the annual table read back."""
+def landed_lake(spark: SparkSession, sf: str) -> LakePaths:
+    """A lake with raw documents and one snapshot of each relational table."""
     lake = _lake(spark, "lake")
     land_documents(documents(spark, sf), lake.raw, EVALUATED_AT)
     for name, text in [
@@ -244,10 +302,51 @@ def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
         ("weather_thresholds", V.THRESHOLDS),
     ]:
         land_table(V.view(spark, sf, text), lake.raw, name, EVALUATED_AT)
+    return lake
+
+
+def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw documents and snapshots landed, all jobs run, the annual table read back."""
+    lake = landed_lake(spark, sf)
     pipeline.run(spark, lake, EVALUATED_AT)
     return rounded(read_table(spark, lake, "annual_weather_summary"))
 
 
+_finished: dict[tuple[str, str], LakePaths] = {}
+
+
+def finished_lake(spark: SparkSession, sf: str) -> LakePaths:
+    """A lake after all jobs, built once per application and input: the queries below read a table each."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _finished:
+        lake = landed_lake(spark, sf)
+        pipeline.run(spark, lake, EVALUATED_AT)
+        _finished[key] = lake
+    return _finished[key]
+
+
+def lake_table(name: str) -> Query:
+    """One table of a finished lake."""
+    return lambda spark, sf: rounded(read_table(spark, finished_lake(spark, sf), name))
+
+
+def lake_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations where the integrated table is there, but empty."""
+    lake = _lake(spark, "fallback")
+    write_table(integrated(spark, sf).filter(F.lit(False)), lake, "integrated_weather_data")
+    write_table(weather(spark, sf), lake, "weather_data")
+    return read_weather(spark, lake)
+
+
+def lake_without_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per trusted table where only documents were landed: no stations is an empty table, no events none."""
+    lake = _lake(spark, "documents")
+    land_documents(documents(spark, sf), lake.raw, EVALUATED_AT)
+    pipeline.run_etl(spark, lake)
+    tables = {name: read_table_if_present(spark, lake, name) for name in TRUSTED_TABLES}
+    return quality.table_counts(spark, tables, empty_status="EMPTY")
+
+
 def landed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Two sets of cities landed in the same hour, then one city once more."""
     raw = work_path(spark, "raw")
@@ -381,12 +480,19 @@ def queries() -> dict[str, Query]:
             weather(s, sf).withColumn("longitude", F.col("longitude") - 65)
         ),
         "domain_violations": domain_violations,
+        "domain_violations_met": domain_violations_met,
         "raw_structure": lambda s, sf: quality.document_checks(documents(s, sf))
         .groupBy("city_name", "status", "days_of_data")
         .agg(F.count("*").alias("documents")),
+        "raw_structure_parts": lambda s, sf: quality.document_checks(damaged_documents(s, sf))
+        .groupBy("city_name", "has_city_info", "has_daily_data", "has_timestamp", "has_temperature",
+                 "has_precipitation", "days_of_data", "status")
+        .agg(F.count("*").alias("documents")),
+        "raw_structure_parts_summary": lambda s, sf: quality.document_summary(damaged_documents(s, sf)),
         "raw_structure_summary": lambda s, sf: quality.document_summary(documents(s, sf)),
         "table_counts": table_counts,
         "load_status": loads,
+        "load_status_fetched": load_status_fetched,
         "ingest_rollup": lambda s, sf: quality.load_rollup(loads(s, sf)),
         "step_rollup": lambda s, sf: quality.step_rollup(V.view(s, sf, V.STEPS), "run"),
         "quality_score": quality_score,
@@ -404,8 +510,12 @@ def queries() -> dict[str, Query]:
         "landed_documents": landed_documents,
         "landed_twice": landed_twice,
         "landed_events": landed_events,
+        "landed_thresholds": landed_thresholds,
         "catalog_tables": catalog_tables,
         "lake_end_to_end": lake_end_to_end,
+        **{f"lake_{name}": lake_table(name) for name in (*TRUSTED_TABLES, *REFINED_TABLES)},
+        "lake_fallback": lake_fallback,
+        "lake_without_snapshots": lake_without_snapshots,
         # model
         "lag_features": lambda s, sf: model.lag_features(weather(s, sf)).select(
             "city_name", "date", "temp_avg", "temp_lag1", "temp_lag2"

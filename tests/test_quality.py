@@ -124,6 +124,12 @@ def test_load_status(spark):
     ]
     assert quality.load_status(manifest, "fetch_failed").collect()[-1].status == "fetch_failed"
     assert tuple(quality.load_rollup(log).first()) == (6, 1, 5, 20)
+    unanswered = spark.createDataFrame(
+        [(True, 5), (False, 5), (None, 0), (True, 0)], "fetched boolean, records bigint"
+    ).selectExpr("*", "true as has_local", "true as has_lake")
+    assert [row.status for row in quality.load_status(unanswered).collect()] == [
+        "success", "fetch_failed", "fetch_failed", "no_data_or_error",
+    ]
 
 
 def test_step_rollup(spark):
