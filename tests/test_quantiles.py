@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from climate_lake.functions import quantiles
 from climate_lake.functions.quantiles import exact_quantiles
 
 PROBABILITIES = [0.0, 0.0001, 0.25, 0.5, 0.75, 0.9999, 1.0]
@@ -59,3 +60,19 @@ def test_null_group_and_single_probability(spark):
 def test_empty_input(spark):
     frame = spark.createDataFrame([], "name string, value double")
     assert exact_quantiles(frame, ["name"], "value", {0.5: "median"}).count() == 0
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    margins, bracket = [], quantiles._bracket
+
+    def wrong_at_first(probability, rank, size, grid, low, high, small_group, margin):
+        margins.append(margin)
+        return (high, high) if margin == 1 else bracket(probability, rank, size, grid, low, high, small_group, margin)
+
+    monkeypatch.setattr(quantiles, "_bracket", wrong_at_first)
+    values = np.random.default_rng(3).normal(size=5_000)
+    frame = spark.createDataFrame([("a", float(value)) for value in values], "name string, value double")
+    names = {0.25: "low", 0.5: "median"}
+    found = exact_quantiles(frame, ["name"], "value", names, small_group=10).first()
+    assert tuple(found)[1:] == pytest.approx(tuple(np.quantile(values, [0.25, 0.5])), rel=1e-9)
+    assert set(margins) == {1, 2}
