@@ -184,13 +184,16 @@ def judge(
     cutoffs: list[float] = CUTOFFS,
     max_loss: float = MAX_LOSS,
     error: float = ERROR,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id``, the stratum, ``COUNTS``, ``base_failed`` and ``kept`` for each row of ``documents``.
 
     Null and empty texts have no word and fail the base. A null stratum is a stratum of its own. With few labels no
     cutoff is safe and only the base rules reject. Repeated rows are judged alike; an empty table gives no row.
+    Columns ``carried`` come last.
     """
-    counted = with_counts(documents.select("doc_id", F.col(stratum).alias("_stratum_value"), F.col("text").alias("_text")), "_text")
+    narrow = documents.select("doc_id", F.col(stratum).alias("_stratum_value"), F.col("text").alias("_text"), *carried)
+    counted = with_counts(narrow, "_text")
     scored = materialise(counted.drop("_text").withColumn("base_failed", base_failed()), "quality_counts")
     cuts = safe_cutoffs(scored, labels, "_stratum_value", rules, cutoffs, max_loss, error)
     cuts = materialise(cuts, "quality_cutoffs")
@@ -199,14 +202,18 @@ def judge(
     joined = scored.join(cuts, F.col("_stratum_value").cast("string").eqNullSafe(F.col("_stratum")), "left")
     over = [F.coalesce(F.expr(rule) > F.col(f"_cut_{name}"), F.lit(False)) for name, rule in rules.items()]
     kept = ~(F.col("base_failed") | reduce(or_, over))
-    return joined.select("doc_id", F.col("_stratum_value").alias(stratum), *COUNTS, "base_failed", kept.alias("kept"))
+    return joined.select(
+        "doc_id", F.col("_stratum_value").alias(stratum), *COUNTS, "base_failed", kept.alias("kept"), *carried
+    )
 
 
-def keep_good(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``documents`` that ``judge`` keeps, found by doc_id; a null doc_id is judged by its own row too.
+def keep_good(documents: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
+    """The rows of ``documents`` that ``judge`` keeps, each by its own verdict, whatever rows share its doc_id.
 
-    Rows that share a doc_id are kept if all of them are.
+    A verdict follows from text and stratum, so rows are found by these (the text by its hash) and the doc_id.
     """
-    verdicts = judge(documents, labels, **options).groupBy("doc_id").agg(F.min("kept").alias("_kept"))
-    bad = verdicts.filter(~F.col("_kept")).select(F.col("doc_id").alias("_bad"))
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    named = documents.withColumn("_of", F.xxhash64("text"))
+    judged = judge(named, labels, stratum=stratum, carried=("_of",), **options).filter("not kept")
+    bad = judged.select(F.col("doc_id").alias("_bad"), F.col(stratum).alias("_bad_stratum"), "_of").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & F.col(stratum).eqNullSafe(F.col("_bad_stratum"))
+    return documents.join(bad, same & (F.xxhash64("text") == F.col("_of")), "left_anti")

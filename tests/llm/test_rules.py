@@ -115,6 +115,14 @@ def test_odd_rows(spark, odd_documents, empty_documents):
     assert rules.judge(empty_documents, none).count() == 0 and rules.judge(frame, none).count() == len(rows)
 
 
+def test_rows_that_share_an_id_are_kept_each_by_its_own_verdict(spark, documents):
+    clean = [" ".join(f"{x}{k}" for k in range(80)) for x in "abc"]
+    rows = [(None, clean[0]), (None, "junk"), (None, None), (5, clean[1]), (5, "junk"), (6, clean[2])]
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    kept = rules.keep_good(documents(*rows), none)
+    assert sorted((row["doc_id"] or 0, row["text"]) for row in kept.collect()) == [(0, clean[0]), (5, clean[1]), (6, clean[2])]
+
+
 def test_no_python_on_the_way(spark, sample, plan):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     text = plan(rules.judge(sample[0], labels))

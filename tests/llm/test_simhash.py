@@ -121,3 +121,9 @@ def test_components_of_a_long_chain(spark):
 def test_long_text_in_parts():
     text = " ".join(f"w{k * k % 7919}" for k in range(70_000))
     assert simhash.fingerprint(text.encode()) % 2**64 == plain_fingerprint(text)
+
+
+def test_rows_that_share_an_id_are_kept_each_by_its_own_text(documents):
+    one, two = " ".join("abcdefghij"), " ".join("klmnopqrst")
+    kept = simhash.keep_one(documents((2, one), (5, one), (5, two), (None, two))).collect()
+    assert sorted((row["doc_id"] or 0, row["text"]) for row in kept) == [(0, two), (2, one), (5, two)]
