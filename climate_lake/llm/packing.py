@@ -8,7 +8,7 @@ the fullest open sequence closes. A sequence is closed for good when it is full.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climate_lake.llm import mixing
 from climate_lake.llm.common import map_batches, small_batches
 from climate_lake.llm.tokens import encoder
 from climate_lake.session import materialise
@@ -136,3 +137,55 @@ def pack_pieces(
 def pack_documents(documents: DataFrame, tokenizer: str, **options) -> DataFrame:
     """Cut, write the pieces to the shared work folder, and pack them."""
     return pack_pieces(materialise(cut_pieces(documents, tokenizer), "pieces"), **options)
+
+
+def _sourced_pieces(batches, path: str, capacity: int, separator: int) -> Iterator[pa.RecordBatch]:
+    """Pieces without ids, with a number ``doc`` of their own for each document row, and its source."""
+    sources, done = deque(), TaskContext.get().partitionId() << 40
+
+    def noted() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sources.extend(batch.column("source").to_pylist())
+            yield batch
+
+    source = None
+    for batch in _pieces(noted(), path, capacity, separator):
+        docs, own = [], []
+        for piece in batch.column("piece").to_pylist():
+            if not piece:
+                source, done = sources.popleft(), done + 1
+            docs.append(done)
+            own.append(source)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(docs, pa.int64()), pa.array(own, pa.string())],
+            names=[*batch.schema.names[:-1], "doc", "source"],
+        )
+
+
+def pack_mixed(
+    documents: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    open_bins: int = OPEN_BINS,
+    separator: int = SEPARATOR,
+    task_tokens: int = TASK_TOKENS,
+    **options,
+) -> DataFrame:
+    """The pieces of ``doc_id, text, source`` packed in the order of the mix, without ids.
+
+    ``mixing.mix`` with the given ``options`` places the document rows; packing tasks take successive ranges of slots, and
+    pieces come in the order of slot, rank and place in the document, however the documents lie in files. Sequences are
+    numbered in the order of the tasks. Only checksums and places are shuffled.
+    """
+    plain = PIECES.removesuffix(", ids binary")
+    rows = documents.select("doc_id", "text", F.col("source").cast("string").alias("source"))
+    schema = plain + ", doc long, source string"
+    cut = map_batches(rows, _sourced_pieces, schema, path=tokenizer, capacity=capacity, separator=separator)
+    pieces = materialise(cut, "mixed_pieces")
+    mixed = mixing.mix(pieces.filter("piece = 0").select("doc", "doc_id", "source"), **options)
+    places = mixed.select(F.col("doc").alias("of"), F.col("mix.slot").alias("slot"), F.col("mix.rank").alias("rank"))
+    tokens = pieces.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-tokens // task_tokens))
+    placed = pieces.join(places, F.col("doc") == F.col("of")).select(*[x.split()[0] for x in plain.split(", ")], "slot", "rank")
+    ordered = placed.repartitionByRange(tasks, "slot", "rank").sortWithinPartitions("slot", "rank", "piece").drop("slot", "rank")
+    return map_batches(ordered, _pack, plain + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
