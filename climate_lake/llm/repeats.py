@@ -212,26 +212,64 @@ def _settled(batches, hot: int) -> Iterator[pa.RecordBatch]:
         yield from closed()
 
 
-def _texts(batches, length: int, span: int) -> Iterator[pa.RecordBatch]:
-    """The bytes of the stretches to be merged, with their group."""
+def _hot_pieces(batches, length: int, span: int) -> Iterator[pa.RecordBatch]:
+    """Spans of hot stretches cut by the place of their minimiser, with a group and a hash of the bytes of each."""
     for batch in small_batches(batches, "text", 8 << 20):
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [])
         for doc, text, asked in zip(*[batch.column(c).to_pylist() for c in ("doc", "text", "asked")]):
             for one in asked:
                 start, end = one["start"], one["start"] + one["n"]
-                if not one["hot"]:
-                    for column, value in zip(out, (one["group"], doc, start, text[start : end + length - 1])):
-                        column.append(value)
-                    continue
                 # Strings whose place to the minimiser falls into the same span share all bytes but span - 1.
                 place = start + int(stretches(text[start : start + length], length)[1][0])
                 low = start - (start - place) % span
                 for a in range(low, end, span):
-                    b = min(a + span, end)
+                    first, b = max(a, start), min(a + span, end)
                     core = text[a + span - 1 : a + length]
-                    group = int.from_bytes(hashlib.blake2b(core + bytes([(place - a) % 251]), digest_size=8).digest(), "little", signed=True)
-                    for column, value in zip(out, (group, doc, max(a, start), text[max(a, start) : b + length - 1])):
+                    group = _digest(core + bytes([(place - a) % 251]))
+                    for column, value in zip(out, (doc, first, b - first, group, _digest(text[first : b + length - 1]))):
                         column.append(value)
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        names = ["doc", "start", "n", "group", "content"]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=names)
+
+
+def _digest(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def _asked(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """``doc, text, asked`` with all spans of each document."""
+    asked = spans.groupBy(F.col("doc").alias("_of")).agg(F.collect_list(F.struct("start", "n", "group")).alias("asked"))
+    return texts.join(asked, F.col("doc") == F.col("_of")).select("doc", "text", "asked")
+
+
+def settle_hot(texts: DataFrame, spans: DataFrame, length: int = LENGTH, span: int = HOT_SPAN) -> DataFrame:
+    """Hot stretches ``spans`` in pieces, settled as in step 1: ``doc, start, n, group``.
+
+    Of equal pieces of a group only the earliest keeps the group, if there are others to merge it with; later ones are
+    repeats as a whole and have none. So a merge doesn't grow with the documents that share a passage.
+    """
+    schema = "doc long, start int, n int, group long, content long"
+    pieces = materialise(map_batches(_asked(texts, spans), _hot_pieces, schema, length=length, span=span), "hot_pieces")
+    # Combined before the shuffle: one row per task and different piece.
+    first = pieces.groupBy("group", "content").agg(F.min(F.struct("doc", "start", "n")).alias("first"))
+    first = materialise(first, "hot_firsts")
+    several = first.groupBy("group").count().filter("count > 1").select("group")
+    merged = first.join(several, "group", "left_semi").select("first.doc", "first.start", "first.n", "group")
+    # A document given twice is no repeat of itself.
+    later = pieces.join(first, ["group", "content"]).filter("doc != first.doc or start != first.start")
+    return later.select("doc", "start", "n", F.lit(None).cast("long").alias("group")).unionByName(merged)
+
+
+def _texts(batches, length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of the stretches to be merged, with their group."""
+    for batch in small_batches(batches, "text", 8 << 20):
+        out: tuple[list, ...] = ([], [], [], [])
+        for doc, text, asked in zip(*[batch.column(c).to_pylist() for c in ("doc", "text", "asked")]):
+            for one in asked:
+                start, end = one["start"], one["start"] + one["n"]
+                for column, value in zip(out, (one["group"], doc, start, text[start : end + length - 1])):
+                    column.append(value)
         types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=["group", "doc", "start", "data"])
 
@@ -404,14 +442,16 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT_ST
     by_bucket = found.repartition("bucket").sortWithinPartitions("bucket")
     spans = materialise(map_batches(by_bucket, _settled, SPANS, hot=hot), "spans")
 
-    asked = spans.filter("group is not null").groupBy(F.col("doc").alias("_of"))
-    asked = asked.agg(F.collect_list(F.struct("start", "n", "group", "hot")).alias("asked"))
-    wanted = texts.join(asked, F.col("doc") == F.col("_of")).select("doc", "text", "asked")
-    pieces = map_batches(wanted, _texts, "group long, doc long, start int, data binary", length=length, span=HOT_SPAN)
+    plain = spans.filter(~F.coalesce("hot", F.lit(False))).select("doc", "start", "n", "group")
+    if spans.filter("hot").limit(1).count():
+        plain = plain.unionByName(materialise(settle_hot(texts, spans.filter("hot"), length), "hot_spans"))
+    wanted = _asked(texts, plain.filter("group is not null"))
+    pieces = map_batches(wanted, _texts, "group long, doc long, start int, data binary", length=length)
     by_group = pieces.repartition("group").sortWithinPartitions("group")
     merged = materialise(map_batches(by_group, _merged, SPANS, length=length, unit=UNIT_SUFFIXES), "merged_spans")
 
-    ranges = spans.filter("group is null").unionByName(merged).groupBy(F.col("doc").alias("_of"))
+    repeated = plain.filter("group is null").select("doc", "start", "n").union(merged.select("doc", "start", "n"))
+    ranges = repeated.groupBy(F.col("doc").alias("_of"))
     ranges = ranges.agg(F.collect_list(F.struct("start", "n")).alias("_ranges"))
     joined = rows.join(ranges, F.col("_doc") == F.col("_of"), "left")
     joined = joined.select(*columns, F.col("text").cast("binary").alias("_bytes"), "_ranges")

@@ -63,6 +63,24 @@ def test_passages_periods_and_hot_groups(documents, hot):
     assert sorted(found(documents(*rows), hot=hot)) == plain(rows)
 
 
+def test_hot_groups_merge_different_pieces_only(spark, documents):
+    rng = random.Random(6)
+    passage, letters = "".join(rng.choices("abcdefgh", k=400)), "".join(rng.choices("ijklmnop", k=4000))
+    rows = [(k, letters[k * 40 : k * 40 + 90] + passage + letters[-90 - k * 40 : -k * 40 or None]) for k in range(40)]
+    assert sorted(found(documents(*rows), hot=1)) == plain(rows)
+    texts = {name: text.encode() for name, text in rows}
+    spans = []
+    for name, text in texts.items():
+        _, _, first, n = repeats.stretches(text)
+        spans += [(name, int(a), int(b), 1) for a, b in zip(first, n)]
+    frame = spark.createDataFrame(list(texts.items()), "doc long, text binary")
+    settled = repeats.settle_hot(frame, spark.createDataFrame(spans, "doc long, start int, n int, group long")).collect()
+    asked = [(row["group"], texts[row["doc"]][row["start"] : row["start"] + row["n"] + 99]) for row in settled if row["group"] is not None]
+    repeated = [row for row in settled if row["group"] is None]
+    assert len(set(asked)) == len(asked) < len(repeated)
+    assert max(asked.count(one) for one in asked) == 1 and len(repeated) > 39 * (301 // 4 - 2)
+
+
 def test_text_parts(documents, monkeypatch):
     monkeypatch.setattr(repeats, "PART", 256)
     rows = shared_passages()
