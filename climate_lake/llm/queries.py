@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climate_lake.llm import chat, lines, mixing, neighbours, packing, repeats, rules, simhash, token_files, toxicity
+from climate_lake.llm import (
+    chat,
+    fill_middle,
+    lines,
+    mixing,
+    neighbours,
+    oracle,
+    packing,
+    repeats,
+    rules,
+    simhash,
+    token_files,
+    toxicity,
+)
 from climate_lake.llm.common import read
 
 
@@ -69,6 +82,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents, toxicity.train(documents, read(spark, sf_dir, "labels")))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_token_files,
@@ -81,9 +101,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_line_dedup,
         op10_toxicity,
+        op11_fill_middle,
     )
     return {one.__name__: one for one in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.ORACLES)
