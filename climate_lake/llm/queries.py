@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from climate_lake.llm import (
     chat,
     fill_middle,
+    lexical,
     lines,
     mixing,
     neighbours,
@@ -18,6 +19,7 @@ from climate_lake.llm import (
     packing,
     repeats,
     rules,
+    sharding,
     simhash,
     token_files,
     toxicity,
@@ -89,6 +91,15 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.digests(sharding.shard_documents(documents))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_token_files,
@@ -102,6 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_line_dedup,
         op10_toxicity,
         op11_fill_middle,
+        op12_minimax_shards,
+        op13_ranked_search,
     )
     return {one.__name__: one for one in every}
 
