@@ -7,13 +7,14 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from climate_lake.plans import pipeline, report
+from climate_lake.plans import incremental, pipeline, report
 from climate_lake.session import get_session, settings_for
 from climate_lake.sinks import catalog
+from climate_lake.sinks.tables import expire_versions
 from climate_lake.sources.files import list_files
 from climate_lake.sources.tables import LakePaths
 
-JOBS = ["etl", "analytics", "climatology", "all", "catalog", "report"]
+JOBS = ["etl", "analytics", "climatology", "all", "incremental", "expire", "catalog", "report"]
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -48,6 +49,11 @@ def main(arguments: list[str] | None = None) -> None:
             spark, lake, as_of, options.latest, options.corrected, all_stations=options.all_stations
         )
         steps.show(truncate=False)
+    elif options.job == "incremental":
+        incremental.run(spark, lake, options.latest, options.all_stations).show(truncate=False)
+    elif options.job == "expire":
+        for name in incremental.stored_tables(spark, lake):
+            expire_versions(spark, lake, name)
     elif options.job == "catalog":
         catalog.register_tables(spark, lake, options.database)
         catalog.repair_partitions(spark, lake, options.database)

@@ -9,10 +9,10 @@ from climate_lake.functions.columns import all_present, daily_mean_temperature,
 from climate_lake.schemas import OBSERVATION, RAW_EVENTS, RAW_STATIONS, RAW_THRESHOLDS
 
 
-def clean_observations(flat: DataFrame) -> DataFrame:
+def clean_observations(flat: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed observations with mean temperature and partition columns.
 
-    Rows without city, readable date or maximum temperature are dropped.
+    Rows without city, readable date or maximum temperature are dropped. Columns named in ``keep`` are carried along.
     """
     dated = flat.withColumn("date", to_date("date")).filter(all_present("city_name", "date", "temp_max"))
     return dated.withColumns(
@@ -21,7 +21,7 @@ def clean_observations(flat: DataFrame) -> DataFrame:
             "year": F.year("date"),
             "month": F.month("date"),
         }
-    ).select(*OBSERVATION.fieldNames())
+    ).select(*OBSERVATION.fieldNames(), *keep)
 
 
 def latest_only(observations: DataFrame, keys: tuple[str, ...] = ("city_name", "date")) -> DataFrame:

@@ -47,17 +47,17 @@ def _zipped() -> Column:
     return F.arrays_zip("date", *DAILY_MEASURES.values())
 
 
-def flatten_daily(documents: DataFrame, lenient: bool = False) -> DataFrame:
+def flatten_daily(documents: DataFrame, lenient: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per position of the parallel daily arrays; ``date`` stays text.
 
     Shorter arrays are padded with NULL. A document with a NULL array gives no
     rows, unless ``lenient``, which treats a NULL measure array as empty. Rows
-    without city or date are dropped.
+    without city or date are dropped. Columns named in ``keep`` are carried along.
     """
     place = _place(F.col("city_info.name"))
-    arrays = documents.select(*place, *_arrays(lenient), "ingestion_timestamp", "data_source")
+    arrays = documents.select(*place, *_arrays(lenient), "ingestion_timestamp", "data_source", *keep)
     days = arrays.select(
-        "city_name", "latitude", "longitude", F.inline(_zipped()), "ingestion_timestamp", "data_source"
+        "city_name", "latitude", "longitude", F.inline(_zipped()), "ingestion_timestamp", "data_source", *keep
     )
     return days.filter(all_present("city_name", "date"))
 

@@ -412,6 +412,49 @@ def _lake_tables() -> dict[str, str]:
     }
 
 
+BATCH = (
+    "case when coalesce(ingestion_timestamp, '0') < '1995' then 1 when ingestion_timestamp < '1998' then 2 else 3 end"
+)
+
+
+def _incremental() -> dict[str, str]:
+    """What incremental runs come to, over all documents at once."""
+    measures = ", ".join(
+        f"round({name}, 6) as {name}"
+        for name in ("latitude", "longitude", "temp_max", "temp_min", "temp_avg", "precipitation", "wind_speed", "humidity")
+    )
+
+    def rows(table: str, source: str, key: str, count: str, *names: str) -> str:
+        values = ", ".join(f"round({name}, 6) as measure_{k}" for k, name in enumerate(names))
+        return (
+            f"select '{table}' as \"table\", city_name, year, cast({key} as varchar) as key, {count} as count, {values} "
+            f"from {source}"
+        )
+
+    tables = [
+        rows("temperature_trends_monthly", "monthly", "month", "data_points", "avg_temperature", "max_temperature",
+             "avg_humidity"),
+        rows("extreme_weather_events", "extremes", "event_type", "event_count", "avg_temp_during_event",
+             "max_precipitation", "max_wind_speed"),
+        rows("annual_weather_summary", "annual", "climate_category", "total_measurements", "annual_avg_temp",
+             "annual_precipitation", "annual_avg_wind"),
+    ]
+    newest = NEWEST.replace("from weather)", f"from (select * replace ({measures}) from weather))")
+    return {
+        "lake_incremental": _lake(f"select * replace ({measures}) from weather"),
+        "lake_incremental_latest": _lake(newest),
+        "lake_incremental_runs": _lake(
+            f"select cast({BATCH} as int) as run, count(*) as rows_new, count(distinct (year, month)) as partitions_changed, "
+            "cast(0 as bigint) as files_gone, cast(0 as bigint) as files_read_again from weather group by 1"
+        ),
+        "lake_incremental_trends": _lake(" union all ".join(tables), "monthly", "labelled", "extremes", "annual_sums", "annual"),
+        "lake_replaced_files": _lake(
+            f"select * replace ({measures}) from weather where {BATCH} < 3 or city_name not in ('NATION_3', 'NATION_4') "
+            "or data_source = 'R'"
+        ),
+    }
+
+
 def _damaged(body: str) -> str:
     """``body`` over one row per document, of which some lack a part."""
     flags = (
@@ -687,6 +730,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "quality_score": _score(),
         "sink_partitioned": _sql(WEATHER, flat_all.format("weather")),
+        "sink_recovered": _sql(WEATHER, flat_all.format("weather")),
+        "sink_refreshed": _sql(
+            WEATHER,
+            "select * replace (case when year = 1997 then temp_max + 1 else temp_max end as temp_max) from weather "
+            "where year <> 1998 or month <> 2",
+        ),
         "sink_guarded": events,
         "sink_append": metrics,
         "sink_csv": export,
@@ -699,6 +748,11 @@ def oracle_sql() -> dict[str, str]:
             "select year, count(*) as months, round(max(max_temperature), 6) as max_temperature "
             "from monthly group by year",
         ),
+        "catalog_synced": _sql(
+            MONTHLY_PARTS,
+            "select year, count(*) as months from monthly where year not in (1996, 1997, 1999) "
+            "or (year <> 1999 and month <= 6) group by year",
+        ),
         "lake_end_to_end": _sql(
             ["days", "flat", "flat_dated", *WEATHER[1:], *STATIONS, "integrated", "annual_sums", "annual"],
             f"select {ANNUAL_COLUMNS} from annual",
@@ -707,6 +761,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         **_inventory(),
         **_lake_tables(),
+        **_incremental(),
+        "trend_state_monthly": _sql(MONTHLY_PARTS, f"select {MONTHLY_COLUMNS} from monthly"),
+        "trend_state_annual": _sql(ANNUAL_PARTS, f"select {ANNUAL_COLUMNS} from annual"),
+        "trend_state_extremes": _sql(EXTREME_PARTS, f"select {EXTREME_COLUMNS} from extremes"),
         "landed_twice": _sql(["days", "flat"], flat_all.format("flat")),
         "many_hot_keys": "select l_partkey as part, count(*) as items, cast(sum(p_size) as bigint) as sizes "
         "from lineitem left join part on l_partkey = p_partkey group by l_partkey",

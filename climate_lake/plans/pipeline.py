@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from climate_lake.functions.columns import ExtremeLimits
-from climate_lake.operators import cleaning, climatology, trends
+from climate_lake.operators import cleaning, climatology, trend_state
 from climate_lake.operators.flatten import flatten_daily
 from climate_lake.operators.integrate import integrate_stations
 from climate_lake.session import materialise
@@ -43,11 +43,14 @@ def run_etl(spark: SparkSession, paths: LakePaths, latest: bool = False, all_sta
 
 
 def run_analytics(spark: SparkSession, paths: LakePaths, limits: ExtremeLimits = ExtremeLimits()) -> None:
-    """Trusted to the trend tables. Each reads only its own columns, so nothing is cached."""
+    """Trusted to the trend tables, by way of partial aggregates per city and month: observations are read twice."""
     weather = read_weather(spark, paths)
-    write_table(trends.monthly_trends(weather), paths, "temperature_trends_monthly")
-    write_table(trends.extreme_summary(weather, limits), paths, "extreme_weather_events")
-    write_table(trends.annual_summary(weather), paths, "annual_weather_summary")
+    write_table(trend_state.trend_state(weather), paths, "trend_state")
+    write_table(trend_state.extreme_state(weather, limits), paths, "extreme_state")
+    months, events = (read_table(spark, paths, name) for name in ("trend_state", "extreme_state"))
+    write_table(trend_state.monthly_trends(months), paths, "temperature_trends_monthly")
+    write_table(trend_state.extreme_summary(events), paths, "extreme_weather_events")
+    write_table(trend_state.annual_summary(months), paths, "annual_weather_summary")
 
 
 def run_climatology(spark: SparkSession, paths: LakePaths, as_of: datetime, corrected: bool = False) -> None:

@@ -5,20 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climate_lake.constants import ALERT_LEVELS, EVENT_SEVERITY, EVENT_TYPES, STATION_STATUS
 from climate_lake.functions.columns import ExtremeLimits
-from climate_lake.operators import cleaning, climatology, explore, model, quality, serving, trends
+from climate_lake.operators import cleaning, climatology, explore, model, quality, serving, trend_state, trends
 from climate_lake.operators.flatten import flatten_daily, flatten_for_export
 from climate_lake.operators.integrate import integrate_stations, without_stations
 from climate_lake.functions.joins import salted_join
-from climate_lake.plans import pipeline, report
+from climate_lake.plans import incremental, pipeline, report
 from climate_lake.plans import views as V
 from climate_lake.session import materialise, work_path
 from climate_lake.sinks import catalog
-from climate_lake.sinks.tables import land_documents, land_table, write_csv, write_json, write_table, write_table_if_any
+from climate_lake.sinks.tables import (
+    land_documents,
+    land_table,
+    only_parts,
+    refresh_partitions,
+    write_csv,
+    write_json,
+    write_table,
+    write_table_if_any,
+)
 from climate_lake.sources import relational
 from climate_lake.sources.raw import read_documents, read_snapshots
 from climate_lake.sources.tables import LakePaths, read_table, read_table_if_present, read_weather
@@ -225,6 +235,41 @@ def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, lake, "weather_data")
 
 
+def recovered_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations written, then an overwrite that dies after some of its rows: the table is as before."""
+    lake, rows = _lake(spark, "recovered"), weather(spark, sf)
+    write_table(rows, lake, "weather_data")
+    dies = F.when(F.col("month") < 12, F.col("temp_max") + 1).otherwise(F.raise_error(F.lit("the job dies")).cast("double"))
+    try:
+        write_table(rows.withColumn("temp_max", dies), lake, "weather_data")
+    except PySparkException:
+        return read_table(spark, lake, "weather_data")
+    raise RuntimeError("the second write was to fail")
+
+
+def refreshed_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations of which one year is replaced from the table itself, and a month of another year emptied."""
+    lake = _lake(spark, "refreshed")
+    write_table(weather(spark, sf), lake, "weather_data")
+    stored, year = read_table(spark, lake, "weather_data"), [f"year=1997/month={month}" for month in range(1, 13)]
+    warmer = only_parts(stored, "weather_data", year).withColumn("temp_max", F.col("temp_max") + 1)
+    refresh_partitions(warmer, lake, "weather_data", [*year, "year=1998/month=2"])
+    return read_table(spark, lake, "weather_data")
+
+
+def synced_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly trends behind an external table whose partitions follow two later writes."""
+    lake, name = _lake(spark, "synced"), "temperature_trends_monthly"
+    write_table(monthly(spark, sf), lake, name)
+    database = "climate_" + lake.root.rsplit("-", 1)[-1]
+    catalog.register_tables(spark, lake, database)
+    catalog.repair_partitions(spark, lake, database)
+    half = only_parts(read_table(spark, lake, name), name, ["year=1996", "year=1997"]).filter("month <= 6")
+    refresh_partitions(half, lake, name, ["year=1996", "year=1997", "year=1999"])
+    catalog.sync_partitions(spark, lake, database, name)
+    return spark.sql(f"select year, count(*) as months from {database}.{name} group by year")
+
+
 def guarded_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Events written, then an empty extract that must leave them alone."""
     lake = _lake(spark, "guarded")
@@ -330,6 +375,72 @@ def lake_table(name: str) -> Query:
     return lambda spark, sf: rounded(read_table(spark, finished_lake(spark, sf), name))
 
 
+def fetched_parts(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The documents in three parts, by their time; those without one came first."""
+    docs, time = documents(spark, sf), F.coalesce("ingestion_timestamp", F.lit("0"))
+    return [docs.filter(time < "1995"), docs.filter((time >= "1995") & (time < "1998")), docs.filter(time >= "1998")]
+
+
+def incremental_lake(spark: SparkSession, sf: str, latest: bool = False) -> tuple[LakePaths, list[DataFrame]]:
+    """A lake that three parts of the documents reach one after the other, with a run after each; their reports."""
+    lake, reports = _lake(spark, "incremental"), []
+    land_table(V.view(spark, sf, V.STATIONS), lake.raw, "weather_stations", EVALUATED_AT)
+    for hour, part in enumerate(fetched_parts(spark, sf)):
+        land_documents(part, lake.raw, EVALUATED_AT.replace(hour=hour))
+        reports.append(incremental.run(spark, lake, latest).withColumn("run", F.lit(hour + 1)))
+    return lake, reports
+
+
+def lake_incremental(spark: SparkSession, sf: str, latest: bool = False) -> DataFrame:
+    """Observations after three runs, each of which read the newly landed files only."""
+    return rounded(read_table(spark, incremental_lake(spark, sf, latest)[0], "weather_data"))
+
+
+def lake_incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each run read, and partitions that it wrote."""
+    _, reports = incremental_lake(spark, sf)
+    runs = reports[0].unionByName(reports[1]).unionByName(reports[2])
+    return runs.select("run", "rows_new", "partitions_changed", "files_gone", "files_read_again")
+
+
+def lake_incremental_trends(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the three trend tables after three runs, with their counts and means."""
+    lake, _ = incremental_lake(spark, sf)
+
+    def rows(name: str, key: str, count: str, *measures: str) -> DataFrame:
+        values = [F.col(measure).alias(f"measure_{k}") for k, measure in enumerate(measures)]
+        table = read_table(spark, lake, name)
+        return table.select(F.lit(name).alias("table"), "city_name", "year", F.col(key).cast("string").alias("key"),
+                            F.col(count).alias("count"), *values)
+
+    months = rows("temperature_trends_monthly", "month", "data_points", "avg_temperature", "max_temperature", "avg_humidity")
+    events = rows("extreme_weather_events", "event_type", "event_count", "avg_temp_during_event", "max_precipitation",
+                  "max_wind_speed")
+    years = rows("annual_weather_summary", "climate_category", "total_measurements", "annual_avg_temp",
+                 "annual_precipitation", "annual_avg_wind")
+    return rounded(months.unionByName(events).unionByName(years))
+
+
+def lake_replaced_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations after two runs, between which the last fetch of two cities was landed once more, with fewer documents."""
+    lake, parts = _lake(spark, "replaced"), fetched_parts(spark, sf)
+    for hour, part in enumerate(parts):
+        land_documents(part, lake.raw, EVALUATED_AT.replace(hour=hour))
+    incremental.refresh_weather(spark, lake)
+    again = parts[-1].filter(F.col("city_info.name").isin("NATION_3", "NATION_4") & (F.col("data_source") == "R"))
+    land_documents(again, lake.raw, EVALUATED_AT.replace(hour=len(parts) - 1))
+    incremental.refresh_weather(spark, lake)
+    return rounded(read_table(spark, lake, "weather_data"))
+
+
+def merged_states(spark: SparkSession, sf: str, extreme: bool = False) -> DataFrame:
+    """Partial aggregates of three parts of the observations, whose cities and months overlap, merged."""
+    rows = weather(spark, sf)
+    part = F.pmod(F.xxhash64("date", "ingestion_timestamp", "temp_max"), F.lit(3))
+    made = trend_state.extreme_state if extreme else trend_state.trend_state
+    return trend_state.merge(*[made(rows.filter(part == k)) for k in range(3)])
+
+
 def lake_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """Observations where the integrated table is there, but empty."""
     lake = _lake(spark, "fallback")
@@ -420,6 +531,9 @@ def queries() -> dict[str, Query]:
         "extreme_summary_cold_zero": extreme_summary_cold_zero,
         "annual_summary": lambda s, sf: rounded(annual(s, sf)),
         "annual_summary_unknown": annual_without_rain,
+        "trend_state_monthly": lambda s, sf: rounded(trend_state.monthly_trends(merged_states(s, sf))),
+        "trend_state_annual": lambda s, sf: rounded(trend_state.annual_summary(merged_states(s, sf))),
+        "trend_state_extremes": lambda s, sf: rounded(trend_state.extreme_summary(merged_states(s, sf, extreme=True))),
         # refined: climatology
         "features": lambda s, sf: climatology.features(integrated(s, sf)),
         "features_derived": features_derived,
@@ -503,6 +617,8 @@ def queries() -> dict[str, Query]:
         "quality_report": quality_report,
         # sinks and catalog
         "sink_partitioned": partitioned_roundtrip,
+        "sink_recovered": recovered_overwrite,
+        "sink_refreshed": refreshed_partitions,
         "sink_guarded": guarded_roundtrip,
         "sink_append": append_roundtrip,
         "sink_csv": lambda s, sf: export_roundtrip(s, sf, as_json=False),
@@ -512,8 +628,14 @@ def queries() -> dict[str, Query]:
         "landed_events": landed_events,
         "landed_thresholds": landed_thresholds,
         "catalog_tables": catalog_tables,
+        "catalog_synced": synced_catalog,
         "lake_end_to_end": lake_end_to_end,
         **{f"lake_{name}": lake_table(name) for name in (*TRUSTED_TABLES, *REFINED_TABLES)},
+        "lake_incremental": lake_incremental,
+        "lake_incremental_latest": lambda s, sf: lake_incremental(s, sf, latest=True),
+        "lake_incremental_runs": lake_incremental_runs,
+        "lake_incremental_trends": lake_incremental_trends,
+        "lake_replaced_files": lake_replaced_files,
         "lake_fallback": lake_fallback,
         "lake_without_snapshots": lake_without_snapshots,
         # model

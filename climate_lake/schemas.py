@@ -140,6 +140,30 @@ TABLES = {
             ("year",),
             in_catalog=True,
         ),
+        # Partial aggregates that the three tables above are made from.
+        Table(
+            "trend_state",
+            "refined",
+            _struct(
+                "city_name string, year int, month int, n_rows bigint, n_temperature bigint, sum_temperature double, "
+                "max_temperature double, min_temperature double, max_high_measured double, min_low_measured double, "
+                "n_precipitation_measured bigint, sum_precipitation_measured double, n_humidity_measured bigint, "
+                "sum_humidity_measured double, sum_precipitation double, n_humidity bigint, sum_humidity double, "
+                "n_wind bigint, sum_wind double"
+            ),
+            ("year", "month"),
+            ("city_name",),
+        ),
+        Table(
+            "extreme_state",
+            "refined",
+            _struct(
+                "city_name string, event_type string, year int, month int, n_events bigint, n_temperature bigint, "
+                "sum_temperature double, max_precipitation double, max_wind_speed double, limits string"
+            ),
+            ("year", "month"),
+            ("city_name",),
+        ),
         Table(
             "ml_model_metrics",
             "refined",

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climate_lake.schemas import TABLES
-from climate_lake.sources.tables import LakePaths
+from climate_lake.sources import commits
+from climate_lake.sources.tables import LakePaths, read_table, read_table_if_present, stored_schema
 
 
-def write_table(df: DataFrame, paths: LakePaths, name: str, mode: str = "overwrite") -> None:
-    """Write a zone table as Parquet in its partition layout.
+def _write(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
+    """Write rows in a table's partition layout.
 
     A partitioned table is rebalanced on its partition columns first: adaptive
     execution merges small partitions and cuts large ones, so a month that
@@ -27,7 +29,152 @@ def write_table(df: DataFrame, paths: LakePaths, name: str, mode: str = "overwri
     writer = rows.write.mode(mode)
     if table.partitions:
         writer = writer.partitionBy(*table.partitions)
-    writer.parquet(paths.table(name))
+    writer.parquet(path)
+
+
+def _commit(
+    spark: SparkSession, paths: LakePaths, name: str, kind: str, folder: str, parts: list[str] | None, source: int | None
+) -> None:
+    """Add the commit of a finished folder: its partitions with their files, bytes and rows, and ``parts`` left without."""
+    table = paths.table(name)
+    written = spark.read.schema(stored_schema(name)).option("basePath", table).parquet(f"{table}/{folder}")
+    place = F.regexp_extract("_metadata.file_path", rf"/{folder}/(?:(.*)/)?[^/]+$", 1)
+    first = F.col("_metadata.row_index") == 0
+    found = written.groupBy(place.alias("partition")).agg(
+        F.count_if(first).alias("files"),
+        F.sum(F.when(first, F.col("_metadata.file_size"))).alias("bytes"),
+        F.count("*").alias("rows"),
+    )
+    # A row for the commit as such, and one for each partition that may have got no rows.
+    marks = F.array(F.lit(None).cast("string"), *map(F.lit, parts or []))
+    nothing = [F.lit(0).cast("bigint").alias(column) for column in ("files", "bytes", "rows")]
+    rows = found.unionByName(spark.range(1).select(F.explode(marks).alias("partition"), *nothing))
+    version = (commits.read_log(spark, paths.root, name).version or 0) + 1
+    made = rows.select(
+        F.lit(version).cast("bigint").alias("version"),
+        F.lit(kind).alias("kind"),
+        F.lit(folder).alias("folder"),
+        "partition",
+        "files",
+        "bytes",
+        "rows",
+        F.lit(source).cast("bigint").alias("source"),
+        F.current_timestamp().alias("written"),
+    )
+    # One file: it is there as a whole or not at all.
+    made.coalesce(1).write.mode("append").parquet(commits.commits_path(paths.root, name))
+
+
+def new_folder() -> str:
+    return f"{commits.VERSION}=w{uuid.uuid4().hex}"
+
+
+def write_table(
+    df: DataFrame, paths: LakePaths, name: str, mode: str = "overwrite", source: int | None = None, folder: str | None = None
+) -> None:
+    """Overwrite a zone table or append to it. Until the whole write is done, and if it fails, readers see the old rows.
+
+    The new rows may be computed from the table itself. The folders of earlier writes stay until ``expire_versions``.
+    """
+    spark = df.sparkSession
+    if mode == "append":
+        _append(df, paths, name)
+        return
+    if mode != "overwrite":
+        raise ValueError("mode is overwrite or append")
+    folder = folder or new_folder()
+    _write(df, f"{paths.table(name)}/{folder}", name)
+    _commit(spark, paths, name, commits.OVERWRITE, folder, None, source)
+
+
+def _append(df: DataFrame, paths: LakePaths, name: str) -> None:
+    spark, table = df.sparkSession, paths.table(name)
+    now = commits.read_log(spark, paths.root, name)
+    if now.version is None:
+        if read_table_if_present(spark, paths, name) is None:
+            write_table(df, paths, name)
+        else:
+            _write(df, table, name, "append")
+        return
+    folders = set(now.folders.values())
+    if len(folders) > 1 and TABLES[name].partitions:
+        parts = parts_of(df, name)
+        refresh_partitions(df.unionByName(only_parts(read_table(spark, paths, name), name, parts)), paths, name, parts)
+        return
+    folder = folders.pop() if folders else new_folder()
+    _write(df, f"{table}/{folder}", name, "append")
+    _commit(spark, paths, name, commits.APPEND, folder, None, None)
+
+
+def _part(name: str):
+    """Path of a row's partition below its folder, as Spark names it (partition columns are whole numbers)."""
+    default = F.lit("__HIVE_DEFAULT_PARTITION__")
+    return F.concat_ws(
+        "/", *[F.concat(F.lit(f"{column}="), F.coalesce(F.col(column).cast("string"), default)) for column in TABLES[name].partitions]
+    )
+
+
+def count_parts(df: DataFrame, name: str) -> dict[str, int]:
+    """Rows of ``df`` in each partition."""
+    return {row["part"]: row["count"] for row in df.groupBy(_part(name).alias("part")).count().collect()}
+
+
+def parts_of(df: DataFrame, name: str) -> list[str]:
+    """Partitions that ``df`` has rows in."""
+    return sorted(count_parts(df, name))
+
+
+def only_parts(df: DataFrame, name: str, parts: list[str]) -> DataFrame:
+    """Rows of these partitions, by a condition on the partition columns that prunes the scan."""
+    chosen = F.lit(False)
+    for first, rest in _by_first(parts).items():
+        one = F.col(TABLES[name].partitions[0]).eqNullSafe(_value(first))
+        if rest:
+            column = F.col(TABLES[name].partitions[1])
+            known = [_value(value) for value in rest if not value.startswith("__")]
+            inner = column.isin(known) if known else F.lit(False)
+            one = one & (F.coalesce(inner, F.lit(False)) | (column.isNull() if len(known) < len(rest) else F.lit(False)))
+        chosen = chosen | one
+    return df.filter(chosen)
+
+
+def _value(text: str):
+    return F.lit(None if text.startswith("__") else int(text)).cast("int")
+
+
+def _by_first(parts: list[str]) -> dict[str, list[str]]:
+    """Second values by first value of partition paths."""
+    found: dict[str, list[str]] = {}
+    for part in parts:
+        values = [step.split("=", 1)[1] for step in part.split("/")]
+        found.setdefault(values[0], []).extend(values[1:])
+    return found
+
+
+def refresh_partitions(
+    df: DataFrame, paths: LakePaths, name: str, parts: list[str], source: int | None = None, folder: str | None = None
+) -> None:
+    """Replace these partitions by the rows of ``df``, all of which lie in them; other partitions aren't touched.
+
+    A partition of the list without rows is empty afterwards. All of them change at once, when the write is committed.
+    """
+    folder = folder or new_folder()
+    _write(df, f"{paths.table(name)}/{folder}", name)
+    _commit(df.sparkSession, paths, name, commits.REFRESH, folder, parts, source)
+
+
+def expire_versions(spark: SparkSession, paths: LakePaths, name: str, keep: int = 2) -> list[str]:
+    """Delete the folders of commits before the newest ``keep`` that no partition is read from any more."""
+    log = commits.read_log(spark, paths.root, name)
+    newest = {row["folder"]: row["version"] for row in sorted(log.rows, key=lambda row: row["version"])}
+    unused = sorted(
+        folder for folder, version in newest.items() if version <= log.version - keep and folder not in log.folders.values()
+    )
+    jvm = spark.sparkContext._jvm
+    for folder in unused:
+        path = jvm.org.apache.hadoop.fs.Path(f"{paths.table(name)}/{folder}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return unused
 
 
 def write_table_if_any(df: DataFrame, paths: LakePaths, name: str) -> bool:

@@ -5,12 +5,18 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE = "path string, length bigint"
 
 
+def plain_path(uri: Column) -> Column:
+    """The plain path of a file whose URI the scan's metadata or its index gives."""
+    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     """Path and length of every file below the folders; contents are not read, absent folders are empty.
 
@@ -28,8 +34,7 @@ def list_files(spark: SparkSession, *folders: str) -> DataFrame:
         filled = found.select("path", "length")
         # The index names files as encoded URIs, the scan as plain paths.
         names = spark.createDataFrame([(name,) for name in found.inputFiles()], "uri string")
-        plain = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-        indexed = names.select(F.regexp_replace(plain, "^file:/+", "file:/").alias("path"))
+        indexed = names.select(plain_path(F.col("uri")).alias("path"))
         empty = indexed.join(filled, "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"))
         return filled.unionByName(empty)
 

@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from climate_lake.schemas import TABLES
+from climate_lake.sources import commits
 
 
 @dataclass(frozen=True)
@@ -27,10 +29,21 @@ class LakePaths:
         return f"{self.zone(TABLES[name].zone)}/{name}"
 
 
+def stored_schema(name: str) -> T.StructType:
+    """Schema of a table's files, with the folder of the write they belong to."""
+    return T.StructType([*TABLES[name].schema.fields, T.StructField(commits.VERSION, T.StringType())])
+
+
 def read_table(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
-    """A zone table in the column order of its schema."""
-    schema = TABLES[name].schema
-    return spark.read.schema(schema).parquet(paths.table(name)).select(*schema.fieldNames())
+    """A zone table in the column order of its schema: what its commits list, or its whole folder if it has none."""
+    schema, folder = TABLES[name].schema, paths.table(name)
+    now = commits.read_log(spark, paths.root, name)
+    if now.version is None:
+        return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+    if not now.folders:
+        return empty_table(spark, name)
+    stored = spark.read.schema(stored_schema(name)).option("basePath", folder).parquet(*now.paths(folder))
+    return stored.select(*schema.fieldNames())
 
 
 def read_table_if_present(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame | None:
