@@ -32,11 +32,46 @@ BLOCK = 128
 SEGMENT_IDS = 1 << 20
 END_ID = 2
 
+# Bit lengths of all 16-bit numbers.
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
 INDEX = np.dtype([("minimum", "<u4"), ("width", "u1"), ("exceptions", "u1"), ("start", "<u4")])
 SEGMENTS = "shard int, segment int, n_docs long, n_tokens long, data binary"
 DOCUMENTS = "shard int, segment int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
+def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    """0 for 0, else the place of the highest bit."""
+    if values.max(initial=0) < len(_BITS):
+        return _BITS[values]
+    return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+
+
+def _word(width: int) -> int:
+    """Bytes of the smallest word that holds ``width`` bits."""
+    return 1 if width <= 8 else 2 if width <= 16 else 4
+
+
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ``BLOCK`` numbers as bytes, ``width`` bits of each."""
+    size = _word(width)
+    words = values.astype(f">u{size}")
+    if width == 8 * size:
+        return words.view(np.uint8).reshape(len(values), -1)
+    bits = np.unpackbits(words.view(np.uint8).reshape(len(values), BLOCK, size), axis=2)
+    return np.packbits(bits[:, :, 8 * size - width :].reshape(len(values), -1), axis=1)
+
+
+def _unpacked(data: np.ndarray, width: int) -> np.ndarray:
+    """Inverse of ``_packed``."""
+    size = _word(width)
+    if width < 8 * size:
+        bits = np.zeros((len(data), BLOCK, 8 * size), np.uint8)
+        bits[:, :, 8 * size - width :] = np.unpackbits(data, axis=1).reshape(len(data), BLOCK, width)
+        data = np.packbits(bits.reshape(len(data), -1), axis=1)
+    return np.ascontiguousarray(data).view(f">u{size}").astype(np.uint32)
+
+
 def pack_ids(ids: np.ndarray, percentile: float = 90.0) -> bytes:
     """Block index and blocks of ``ids`` (unsigned, 32 bits)."""
     n_blocks = -(-len(ids) // BLOCK)
@@ -48,30 +83,28 @@ def pack_ids(ids: np.ndarray, percentile: float = 90.0) -> bytes:
     values = padded.reshape(n_blocks, BLOCK)
     minimum = values.min(axis=1)
     rest = values - minimum[:, None]
-    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)  # 0 for 0, else the place of the highest bit
+    bits = _bit_lengths(rest)
     place = min(BLOCK - 1, int(np.ceil(BLOCK * percentile / 100)) - 1)
     width = np.partition(bits, place, axis=1)[:, place]
-    over = bits > width[:, None]
-    exceptions = over.sum(axis=1).astype(np.uint8)
-    packed: list[bytes] = [b""] * n_blocks
-    for w in np.unique(width).tolist():
+    rows, columns = np.nonzero(bits > width[:, None])
+    exceptions = np.bincount(rows, minlength=n_blocks)
+    packed = BLOCK // 8 * width.astype(np.int64)
+    size = packed + 5 * exceptions
+    starts = np.cumsum(size) - size
+    body = np.empty(int(size.sum()), np.uint8)
+    for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        if w:
-            shifts = np.arange(w - 1, -1, -1, dtype=np.uint32)
-            for part in np.array_split(own, -(-len(own) // 512)):
-                row = np.packbits(((rest[part][:, :, None] >> shifts) & 1).astype(np.uint8).reshape(len(part), -1), axis=1)
-                for k, data in zip(part.tolist(), row):
-                    packed[k] = data.tobytes()
-    rows, columns = np.nonzero(over)
-    high = (rest[rows, columns].astype(np.uint64) >> width[rows].astype(np.uint64)).astype("<u4")
-    columns, first = columns.astype(np.uint8), np.concatenate([[0], np.cumsum(exceptions, dtype=np.int64)])
-    for k in np.flatnonzero(exceptions).tolist():
-        own = slice(first[k], first[k + 1])
-        packed[k] += columns[own].tobytes() + high[own].tobytes()
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in packed[:-1]], dtype=np.int64)])
+        for part in np.array_split(own, -(-len(own) // 512)):
+            low = rest[part] & np.uint32((1 << w) - 1)
+            body[starts[part][:, None] + np.arange(BLOCK // 8 * w)] = _packed(low, w)
+    first = starts + packed
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
+    body[first[rows] + nth] = columns
+    high = (rest[rows, columns] >> width[rows]).astype("<u4")
+    body[(first + exceptions)[rows][:, None] + 4 * nth[:, None] + np.arange(4)] = high.view(np.uint8).reshape(-1, 4)
     index = np.zeros(n_blocks, INDEX)
     index["minimum"], index["width"], index["exceptions"], index["start"] = minimum, width, exceptions, starts
-    return index.tobytes() + b"".join(packed)
+    return index.tobytes() + body.tobytes()
 
 
 def unpack_ids(data: bytes, n_ids: int) -> np.ndarray:
@@ -81,23 +114,18 @@ def unpack_ids(data: bytes, n_ids: int) -> np.ndarray:
     body = np.frombuffer(data, np.uint8, offset=n_blocks * INDEX.itemsize)
     values = np.zeros((n_blocks, BLOCK), np.uint32)
     starts = index["start"].astype(np.int64)
-    for w in np.unique(index["width"]).tolist():
-        if not w:
-            continue
-        own, size = np.flatnonzero(index["width"] == w), BLOCK * w // 8
-        weights = (1 << np.arange(w - 1, -1, -1, dtype=np.int64)).astype(np.float64)
+    for w in np.unique(index["width"][index["width"] > 0]).tolist():
+        own = np.flatnonzero(index["width"] == w)
         for part in np.array_split(own, -(-len(own) // 512)):
-            bits = np.unpackbits(body[starts[part][:, None] + np.arange(size)], axis=1)
-            values[part] = (bits.reshape(len(part), BLOCK, w) @ weights).astype(np.uint32)
+            values[part] = _unpacked(body[starts[part][:, None] + np.arange(BLOCK // 8 * w)], w)
     count = index["exceptions"].astype(np.int64)
     if count.any():
         block = np.repeat(np.arange(n_blocks), count)
         nth = np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
         place = (starts + BLOCK // 8 * index["width"].astype(np.int64))[block]
-        column = body[place + nth]
         at = place + count[block] + 4 * nth
-        high = np.ascontiguousarray(body[at[:, None] + np.arange(4)]).view("<u4")[:, 0].astype(np.uint64)
-        values[block, column] += (high << index["width"][block].astype(np.uint64)).astype(np.uint32)
+        high = np.ascontiguousarray(body[at[:, None] + np.arange(4)]).view("<u4")[:, 0]
+        values[block, body[place + nth]] += high << index["width"][block]
     return (values + index["minimum"][:, None]).reshape(-1)[:n_ids]
 
 
