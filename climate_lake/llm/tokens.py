@@ -18,8 +18,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task per core
 
-# Most words the memo holds, and the longest of them: some 80 MB per Python worker.
-MEMO_WORDS = 400_000
+# Most words the memo holds, and the longest of them: some 120 MB per Python worker.
+MEMO_WORDS = 600_000
 MEMO_LETTERS = 64
 
 # Runs of letters, single digits, runs of anything else, after the contractions: the file's own split, for Latin-1.
@@ -77,11 +77,15 @@ class Encoder:
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def _unseen(self, words: list[str]) -> dict[str, bytes]:
-        odd = [word for word in words if _ODD_WORD.search(word)]
+        # Joined by a letter, words have an odd character only if one of them has.
+        odd = [word for word in words if _ODD_WORD.search(word)] if _ODD_WORD.search("a".join(words)) else []
         found = dict(zip(odd, self._whole(odd)))
-        plain = [word for word in words if word not in found]
-        runs = [_RUNS.findall(word.lower()) for word in plain]
-        ids_of = self._runs(list(set(chain.from_iterable(runs))))
+        plain = [word for word in words if word not in found] if odd else words
+        runs = [_runs_of(word.lower()) for word in plain]
+        every = set(chain.from_iterable(runs))
+        # A run is a word of its own, which may have been met as one.
+        ids_of = {run: self.memo[run] for run in every & self.memo.keys()}
+        ids_of |= self._runs(list(every - ids_of.keys()))
         for word, own in zip(plain, runs):
             found[word] = ids_of[own[0]] if len(own) == 1 else b"".join([ids_of[run] for run in own])
         return found
@@ -97,6 +101,12 @@ class Encoder:
         return {run: data[start:end] for run, start, end in zip(runs, [0, *ends], ends)}
 
 
+def _runs_of(word: str) -> list[str]:
+    if word.isalpha():
+        return [word]
+    return [word[:-1], word[-1]] if word[-1] in ".,;:!?" and word[:-1].isalpha() else _RUNS.findall(word)
+
+
 def _split(text: str | None) -> list[str]:
     if not text:
         return []
