@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -34,12 +33,3 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = BA
 def map_batches(df: DataFrame, function, schema: str, **arguments) -> DataFrame:
     """``mapInArrow`` of a module-level function with bound keyword arguments."""
     return df.mapInArrow(partial(function, **arguments), schema)
-
-
-def plain_words(text: str | None) -> list[bytes]:
-    """Words of a text, A-Z in lower case, as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-def control_free(pattern: str) -> re.Pattern[str]:
-    return re.compile(pattern)

@@ -124,8 +124,8 @@ def pack_pieces(
 ) -> DataFrame:
     """``sequence_id`` and a gapless ``offset`` for each row of a written table of ``cut_pieces``.
 
-    Tasks read neighbouring files (no shuffle) until each has about ``task_tokens`` tokens. Without ids, only
-    their checksums are read and carried.
+    Tasks read neighbouring files (no shuffle) until each has about ``task_tokens`` tokens. Without ids, only places
+    are given, and the ids are neither read nor carried.
     """
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-tokens // task_tokens))
@@ -135,12 +135,16 @@ def pack_pieces(
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, **options) -> DataFrame:
-    """Cut, write the pieces to the shared work folder, and pack them."""
-    return pack_pieces(materialise(cut_pieces(documents, tokenizer), "pieces"), **options)
+    """Cut, write the pieces to the shared work folder, pack them, and write and reread the sequences with their ids.
+
+    ``ids_crc32`` is that of the ids as they were reread.
+    """
+    packed = materialise(pack_pieces(materialise(cut_pieces(documents, tokenizer), "pieces"), **options), "sequences")
+    return packed.withColumn("ids_crc32", F.crc32("ids")) if "ids" in packed.columns else packed
 
 
 def _sourced_pieces(batches, path: str, capacity: int, separator: int) -> Iterator[pa.RecordBatch]:
-    """Pieces without ids, with a number ``doc`` of their own for each document row, and its source."""
+    """Pieces with a number ``doc`` of their own for each document row, and its source."""
     sources, done = deque(), TaskContext.get().partitionId() << 40
 
     def noted() -> Iterator[pa.RecordBatch]:
@@ -157,8 +161,8 @@ def _sourced_pieces(batches, path: str, capacity: int, separator: int) -> Iterat
             docs.append(done)
             own.append(source)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(docs, pa.int64()), pa.array(own, pa.string())],
-            names=[*batch.schema.names[:-1], "doc", "source"],
+            [*batch.columns, pa.array(docs, pa.int64()), pa.array(own, pa.string())],
+            names=[*batch.schema.names, "doc", "source"],
         )
 
 
@@ -171,21 +175,21 @@ def pack_mixed(
     task_tokens: int = TASK_TOKENS,
     **options,
 ) -> DataFrame:
-    """The pieces of ``doc_id, text, source`` packed in the order of the mix, without ids.
+    """The pieces of ``doc_id, text, source`` packed in the order of the mix.
 
     ``mixing.mix`` with the given ``options`` places the document rows; packing tasks take successive ranges of slots, and
     pieces come in the order of slot, rank and place in the document, however the documents lie in files. Sequences are
-    numbered in the order of the tasks. Only checksums and places are shuffled.
+    numbered in the order of the tasks. Ids are shuffled once, to the place of their sequence; texts are not.
     """
-    plain = PIECES.removesuffix(", ids binary")
     rows = documents.select("doc_id", "text", F.col("source").cast("string").alias("source"))
-    schema = plain + ", doc long, source string"
+    schema = PIECES + ", doc long, source string"
     cut = map_batches(rows, _sourced_pieces, schema, path=tokenizer, capacity=capacity, separator=separator)
     pieces = materialise(cut, "mixed_pieces")
     mixed = mixing.mix(pieces.filter("piece = 0").select("doc", "doc_id", "source"), **options)
     places = mixed.select(F.col("doc").alias("of"), F.col("mix.slot").alias("slot"), F.col("mix.rank").alias("rank"))
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-tokens // task_tokens))
-    placed = pieces.join(places, F.col("doc") == F.col("of")).select(*[x.split()[0] for x in plain.split(", ")], "slot", "rank")
+    placed = pieces.join(places, F.col("doc") == F.col("of")).select(*[x.split()[0] for x in PIECES.split(", ")], "slot", "rank")
     ordered = placed.repartitionByRange(tasks, "slot", "rank").sortWithinPartitions("slot", "rank", "piece").drop("slot", "rank")
-    return map_batches(ordered, _pack, plain + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
+    packed = map_batches(ordered, _pack, PIECES + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
+    return packed.withColumn("ids_crc32", F.crc32("ids"))

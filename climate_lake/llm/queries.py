@@ -36,7 +36,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer(), with_ids=False)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer()).drop("ids")
 
 
 def op3_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -422,8 +422,10 @@ def _numbered(documents: DataFrame) -> DataFrame:
     ranged = keys.repartitionByRange(*order).withColumn("o_part", F.spark_partition_id())
     ranks = materialise(ranged.withColumn("o_rank", F.row_number().over(Window.partitionBy("o_part").orderBy(*order))), "order")
     ranks = ranks.select("o_id", "o_hash", (F.shiftleft(F.col("o_part").cast("long"), 40) + F.col("o_rank")).alias("_doc"))
-    match = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.xxhash64("text") == F.col("o_hash"))
-    return documents.join(ranks, match).drop("o_id", "o_hash")
+    # The input's columns may have any name.
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    match = F.col("row.doc_id").eqNullSafe(F.col("o_id")) & (F.xxhash64("row.text") == F.col("o_hash"))
+    return rows.join(ranks, match).select("row.*", "_doc")
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT_STRETCHES) -> DataFrame:

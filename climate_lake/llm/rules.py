@@ -212,8 +212,10 @@ def keep_good(documents: DataFrame, labels: DataFrame, stratum: str = "lang", **
 
     A verdict follows from text and stratum, so rows are found by these (the text by its hash) and the doc_id.
     """
-    named = documents.withColumn("_of", F.xxhash64("text"))
+    named = documents.select("doc_id", "text", stratum).withColumn("_of", F.xxhash64("text"))
     judged = judge(named, labels, stratum=stratum, carried=("_of",), **options).filter("not kept")
-    bad = judged.select(F.col("doc_id").alias("_bad"), F.col(stratum).alias("_bad_stratum"), "_of").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & F.col(stratum).eqNullSafe(F.col("_bad_stratum"))
-    return documents.join(bad, same & (F.xxhash64("text") == F.col("_of")), "left_anti")
+    bad = judged.select(F.col("doc_id").alias("bad"), F.col(stratum).alias("bad_stratum"), F.col("_of").alias("of")).distinct()
+    # The input's columns may have any name.
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("bad")) & F.col(f"row.{stratum}").eqNullSafe(F.col("bad_stratum"))
+    return rows.join(bad, same & (F.xxhash64("row.text") == F.col("of")), "left_anti").select("row.*")

@@ -194,17 +194,3 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, most: int = MA
     return rows.join(named, F.col("fp") == F.col("of")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """Of each component the rows with its smallest doc_id; rows without doc_id stay.
-
-    Rows that share a doc_id are judged each by its own text, found by its hash.
-    """
-    texts = documents.select(F.xxhash64("text").alias("doc_id"), "text")
-    found = near_duplicates(texts, **options).select(F.col("doc_id").alias("_of"), "component_id").distinct()
-    ids = documents.select(F.xxhash64("text").alias("_of"), F.col("doc_id").alias("_dropped")).distinct()
-    rows = materialise(ids.join(found, "_of"), "fingerprint_rows")
-    least = rows.groupBy("component_id").agg(F.min("_dropped").alias("_least"))
-    dropped = rows.join(least, "component_id").filter("_dropped != _least").select("_of", "_dropped")
-    return documents.join(dropped, (F.col("doc_id") == F.col("_dropped")) & (F.xxhash64("text") == F.col("_of")), "left_anti")

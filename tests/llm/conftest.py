@@ -37,7 +37,8 @@ def odd_documents(documents):
     from pyspark.sql import functions as F
 
     frame = documents(*rows)
-    for name in ("start", "length", "rank", "mix", "h", "row", "kept", "n_words", "n_lines", "score", "_drop", "fp", "slot"):
+    for name in ("start", "length", "rank", "mix", "h", "row", "kept", "n_words", "n_lines", "score", "_drop", "fp", "slot",
+                 "_bad", "_bad_stratum", "_of", "bad", "of", "o_id", "o_hash", "o_rank", "signature"):
         frame = frame.withColumn(name, F.lit(f"own {name}"))
     return frame, rows
 

@@ -62,10 +62,6 @@ def test_odd_rows(odd_documents, empty_documents):
     got = simhash.near_duplicates(frame).collect()
     assert sorted([tuple(row) for row in got], key=repr) == expected(rows)
     assert simhash.near_duplicates(empty_documents).count() == 0
-    kept = simhash.keep_one(frame)
-    assert kept.columns == frame.columns
-    assert sum(1 for row in kept.collect() if row["doc_id"] is None) == 3
-    assert simhash.keep_one(empty_documents).count() == 0
 
 
 @settings(max_examples=200, deadline=None)
@@ -121,9 +117,3 @@ def test_components_of_a_long_chain(spark):
 def test_long_text_in_parts():
     text = " ".join(f"w{k * k % 7919}" for k in range(70_000))
     assert simhash.fingerprint(text.encode()) % 2**64 == plain_fingerprint(text)
-
-
-def test_rows_that_share_an_id_are_kept_each_by_its_own_text(documents):
-    one, two = " ".join("abcdefghij"), " ".join("klmnopqrst")
-    kept = simhash.keep_one(documents((2, one), (5, one), (5, two), (None, two))).collect()
-    assert sorted((row["doc_id"] or 0, row["text"]) for row in kept) == [(0, two), (2, one), (5, two)]
