@@ -29,16 +29,37 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` of each key, combined before the shuffle."""
+    return df.groupBy(*keys).agg(F.count("*").alias("rows"))
+
+
+def _splits(rows: Column, rows_per_split: int) -> Column:
+    """Tasks that a key of so many rows needs; NULL for one."""
+    splits = F.ceil(rows / rows_per_split).cast("int")
+    return F.when(splits > 1, splits)
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Every key that needs more than one task, with the number of ``splits``.
+    """Every key that needs more than one task, with the number of ``splits``."""
+    counted = key_counts(df, keys).select(*keys, _splits(F.col("rows"), rows_per_split).alias("splits"))
+    return counted.filter(F.col("splits").isNotNull())
+
+
+def hot_key_pairs(left: DataFrame, right: DataFrame, keys: list[str], rows_per_split: int) -> DataFrame:
+    """Keys that need more than one task on either side, from the ``key_counts`` of both: ``_left_n`` and ``_right_n``.
 
-    The count is combined before the shuffle. Each of these keys has more than
-    ``rows_per_split`` rows, so the list is short against the rows, but it does
-    grow with them: measure it before it is broadcast.
+    Each of these keys has more than ``rows_per_split`` rows, so the list is short against the rows, but it does grow
+    with them: measure it before it is broadcast.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    splits = F.ceil(F.col("rows") / rows_per_split).cast("int")
-    return counted.select(*keys, splits.alias("splits")).filter(F.col("splits") > 1)
+    none = F.lit(0).cast("bigint")
+    both = left.select(*keys, F.col("rows").alias("a"), none.alias("b")).unionByName(
+        right.select(*keys, none.alias("a"), F.col("rows").alias("b"))
+    )
+    counted = both.filter((F.col("a") > rows_per_split) | (F.col("b") > rows_per_split)).groupBy(*keys)
+    return counted.agg(
+        _splits(F.sum("a"), rows_per_split).alias("_left_n"), _splits(F.sum("b"), rows_per_split).alias("_right_n")
+    )
 
 
 def _equal(keys: list[str], prefix: str, null_safe: bool) -> Column:
@@ -50,29 +71,22 @@ def _prefixed(keys: list[str], prefix: str) -> list[Column]:
     return [F.col(key).alias(prefix + key) for key in keys]
 
 
-def _measured(marks: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """The hot keys, written once, and 0 if they can be broadcast, else the largest number of splits."""
-    stored = materialise(marks, "hot-keys")
-    if fits_broadcast(stored, max_rows):
-        return stored, 0
-    return stored, stored.agg(F.coalesce(F.max("splits"), F.lit(1))).first()[0]
-
-
-def _with_splits(df: DataFrame, keys: list[str], marks: DataFrame, widest: int, name: str) -> DataFrame:
-    """``df`` with the splits of its key in column ``name``, NULL for keys that are not hot.
+def _with_splits(df: DataFrame, keys: list[str], marks: DataFrame, widest: int) -> DataFrame:
+    """``df`` with ``_left_n`` and ``_right_n`` of its key, NULL for keys that are not hot.
 
     A list beyond the broadcast bound is joined by shuffle. Every key is then
     spread over ``widest`` salts, with the list copied to each of them, so that
     finding the hot keys does not itself gather one of them in a task.
     """
-    listed = marks.select(*_prefixed(keys, "_hot_"), F.col("splits").alias(name))
+    listed = marks.select(*_prefixed(keys, "_hot_"), "_left_n", "_right_n")
     same = _equal(keys, "_hot_", True)
     if not widest:
-        return df.join(F.broadcast(listed), same, "left").select(*df.columns, name)
+        return df.join(F.broadcast(listed), same, "left").select(*df.columns, "_left_n", "_right_n")
     salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(widest)).cast("int")
     copied = listed.withColumn("_hot_salt", F.explode(F.sequence(F.lit(0), F.lit(widest - 1))))
     salted = df.withColumn("_salt", salt)
-    return salted.join(copied, same & (F.col("_salt") == F.col("_hot_salt")), "left").select(*df.columns, name)
+    matched = salted.join(copied, same & (F.col("_salt") == F.col("_hot_salt")), "left")
+    return matched.select(*df.columns, "_left_n", "_right_n")
 
 
 def salted_join(
@@ -83,13 +97,18 @@ def salted_join(
     null_safe: bool = False,
     rows_per_split: int = ROWS_PER_SPLIT,
     max_marks: int = BROADCAST_ROWS,
+    left_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left join on same-named ``keys`` that splits hot keys over several tasks.
 
     A hot key of one side has its rows spread over salts and the other side's
     rows copied once per salt. Keys that are not hot get salt 0 and one copy.
     In a left join, a left row whose key is hot on the right surely matches, so
-    its copies that met no row in their salt are dropped.
+    its copies that met no row in their salt are dropped. Without any hot key,
+    it is a plain join.
+
+    ``left_counts`` are the ``key_counts`` of the left side where the caller has
+    them from a pass of its own; else they are counted here.
 
     The salt hashes the row together with its partition number: a task that is
     run again gives every row the same salt whatever order its input arrives
@@ -101,15 +120,17 @@ def salted_join(
     payload = [name for name in right.columns if name not in keys]
     # NULL keys match nothing in a plain join: right rows with one need no split.
     matching = right if null_safe else right.dropna("any", subset=keys)
-    marks = {
-        "_left_n": _measured(hot_keys(left, keys, rows_per_split), max_marks),
-        "_right_n": _measured(hot_keys(matching, keys, rows_per_split), max_marks),
-    }
+    counts = key_counts(left, keys) if left_counts is None else left_counts
+    marks = materialise(hot_key_pairs(counts, key_counts(matching, keys), keys, rows_per_split), "hot-keys")
+    hot = marks.agg(F.count("*").alias("rows"), F.max(F.greatest("_left_n", "_right_n")).alias("widest")).first()
+    if not hot["rows"]:
+        named = right.select(*_prefixed(keys, "_right_"), *payload)
+        return left.join(named, _equal(keys, "_right_", null_safe), how).select(*left.columns, *payload)
+    # The rows of this list are short: keys and two numbers.
+    widest = 0 if hot["rows"] <= max_marks and fits_broadcast(marks, max_marks) else hot["widest"]
 
     def tagged(df: DataFrame) -> DataFrame:
-        for name, (frame, widest) in marks.items():
-            df = _with_splits(df, keys, frame, widest, name)
-        return df
+        return _with_splits(df, keys, marks, widest)
 
     def one_of(splits: str, columns: list[str]) -> Column:
         row_hash = F.xxhash64(*columns, F.spark_partition_id())
@@ -156,8 +177,9 @@ def dimension_join(
     null_safe: bool = False,
     max_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
+    fact_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join a fact to a dimension: broadcast if the measured size allows it, else a salted shuffle."""
     if fits_broadcast(dimension, max_rows):
         return lookup_join(fact, dimension, keys, how, null_safe)
-    return salted_join(fact, dimension, keys, how, null_safe, rows_per_split)
+    return salted_join(fact, dimension, keys, how, null_safe, rows_per_split, left_counts=fact_counts)

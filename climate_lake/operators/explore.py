@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climate_lake.functions.column_quantiles import column_quantiles
 from climate_lake.functions.quantiles import exact_quantiles
 
 NUMERIC = [
@@ -53,8 +54,7 @@ def describe(weather: DataFrame) -> DataFrame:
             for name in present
         ]
     ).select(F.inline(F.array(*present)))
-    long = numbers.unpivot([], present, "column_name", "value")
-    spread = exact_quantiles(long, ["column_name"], "value", {0.0: "min", **QUARTILES, 1.0: "max"})
+    spread = column_quantiles(numbers, present, {0.0: "min", **QUARTILES, 1.0: "max"})
     return basics.join(spread, "column_name", "left")
 
 

@@ -13,6 +13,7 @@ from climate_lake.functions.joins import (
     ROWS_PER_SPLIT,
     dimension_join,
     fits_broadcast,
+    key_counts,
     lookup_join,
     salted_join,
 )
@@ -98,12 +99,15 @@ def integrate_stations(
 
     Stations are matched to the distinct locations, a narrow scan that mostly
     collapses before its shuffle; it is written out because both legs of the
-    match read it. So are the matches, whose size is then known: usually they
-    are broadcast and the observations are not shuffled, too many of them are
+    match read it. The same scan counts the observations of each location, from
+    which a shuffled join knows the hot ones without another pass. The matches
+    are written out, too, so that their size is known: usually they are
+    broadcast and the observations are not shuffled, too many of them are
     joined by a salted shuffle.
     """
     if stations is None:
         return without_stations(observations)
-    locations = materialise(observations.select(*LOCATION).distinct(), "locations")
-    matches = materialise(station_matches(locations, stations, broadcast_rows, rows_per_split), "station-matches")
-    return dimension_join(observations, matches, LOCATION, "left", True, broadcast_rows, rows_per_split)
+    locations = materialise(key_counts(observations, LOCATION), "locations")
+    places = locations.select(*LOCATION)
+    matches = materialise(station_matches(places, stations, broadcast_rows, rows_per_split), "station-matches")
+    return dimension_join(observations, matches, LOCATION, "left", True, broadcast_rows, rows_per_split, locations)
