@@ -1,10 +1,15 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries (words) and patterns (beginnings of words) that are much more frequent in documents marked
-toxic; the annotators' mark is one voter more. A generative label model, fitted by expectation maximisation over the
-voters' votes, estimates how often each voter fires on either class, and how votes are correlated within a class: voters
-that fire together share their evidence. Its posterior labels train a linear classifier on words and beginnings of words,
-which scores every text. Only labelled rows of the training part are ever used to fit.
+toxic. A generative label model estimates how often each voter fires on either class, with the annotators' marks as a
+guide to the classes, and how votes are correlated within a class: voters that fire together share their evidence. Its
+posterior comes from the votes alone; against it, the marks' own accuracy is estimated, and they join as one annotator
+more, with the weight of that accuracy. So a mark that all voters contradict is overruled. The posterior labels train a
+linear classifier on words and beginnings of words, which scores every text. Only labelled rows of the training part are
+ever used to fit.
+
+The fit is bounded by ``MAX_FIT_DOCS`` labelled rows. In these, every word and beginning that occurs in ``MIN_DOCS`` toxic
+documents is judged by its gain; only then the ``MAX_FEATURES`` best are kept, and the ``MAX_VOTERS`` of widest reach vote.
 """
 
 from __future__ import annotations
@@ -26,10 +31,10 @@ THRESHOLD = 0.3
 # Bounds of the fit: labelled training documents used at most (chosen by hash), features, and voters.
 MAX_FIT_DOCS = 40_000
 MAX_FEATURES = 20_000
-MAX_VOTERS = 150
+MAX_VOTERS = 300
 # Lengths of beginnings; a pattern is written with a star.
 BEGINNINGS = (4, 5, 6)
-MIN_DOCS = 5
+MIN_DOCS = 4
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -92,6 +97,8 @@ class Model:
     voters: list[str] = field(default_factory=list)
     accuracies: np.ndarray | None = None
     known: frozenset[str] = frozenset()
+    # Fitted rows whose label differs from their mark.
+    overruled: int = 0
 
     def __post_init__(self):
         self.known = frozenset(one.rstrip("*")[:4] for one in self.weights)
@@ -131,6 +138,15 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30, min_corr
     return posterior, rates
 
 
+def with_marks(posterior: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """The voters' ``posterior`` with the marks as one annotator more, whose accuracy is estimated against it."""
+    rates = [(mass @ marked + 1) / (mass.sum() + 2) for mass in (1 - posterior, posterior)]
+    on, off = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
+    safe = np.clip(posterior, 1e-12, 1 - 1e-12)
+    logit = np.log(safe / (1 - safe)) + np.where(marked > 0, on, off)
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
 def linear_fit(rows: list[np.ndarray], target: np.ndarray, n_features: int, rounds: int = 300, penalty: float = 1e-4):
     """Bias and weights of a logistic regression on 0/1 features with soft labels, by gradient steps (Adam)."""
     where = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
@@ -165,7 +181,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     # Features of the few toxic documents first; only those are looked for in the others.
     counted = map_batches(fit.filter("toxic = 1"), _count_features, "feature string, toxic int, n long", only=None)
     toxic = counted.groupBy("feature").agg(F.sum("n").alias("n1")).filter(F.col("n1") >= MIN_DOCS)
-    in_toxic = {row["feature"]: row["n1"] for row in toxic.orderBy(F.desc("n1"), "feature").limit(3 * MAX_FEATURES).collect()}
+    in_toxic = {row["feature"]: row["n1"] for row in toxic.collect()}
     counted = map_batches(
         fit.filter("toxic != 1"), _count_features, "feature string, toxic int, n long", only=frozenset(in_toxic)
     )
@@ -175,8 +191,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     k0 = np.array([in_clean.get(x, 0) for x in names], float)
     gain = np.log((k1 + 0.5) / (n1 + 1)) - np.log((k0 + 0.5) / (n0 + 1))
     noise = np.sqrt(1 / (k1 + 0.5) + 1 / (k0 + 0.5))
-    order = np.lexsort((names.astype(str), -(gain - 2 * noise)))
-    order = order[(gain - 2 * noise)[order] > 0.3][:MAX_FEATURES]
+    order = np.lexsort((names.astype(str), -(gain - noise)))
+    order = order[(gain - noise)[order] > 0.3][:MAX_FEATURES]
     if not len(order):
         return Model(bias=float(np.log(n1 / n0)))
     names, gain, k1 = names[order], gain[order], k1[order]
@@ -193,15 +209,15 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     voters = strong[np.argsort(-k1[strong], kind="stable")][:MAX_VOTERS]
     column = np.full(len(names), -1)
     column[voters] = np.arange(len(voters))
-    votes = np.zeros((len(rows), len(voters) + 1), np.float32)
+    votes = np.zeros((len(rows), len(voters)), np.float32)
     for i, own in enumerate(rows):
         hit = column[own]
         votes[i, hit[hit >= 0]] = 1
-    votes[:, -1] = marked
-    posterior, rates = label_model(votes, 0.02 + 0.96 * marked)
+    posterior, rates = label_model(votes, 0.02 + 0.96 * marked, rounds=1)
+    posterior = with_marks(posterior, marked)
     bias, weights = linear_fit(rows, posterior, len(names))
     kept = {name: float(w) for name, w in zip(names.tolist(), weights) if abs(w) > 1e-4}
-    return Model(bias, kept, [*names[voters].tolist(), "(mark)"], rates)
+    return Model(bias, kept, names[voters].tolist(), rates, overruled=int(((posterior > 0.5) != (marked > 0)).sum()))
 
 
 def _scores(batches, model: Model) -> Iterator[pa.RecordBatch]:

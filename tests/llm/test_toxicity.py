@@ -65,6 +65,42 @@ def test_label_model_finds_accuracies_and_discounts_copies():
     assert np.mean((again > 0.5) == truth) > np.mean((posterior > 0.5) == truth) - 0.03
 
 
+def test_marks_that_all_voters_contradict_are_overruled(spark, documents):
+    rows, labels = made(4000)
+    rng = random.Random(5)
+    turned = {k for k, label in labels if rng.random() < 0.05}
+    wrong = [(k, 1 - label if k in turned else label) for k, label in labels]
+    frame = spark.createDataFrame(wrong, "doc_id long, toxic int")
+    model = toxicity.train(documents(*rows), frame)
+    assert model.overruled > 20
+    found = {row["doc_id"]: row["predicted"] for row in toxicity.score_documents(documents(*rows), model).collect()}
+    out = [k for k, _ in labels if zlib.crc32(str(k).encode()) % 4 == 2]
+    assert np.mean([found[k] == dict(labels)[k] for k in out]) > 0.97
+
+
+def test_one_mark_does_not_decide_alone():
+    rng = np.random.default_rng(1)
+    truth = rng.random(5000) < 0.2
+    votes = (rng.random((5000, 6)) < np.where(truth[:, None], 0.7, 0.03)).astype(np.float32)
+    marked = np.where(rng.random(5000) < 0.1, ~truth, truth).astype(float)
+    plain, _ = toxicity.label_model(votes, 0.02 + 0.96 * marked, rounds=1)
+    joined = toxicity.with_marks(plain, marked)
+    assert np.mean((joined > 0.5) == truth) > 0.97 > np.mean(marked == truth)
+    silent = (votes.sum(axis=1) == 0) & (marked == 1)
+    assert silent.any() and (joined[silent] < 0.5).all()
+
+
+def test_recall_on_held_out_rows(spark):
+    """0.9 of the toxic documents, and nearly no clean one."""
+    folder = "/root/testdata/sf0.1"
+    documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train(documents, labels)
+    scored = toxicity.score_documents(documents, model).filter("held_out").join(labels, "doc_id").filter("toxic is not null")
+    counts = {(row["toxic"], row["predicted"]): row["count"] for row in scored.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] >= 0.9 * (counts[1, 1] + counts[1, 0])
+    assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0]
+
+
 def test_table(spark, sf_dir, sample):
     _, rows = sample
     found = op10_toxicity(spark, sf_dir).collect()
