@@ -5,13 +5,11 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from climate_lake.plans import incremental, pipeline, report
 from climate_lake.session import get_session, settings_for
 from climate_lake.sinks import catalog
 from climate_lake.sinks.tables import expire_versions
-from climate_lake.sources.files import list_files
+from climate_lake.sources.files import stored_bytes
 from climate_lake.sources.tables import LakePaths
 
 JOBS = ["etl", "analytics", "climatology", "all", "incremental", "expire", "catalog", "report"]
@@ -34,8 +32,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = get_session(f"climate_lake {options.job}")
     size = options.input_bytes
     if size is None:
-        files = list_files(spark, lake.raw, lake.zone("trusted"))
-        size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        size = stored_bytes(spark, lake.raw, lake.zone("trusted"))
     for key, value in settings_for(size).items():
         spark.conf.set(key, value)
     if options.job == "etl":

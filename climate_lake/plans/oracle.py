@@ -311,6 +311,24 @@ from ({NEWEST}) window w as (partition by city_name order by date)
 """
 
 
+def _model_features() -> str:
+    """Inputs of the model rows, absent ones as 0 beside an indicator, over their deviation in the training rows."""
+    inputs = ["temp_lag1", "temp_lag2", "precipitation", "humidity", "wind_speed", "elevation", "day_of_year", "season"]
+    rows = MODEL_ROWS.replace(
+        "cast(dayofyear", "precipitation, humidity, wind_speed, cast(null as bigint) as elevation, cast(dayofyear", 1
+    )
+    filled = ", ".join(f"coalesce(cast({x} as double), 0) as {x}, cast({x} is null as double) as {x}_absent" for x in inputs)
+    places = [*inputs, *[f"{x}_absent" for x in inputs]]
+    deviations = ", ".join(f"stddev_samp({x}) as d_{x}" for x in places)
+    scaled = ", ".join(f"round(case when d_{x} > 0 then {x} / d_{x} else 0 end, 6) as scaled_{x}" for x in places)
+    return _sql(
+        WEATHER,
+        f", filled as (select city_name, date, training, {filled} from ({rows}) where temp_avg is not null), "
+        f"deviations as (select {deviations} from filled where training) "
+        f"select city_name, date, {scaled} from filled, deviations",
+    )
+
+
 def _inventory() -> dict[str, str]:
     """The queries over the file inventory."""
     parts = (
@@ -769,6 +787,7 @@ def oracle_sql() -> dict[str, str]:
         "many_hot_keys": "select l_partkey as part, count(*) as items, cast(sum(p_size) as bigint) as sizes "
         "from lineitem left join part on l_partkey = p_partkey group by l_partkey",
         "model_rows": _sql(WEATHER, f"select * from ({MODEL_ROWS})"),
+        "model_features": _model_features(),
         "persistence_rmse": _sql(
             WEATHER,
             'select count(*) as "rows", count(temp_avg - temp_lag1) as rows_used, '

@@ -357,12 +357,19 @@ def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_table(spark, lake, "annual_weather_summary"))
 
 
-_finished: dict[tuple[str, str], LakePaths] = {}
+_finished: dict[tuple, LakePaths] = {}
+
+
+def input_files(spark: SparkSession, sf: str) -> tuple:
+    """Path, time and size of the files that a lake's inputs are drawn from."""
+    paths = [f"{sf}/{name}.parquet" for name in ("lineitem", "nation", "events", "part")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+    return tuple(sorted(map(tuple, files.collect())))
 
 
 def finished_lake(spark: SparkSession, sf: str) -> LakePaths:
-    """A lake after all jobs, built once per application and input: the queries below read a table each."""
-    key = (spark.sparkContext.applicationId, sf)
+    """A lake after all jobs, built once per application and state of the input: the queries below read a table each."""
+    key = (spark.sparkContext.applicationId, sf, input_files(spark, sf))
     if key not in _finished:
         lake = landed_lake(spark, sf)
         pipeline.run(spark, lake, EVALUATED_AT)
@@ -496,11 +503,25 @@ def forest_rmse(spark: SparkSession, sf: str) -> DataFrame:
     errors = []
     for target in (model.TEMPERATURE, model.PRECIPITATION):
         counts = rows.agg(F.count("*").alias("all"), F.count(target.label).alias("used")).first()
-        error = model.evaluate(model.train(training, target), test, target)
-        errors.append((target.name, counts["all"], counts["used"], error))
+        stored = materialise(model.predicted(model.train(training, target), test, target), "predictions")
+        error = model.prediction_errors(stored).first()
+        errors.append((target.name, counts["all"], counts["used"], error["rmse"] if error else None))
     return spark.createDataFrame(errors, "model string, rows bigint, rows_used bigint, rmse double")
 
 
+def forest_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of the temperature model by city and month, from its stored predictions for the last days."""
+    training, test = model.split(materialise(model.model_rows(integrated(spark, sf)), "model-rows"))
+    stored = materialise(model.predicted(model.train(training), test), "predictions")
+    return rounded(model.prediction_errors(stored, "model", "city_name", "month"))
+
+
+def model_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The scaled feature vectors of the temperature model, of which elevations are unknown here."""
+    rows = materialise(model.model_rows(without_stations(weather(spark, sf))), "model-rows")
+    return rounded(model.scaled_features(model.split(rows)[0], rows))
+
+
 def queries() -> dict[str, Query]:
     return {
         # raw to trusted
@@ -644,5 +665,7 @@ def queries() -> dict[str, Query]:
         ),
         "model_rows": split_model_rows,
         "persistence_rmse": persistence_rmse,
+        "model_features": model_features,
         "rf_rmse": forest_rmse,
+        "rf_errors": forest_errors,
     }

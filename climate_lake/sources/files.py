@@ -17,6 +17,20 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
+def stored_bytes(spark: SparkSession, *folders: str) -> int:
+    """Bytes below the folders, summed up by the tasks of a scan that reads no contents; absent folders have none."""
+    total = 0
+    for folder in folders:
+        try:
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        total += found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return total
+
+
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     """Path and length of every file below the folders; contents are not read, absent folders are empty.
 

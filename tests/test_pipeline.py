@@ -12,6 +12,7 @@ from climate_lake.__main__ import main
 from climate_lake.operators import model, quality
 from climate_lake.plans import pipeline, report
 from climate_lake.schemas import TABLES
+from climate_lake.session import materialise
 from climate_lake.sinks import catalog
 from climate_lake.sources.files import list_files
 from climate_lake.sources.raw import read_documents
@@ -263,3 +264,24 @@ def test_model_learns(spark):
     assert model.evaluate(model.train(training), test) < 1.5
     rain = model.train(training, model.PRECIPITATION)
     assert model.evaluate(rain, test, model.PRECIPITATION) == 0
+
+
+def test_errors_equal_sql_over_the_stored_predictions(spark, duck):
+    rows = spark.sql(
+        "select concat('C', id % 3) as city_name, date_add(date'2020-01-01', cast(id div 3 as int)) as date, "
+        "20 + 5 * sin((id div 3) / 30.0) + rand(3) as temp_avg, 0d as precipitation, 50d as humidity, 10d as wind_speed, "
+        "100 as elevation, 't' as ingestion_timestamp from range(1500)"
+    ).selectExpr("*", "month(date) as month")
+    training, test = model.split(model.model_rows(rows))
+    stored = materialise(model.predicted(model.train(training), test), "tested")
+    files = stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    expected = duck.sql(
+        "select city_name, month, count(*), avg(prediction - measured), sqrt(avg((prediction - measured) ** 2)) "
+        f"from read_parquet('{files}/*.parquet') group by all order by all"
+    ).fetchall()
+    got = sorted(tuple(row) for row in model.prediction_errors(stored, "city_name", "month").collect())
+    assert len(got) == len(expected) > 3
+    for one, other in zip(got, expected):
+        assert one[:3] == other[:3] and one[3:] == pytest.approx(other[3:])
+    whole = model.prediction_errors(stored).first()
+    assert whole.rmse == pytest.approx(model.evaluate(model.train(training), test))

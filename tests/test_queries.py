@@ -47,3 +47,12 @@ def test_scan_reads_only_needed_columns(spark, sf_dir, plan):
     text = plan(QUERIES["city_count"](spark, sf_dir))
     assert "l_extendedprice" not in text
     assert "l_discount" not in text.split("ReadSchema")[1].splitlines()[0]
+
+
+def test_a_rewritten_input_is_another_lake(spark, tmp_path):
+    for name in ("lineitem", "nation", "events", "part"):
+        spark.range(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = plan_queries.input_files(spark, str(tmp_path))
+    assert before == plan_queries.input_files(spark, str(tmp_path)) and len(before) >= 4
+    spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert before != plan_queries.input_files(spark, str(tmp_path))

@@ -13,7 +13,7 @@ from climate_lake.operators.flatten import EXPORT_COLUMNS
 from climate_lake.schemas import RAW_DOCUMENT, RAW_EVENTS, RAW_STATIONS
 from climate_lake.sinks.tables import land_documents, land_table, write_table, write_table_if_any
 from climate_lake.sources import relational
-from climate_lake.sources.files import list_files
+from climate_lake.sources.files import list_files, stored_bytes
 from climate_lake.sources.raw import read_documents, read_snapshots
 from climate_lake.sources.sample import sample_observations
 from climate_lake.sources.tables import empty_table, first_non_empty, read_table, read_table_if_present, read_weather
@@ -164,6 +164,7 @@ def test_list_files(spark, tmp_path):
     files = list_files(spark, *[str(tmp_path / name) for name in ("a", "empty", "absent")])
     got = {row.path.rsplit("/", 1)[-1]: row.length for row in files.collect()}
     assert got == {"one.json": 5, "two.json": 0, "three.json": 0}
+    assert stored_bytes(spark, *[str(tmp_path / name) for name in ("a", "empty", "absent")]) == 5
     put(tmp_path / "odd", "a b+c%d é.json", "")
     put(tmp_path / "odd", "e f.json", "12")
     odd = {row.path.rsplit("/", 1)[-1]: row.length for row in list_files(spark, str(tmp_path / "odd")).collect()}
