@@ -143,8 +143,25 @@ def pack_documents(documents: DataFrame, tokenizer: str, **options) -> DataFrame
     return packed.withColumn("ids_crc32", F.crc32("ids")) if "ids" in packed.columns else packed
 
 
+def _narrow(ids: bytes) -> bytes:
+    """The ids in 16 bits each, if all of them fit."""
+    wide = np.frombuffer(ids, "<u4")
+    return wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else ids
+
+
+def _widened(batches, capacity: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``_pack`` of pieces with narrow ids, which become wide again."""
+    for batch in _pack((part for whole in batches for part in small_batches([whole], "ids", 8 << 20)), capacity, most):
+        lengths, narrow = batch.column("length").to_pylist(), batch.column("ids").to_pylist()
+        ids = [
+            np.frombuffer(one, "<u2").astype("<u4").tobytes() if len(one) == 2 * n else one for n, one in zip(lengths, narrow)
+        ]
+        place = batch.schema.get_field_index("ids")
+        yield batch.set_column(place, "ids", pa.array(ids, pa.binary()))
+
+
 def _sourced_pieces(batches, path: str, capacity: int, separator: int) -> Iterator[pa.RecordBatch]:
-    """Pieces with a number ``doc`` of their own for each document row, and its source."""
+    """Pieces with a number ``doc`` of their own for each document row, and its source; ids as ``_narrow`` has them."""
     sources, done = deque(), TaskContext.get().partitionId() << 40
 
     def noted() -> Iterator[pa.RecordBatch]:
@@ -161,7 +178,12 @@ def _sourced_pieces(batches, path: str, capacity: int, separator: int) -> Iterat
             docs.append(done)
             own.append(source)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(docs, pa.int64()), pa.array(own, pa.string())],
+            [
+                *batch.columns[:-1],
+                pa.array([_narrow(one) for one in batch.column("ids").to_pylist()], pa.binary()),
+                pa.array(docs, pa.int64()),
+                pa.array(own, pa.string()),
+            ],
             names=[*batch.schema.names, "doc", "source"],
         )
 
@@ -179,7 +201,8 @@ def pack_mixed(
 
     ``mixing.mix`` with the given ``options`` places the document rows; packing tasks take successive ranges of slots, and
     pieces come in the order of slot, rank and place in the document, however the documents lie in files. Sequences are
-    numbered in the order of the tasks. Ids are shuffled once, to the place of their sequence; texts are not.
+    numbered in the order of the tasks. Ids are shuffled to the place of their sequence, 16 bits each where they fit; texts
+    are not.
     """
     rows = documents.select("doc_id", "text", F.col("source").cast("string").alias("source"))
     schema = PIECES + ", doc long, source string"
@@ -191,5 +214,5 @@ def pack_mixed(
     tasks = max(1, -(-tokens // task_tokens))
     placed = pieces.join(places, F.col("doc") == F.col("of")).select(*[x.split()[0] for x in PIECES.split(", ")], "slot", "rank")
     ordered = placed.repartitionByRange(tasks, "slot", "rank").sortWithinPartitions("slot", "rank", "piece").drop("slot", "rank")
-    packed = map_batches(ordered, _pack, PIECES + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
+    packed = map_batches(ordered, _widened, PIECES + ", sequence_id long, offset long", capacity=capacity, most=open_bins)
     return packed.withColumn("ids_crc32", F.crc32("ids"))

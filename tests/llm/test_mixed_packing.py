@@ -60,3 +60,11 @@ def test_ranges_of_slots_make_successive_tasks(documents):
             tasks.setdefault(row["sequence_id"] >> 40, []).append(slot[row["doc_id"]])
     spans = [(min(own), max(own)) for _, own in sorted(tasks.items())]
     assert len(spans) > 2 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_odd_rows(odd_documents, empty_documents):
+    frame, rows = odd_documents
+    found = packing.pack_mixed(frame, tokenizer()).collect()
+    test_tokens.check_packing(found, rows)
+    assert "ids" in found[0]
+    assert packing.pack_mixed(empty_documents, tokenizer()).count() == 0
