@@ -103,7 +103,8 @@ def cut_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, s
 
 def _pack(batches, capacity: int, most: int) -> Iterator[pa.RecordBatch]:
     bins, first = OpenBins(capacity, most), TaskContext.get().partitionId() << 40
-    for batch in batches:
+    largest = lambda whole: "ids" if "ids" in whole.schema.names else "length"
+    for batch in (part for whole in batches for part in small_batches([whole], largest(whole), 8 << 20)):
         placed = [bins.place(length) for length in batch.column("length").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -151,7 +152,7 @@ def _narrow(ids: bytes) -> bytes:
 
 def _widened(batches, capacity: int, most: int) -> Iterator[pa.RecordBatch]:
     """``_pack`` of pieces with narrow ids, which become wide again."""
-    for batch in _pack((part for whole in batches for part in small_batches([whole], "ids", 8 << 20)), capacity, most):
+    for batch in _pack(batches, capacity, most):
         lengths, narrow = batch.column("length").to_pylist(), batch.column("ids").to_pylist()
         ids = [
             np.frombuffer(one, "<u2").astype("<u4").tobytes() if len(one) == 2 * n else one for n, one in zip(lengths, narrow)
