@@ -90,3 +90,14 @@ def test_fits_broadcast_measures_rows_and_bytes(spark):
 def test_only_inner_and_left(hot_pair):
     with pytest.raises(ValueError):
         joins.salted_join(*hot_pair, ["key"], "full")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_copies_of_many_hot_keys_are_not_broadcast(spark, plan, tmp_path, how):
+    """The files of both sides are small, the copies made of them are not."""
+    spark.range(20_000).select((F.col("id") % 4000).alias("key"), "id").write.parquet(str(tmp_path / "left"))
+    spark.range(4000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("size")).write.parquet(str(tmp_path / "right"))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
+    joined = joins.salted_join(left, right, ["key"], how, rows_per_split=1, max_marks=10)
+    assert "Broadcast" not in plan(joined)
+    assert (joined.count(), joined.agg(F.sum("size")).first()[0]) == (20_000, 5 * 3999 * 4000)
