@@ -18,6 +18,8 @@ SNAPSHOT_SCHEMAS = {
     "weather_thresholds": RAW_THRESHOLDS,
 }
 SNAPSHOT = "_snapshot"
+# Endings of raw files, as they are or compressed: for a file filter, and for a regular expression.
+JSON, JSON_END = ".json{,.gz}", r"\.json(\.gz)?$"
 
 # Columns that say which file a document is from.
 FILE = ("_file", "_length", "_modified")
@@ -28,7 +30,7 @@ MOST_NAMED = 50_000
 def _read_json(spark: SparkSession, path: str, schema: StructType, name: str) -> DataFrame:
     """Rows of all ``name*.json`` (one document or array each) and ``part-*.json`` (JSON lines) below ``path``.
 
-    An absent path is an empty table; any other failure is raised.
+    Files that end in ``.json.gz`` are read alike. An absent path is an empty table; any other failure is raised.
     """
     def read(pattern: str, whole_file: bool) -> DataFrame:
         return (
@@ -41,7 +43,7 @@ def _read_json(spark: SparkSession, path: str, schema: StructType, name: str) ->
         )
 
     try:
-        return read(f"{name}*.json", True).unionByName(read("part-*.json", False))
+        return read(f"{name}*{JSON}", True).unionByName(read(f"part-*{JSON}", False))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -61,7 +63,7 @@ def list_documents(spark: SparkSession, raw: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "_file string, _length bigint, _modified timestamp")
-    wanted = F.regexp_extract("path", r"([^/]*)$", 1).rlike(r"^(weather_data|part-).*\.json$")
+    wanted = F.regexp_extract("path", r"([^/]*)$", 1).rlike(rf"^(weather_data|part-).*{JSON_END}")
     return files.filter(wanted).select(
         F.col("path").alias("_file"), F.col("length").alias("_length"), F.col("modificationTime").alias("_modified")
     )
@@ -79,7 +81,7 @@ def read_document_files(spark: SparkSession, raw: str, files: DataFrame | None =
             F.col("_metadata.file_modification_time").alias("_modified"),
         )
 
-    kinds = {"weather_data*.json": True, "part-*.json": False}
+    kinds = {f"weather_data*{JSON}": True, f"part-*{JSON}": False}
     named = None if files is None else files.select("_file").distinct()
     names = [] if named is None else [row["_file"] for row in named.limit(MOST_NAMED + 1).collect()]
     if named is None or len(names) > MOST_NAMED:
@@ -114,7 +116,7 @@ def read_snapshots(spark: SparkSession, raw: str, table: str, latest: bool = Fal
 def newest_folder(files: DataFrame, name: str) -> str | None:
     """Folder of the newest snapshot file with content, from a listing: no other folder need be read."""
     base = F.regexp_extract("path", r"([^/]*)$", 1)
-    found = files.filter((F.col("length") > 0) & base.rlike(rf"^({name}|part-).*\.json$"))
+    found = files.filter((F.col("length") > 0) & base.rlike(rf"^({name}|part-).*{JSON_END}"))
     newest = found.agg(F.max_by("path", _taken(F.col("path"))).alias("path")).first()["path"]
     return newest and newest.rsplit("/", 1)[0]
 
@@ -123,7 +125,7 @@ def _taken(path: Column) -> Column:
     """Time of a snapshot as text that sorts, from the folder and file names."""
     day = F.regexp_extract(path, r"/(\d{4}/\d{2}/\d{2})/", 1)
     hour = F.regexp_extract(path, r"/\d{4}/\d{2}/\d{2}/(\d{2})/", 1)
-    second = F.regexp_extract(path, r"_data_(\d{6})\.json$", 1)
+    second = F.regexp_extract(path, rf"_data_(\d{{6}}){JSON_END}", 1)
     return F.concat(day, F.lit("/"), F.when(second != "", second).otherwise(F.rpad(hour, 6, "0")))
 
 

@@ -4,11 +4,13 @@ from collections import Counter
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from climate_lake.operators.cleaning import clean_observations
 from climate_lake.session import materialise, settings_for, work_path
-from climate_lake.sinks.tables import land_documents, write_csv, write_table
+from climate_lake.sinks.tables import land_documents, land_table, write_csv, write_json, write_table
 from climate_lake.sources.files import list_files
+from climate_lake.sources.raw import FILE, list_documents, read_document_files, read_documents, read_snapshots
 from climate_lake.sources.tables import read_table
 
 
@@ -90,3 +92,28 @@ def test_second_landing_in_an_hour_keeps_the_first(spark, tmp_path):
     path = land_documents(fetch("b", elevation=2.0), raw, as_of)
     found = spark.read.json(path).select("city", "elevation").collect()
     assert sorted(map(tuple, found)) == [("a", 1.0), ("b", 2.0), ("c", 1.0)]
+
+
+def test_json_is_written_compressed_and_read_back(spark, tmp_path, rows):
+    """Field names that repeat in every row are not written out: landed documents, snapshots and exports."""
+    raw, as_of = str(tmp_path / "raw"), datetime(2025, 6, 1, 5)
+    documents = spark.range(20_000).selectExpr(
+        "named_struct('name', concat('c', id % 3), 'lat', 1.5D, 'lon', 2.5D) as city_info",
+        "named_struct('time', array('2025-06-01'), 'temperature_2m_max', array(double(id))) as daily",
+        "cast(id as string) as ingestion_timestamp", "cast(null as string) as data_source",
+    )
+    land_documents(documents, raw, as_of)
+    land_table(spark.range(20_000).select(F.col("id").alias("event_id")), raw, "climate_events", as_of)
+    write_json(documents, str(tmp_path / "export"))
+    plain = sum(len(row.line) + 1 for row in documents.select(F.to_json(F.struct("*")).alias("line")).collect())
+    for folder in ("raw/weather-api", "export"):
+        files = [path for path in (tmp_path / folder).rglob("part-*") if path.is_file()]
+        assert sum(path.stat().st_size for path in files) < plain / 5
+    wanted = sorted((f"c{k % 3}", float(k), str(k)) for k in range(20_000))
+    fields = ["city_info.name", F.element_at("daily.temperature_2m_max", 1), "ingestion_timestamp"]
+    assert sorted(map(tuple, read_documents(spark, raw).select(*fields).collect())) == wanted
+    listed = list_documents(spark, raw)
+    assert sorted(map(tuple, read_document_files(spark, raw, listed).select(*fields).collect())) == wanted
+    assert rows(read_document_files(spark, raw).select(*FILE).distinct()) == rows(listed.select(*FILE)) != []
+    for latest in (False, True):
+        assert read_snapshots(spark, raw, "climate_events", latest).agg(F.sum("event_id")).first()[0] == sum(range(20_000))
