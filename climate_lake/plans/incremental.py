@@ -10,7 +10,7 @@ nothing new writes nothing.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from climate_lake.functions.columns import ExtremeLimits
@@ -20,7 +20,6 @@ from climate_lake.operators.integrate import integrate_stations
 from climate_lake.schemas import TABLES
 from climate_lake.session import materialise
 from climate_lake.sinks.tables import (
-    count_parts,
     new_folder,
     only_parts,
     refresh_partitions,
@@ -69,6 +68,20 @@ def _observations(spark: SparkSession, paths: LakePaths, files: DataFrame | None
     return materialise(rows, "observations")
 
 
+def _part() -> Column:
+    return F.concat(F.lit("year="), "year", F.lit("/month="), "month")
+
+
+def _file_months(found: DataFrame) -> DataFrame:
+    """``rows`` of each file and month: read once, both the partitions' counts and the files' partitions follow from it."""
+    return materialise(found.groupBy(*FILE, "year", "month").agg(F.count("*").alias("rows")), "file-months")
+
+
+def _rows_by_part(counted: DataFrame) -> dict[str, int]:
+    found = counted.groupBy(_part().alias("part")).agg(F.sum("rows").alias("rows"))
+    return {row["part"]: row["rows"] for row in found.collect()}
+
+
 def refresh_weather(spark: SparkSession, paths: LakePaths, latest: bool = False) -> DataFrame:
     """Bring ``weather_data`` up to the raw files; one row of counts, of files and rows.
 
@@ -79,8 +92,9 @@ def refresh_weather(spark: SparkSession, paths: LakePaths, latest: bool = False)
         files = materialise(listed, "files")
         count = files.count()
         found = _observations(spark, paths, None if count else files)
-        per_part = count_parts(found, WEATHER)
-        _note(spark, paths, folder, files, found, None)
+        counted = _file_months(found)
+        per_part = _rows_by_part(counted)
+        _note(spark, paths, folder, files, counted, None)
         rows = found.drop(*FILE)
         write_table(cleaning.latest_only(rows) if latest else rows, paths, WEATHER, folder=folder)
         return _report(spark, count, count, 0, 0, sum(per_part.values()), len(per_part))
@@ -93,7 +107,8 @@ def refresh_weather(spark: SparkSession, paths: LakePaths, latest: bool = False)
         return _report(spark, count, 0, 0, 0, 0, 0)
     new, gone, again = files.filter(is_new), files.filter(is_gone), 0
     found = _observations(spark, paths, new)
-    per_part = count_parts(found, WEATHER)
+    counted = _file_months(found)
+    per_part = _rows_by_part(counted)
     rows = found.drop(*FILE)
     # At most as many as the table's partitions.
     lost = sorted(row["part"] for row in gone.select(F.explode("parts").alias("part")).distinct().collect()) if n_gone else []
@@ -105,17 +120,16 @@ def refresh_weather(spark: SparkSession, paths: LakePaths, latest: bool = False)
     if kept:
         rows = rows.unionByName(only_parts(read_table(spark, paths, WEATHER), WEATHER, kept))
     changed = sorted({*per_part, *lost})
-    _note(spark, paths, folder, new, found, gone)
+    _note(spark, paths, folder, new, counted, gone)
     refresh_partitions(cleaning.latest_only(rows) if latest else rows, paths, WEATHER, changed, folder=folder)
     return _report(spark, count, n_new, n_gone, again, sum(per_part.values()), len(changed))
 
 
 def _note(
-    spark: SparkSession, paths: LakePaths, folder: str, files: DataFrame, found: DataFrame, gone: DataFrame | None
+    spark: SparkSession, paths: LakePaths, folder: str, files: DataFrame, counted: DataFrame, gone: DataFrame | None
 ) -> None:
     """Add the files of a run. They count once the folder is committed."""
-    part = F.concat(F.lit("year="), "year", F.lit("/month="), "month")
-    held = found.groupBy(*FILE).agg(F.collect_set(part).alias("parts"))
+    held = counted.groupBy(*FILE).agg(F.collect_set(_part()).alias("parts"))
     # What was read is as the scan saw it, should a file have come or changed since the listing; others gave no row.
     others = files.join(held, list(FILE), "left_anti").select(*FILE, F.lit(None).cast("array<string>").alias("parts"))
     rows = held.unionByName(others).withColumn("gone", F.lit(False))

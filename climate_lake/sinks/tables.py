@@ -38,13 +38,14 @@ def _commit(
     """Add the commit of a finished folder: its partitions with their files, bytes and rows, and ``parts`` left without."""
     table = paths.table(name)
     written = spark.read.schema(stored_schema(name)).option("basePath", table).parquet(f"{table}/{folder}")
-    place = F.regexp_extract("_metadata.file_path", rf"/{folder}/(?:(.*)/)?[^/]+$", 1)
     first = F.col("_metadata.row_index") == 0
-    found = written.groupBy(place.alias("partition")).agg(
+    # By the partition columns, which Spark takes from the folders: no path is taken apart for each row.
+    counted = written.groupBy(*TABLES[name].partitions).agg(
         F.count_if(first).alias("files"),
         F.sum(F.when(first, F.col("_metadata.file_size"))).alias("bytes"),
         F.count("*").alias("rows"),
     )
+    found = counted.filter("files > 0").select(_part(name).alias("partition"), "files", "bytes", "rows")
     # A row for the commit as such, and one for each partition that may have got no rows.
     marks = F.array(F.lit(None).cast("string"), *map(F.lit, parts or []))
     nothing = [F.lit(0).cast("bigint").alias(column) for column in ("files", "bytes", "rows")]

@@ -13,8 +13,11 @@ FILE = "path string, length bigint"
 
 def plain_path(uri: Column) -> Column:
     """The plain path of a file whose URI the scan's metadata or its index gives."""
-    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, "^file:/+", "file:/")
+    # Most names need no decoding, and scans ask for them row by row.
+    coded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    plain = F.when(uri.contains("%"), coded).otherwise(uri)
+    rest = F.ltrim(F.substr(plain, F.lit(len("file:") + 1)), F.lit("/"))
+    return F.when(plain.startswith("file:/"), F.concat(F.lit("file:/"), rest)).otherwise(plain)
 
 
 def stored_bytes(spark: SparkSession, *folders: str) -> int:
