@@ -30,6 +30,15 @@ MAX_BITS = 2
 DIRECT = 8192
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of unsigned 64-bit hashes, as a signed integer; 0 without any."""
+    counts = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        part = hashes[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """64-bit SimHash of a UTF-8 text, as a signed integer; 0 for a text without words."""
     words = (text or b"").lower().split()
@@ -106,18 +115,20 @@ def _replicas(batches, radius: int) -> Iterator[pa.RecordBatch]:
 
 
 def _star_edges(prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect what links of at most ``most`` bits connect, one per fingerprint that isn't a smallest."""
+    """Links of at most ``most`` bits that connect what all such links connect, one per fingerprint that isn't a smallest."""
     words, left = prints.view(np.uint64), np.arange(len(prints))
     first: list[np.ndarray] = []
     other: list[np.ndarray] = []
     while len(left) > 1:
-        root, front, left = left[0], left[:1], left[1:]
+        front, left = left[:1], left[1:]
         while len(front) and len(left):
-            near = np.zeros(len(left), bool)
+            near, linked = np.zeros(len(left), bool), np.zeros(len(left), np.int64)
             for one in front:
-                near |= np.bitwise_count(words[left] ^ words[one]) <= most
+                new = (np.bitwise_count(words[left] ^ words[one]) <= most) & ~near
+                linked[new] = prints[one]
+                near |= new
+            first.append(linked[near])
             front, left = left[near], left[~near]
-            first.append(np.full(len(front), prints[root]))
             other.append(prints[front])
     return _concatenated(first), _concatenated(other)
 
@@ -170,11 +181,16 @@ def _links(batches, most: int, direct: int) -> Iterator[pa.RecordBatch]:
         yield compared([np.concatenate(held)])
 
 
-def link_fingerprints(prints: DataFrame, most: int = MAX_BITS, direct: int = DIRECT) -> DataFrame:
-    """``node, root`` of distinct fingerprints ``fp`` that chains of links of at most ``most`` bits connect."""
+def near_fingerprints(prints: DataFrame, most: int = MAX_BITS, direct: int = DIRECT) -> DataFrame:
+    """``u, v``: links of at most ``most`` bits between distinct fingerprints ``fp`` that connect what all such links connect."""
     replicas = map_batches(prints.select("fp"), _replicas, "anchor long, fp long", radius=-(-most // 2))
     by_anchor = replicas.repartition("anchor").sortWithinPartitions("anchor", "fp")
-    return components(map_batches(by_anchor, _links, "u long, v long", most=most, direct=direct))
+    return map_batches(by_anchor, _links, "u long, v long", most=most, direct=direct)
+
+
+def link_fingerprints(prints: DataFrame, most: int = MAX_BITS, direct: int = DIRECT) -> DataFrame:
+    """``node, root`` of distinct fingerprints ``fp`` that chains of links of at most ``most`` bits connect."""
+    return components(near_fingerprints(prints, most, direct))
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
