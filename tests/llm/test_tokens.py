@@ -42,6 +42,12 @@ def test_full_memo_stays_right(monkeypatch):
     assert len(own.memo) <= 100
 
 
+def test_closing_marks_are_words_of_their_own():
+    own, texts = Encoder(tokenizer()), ["Arbre. arbre, arbre!\nárbol; árbol", None, " ", "x1: arbre.. 'arbre?", "日 arbre."]
+    assert own(texts) == own._whole([text or "" for text in texts])
+    assert set(own.memo) == {"arbre", "árbol", "x1", *".,!;:?", "arbre..", "'arbre", "日", "arbre."}
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 50_000), max_size=700), st.sampled_from([50.0, 90.0, 100.0]))
 def test_pack_round_trip(ids, percentile):
