@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import date, datetime
 
 from pyspark.errors import PySparkException
@@ -337,16 +337,18 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def landed_lake(spark: SparkSession, sf: str) -> LakePaths:
-    """A lake with raw documents and one snapshot of each relational table."""
+def landed_lake(spark: SparkSession, sf: str, tables: Collection[str] = TRUSTED_TABLES) -> LakePaths:
+    """A lake with raw documents and one snapshot of each relational table, where they are landed for one of ``tables``."""
     lake = _lake(spark, "lake")
-    land_documents(documents(spark, sf), lake.raw, EVALUATED_AT)
+    if "weather_data" in tables:
+        land_documents(documents(spark, sf), lake.raw, EVALUATED_AT)
     for name, text in [
         ("weather_stations", V.STATIONS),
         ("climate_events", V.EVENTS),
         ("weather_thresholds", V.THRESHOLDS),
     ]:
-        land_table(V.view(spark, sf, text), lake.raw, name, EVALUATED_AT)
+        if name in tables:
+            land_table(V.view(spark, sf, text), lake.raw, name, EVALUATED_AT)
     return lake
 
 
@@ -357,29 +359,23 @@ def lake_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_table(spark, lake, "annual_weather_summary"))
 
 
-_finished: dict[tuple, LakePaths] = {}
-
-
 def input_files(spark: SparkSession, sf: str) -> tuple:
-    """Path, time and size of the files that a lake's inputs are drawn from."""
+    """Path, time and size of the files that a lake's inputs are drawn from: tells whether a kept lake is still theirs."""
     paths = [f"{sf}/{name}.parquet" for name in ("lineitem", "nation", "events", "part")]
     files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
     return tuple(sorted(map(tuple, files.collect())))
 
 
-def finished_lake(spark: SparkSession, sf: str) -> LakePaths:
-    """A lake after all jobs, built once per application and state of the input: the queries below read a table each."""
-    key = (spark.sparkContext.applicationId, sf, input_files(spark, sf))
-    if key not in _finished:
-        lake = landed_lake(spark, sf)
-        pipeline.run(spark, lake, EVALUATED_AT)
-        _finished[key] = lake
-    return _finished[key]
+def lake_of(spark: SparkSession, sf: str, name: str) -> LakePaths:
+    """A new lake with one table and all that it is made from, landed and run: whoever asks, and whenever, pays the same."""
+    lake = landed_lake(spark, sf, pipeline.needed_for(name))
+    pipeline.run(spark, lake, EVALUATED_AT, only=[name])
+    return lake
 
 
 def lake_table(name: str) -> Query:
-    """One table of a finished lake."""
-    return lambda spark, sf: rounded(read_table(spark, finished_lake(spark, sf), name))
+    """One table of a lake, from the inputs on."""
+    return lambda spark, sf: rounded(read_table(spark, lake_of(spark, sf, name), name))
 
 
 def fetched_parts(spark: SparkSession, sf: str) -> list[DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from climate_lake.__main__ import main
 from climate_lake.operators import model, quality
 from climate_lake.plans import pipeline, report
+from climate_lake.plans.incremental import stored_tables
 from climate_lake.schemas import TABLES
 from climate_lake.session import materialise
 from climate_lake.sinks import catalog
@@ -285,3 +286,17 @@ def test_errors_equal_sql_over_the_stored_predictions(spark, duck):
         assert one[:3] == other[:3] and one[3:] == pytest.approx(other[3:])
     whole = model.prediction_errors(stored).first()
     assert whole.rmse == pytest.approx(model.evaluate(model.train(training), test))
+
+
+def test_only_what_a_table_is_made_from(spark, tmp_path):
+    build_raw(tmp_path / "raw")
+    paths = LakePaths(str(tmp_path))
+    steps = pipeline.run(spark, paths, AS_OF, only=["temperature_trends_monthly"])
+    assert [row.step for row in steps.collect()] == ["etl", "analytics"]
+    made = {"weather_data", "weather_stations", "integrated_weather_data", "trend_state", "temperature_trends_monthly"}
+    assert made == pipeline.needed_for("temperature_trends_monthly") == set(stored_tables(spark, paths))
+    assert read_table(spark, paths, "temperature_trends_monthly").count() == 3
+    with pytest.raises(ValueError):
+        pipeline.run(spark, paths, AS_OF, only=["unknown"])
+    # What the jobs write is what they say, together all tables.
+    assert {*pipeline.ETL, *pipeline.ANALYTICS, *pipeline.CLIMATOLOGY} == TABLES.keys()

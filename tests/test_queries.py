@@ -56,3 +56,18 @@ def test_a_rewritten_input_is_another_lake(spark, tmp_path):
     assert before == plan_queries.input_files(spark, str(tmp_path)) and len(before) >= 4
     spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
     assert before != plan_queries.input_files(spark, str(tmp_path))
+
+
+def test_a_lake_table_costs_the_same_whoever_asked_before(spark, sf_dir, monkeypatch):
+    landed, run = [], []
+    monkeypatch.setattr(plan_queries, "land_documents", lambda *_: landed.append("documents"))
+    monkeypatch.setattr(plan_queries, "land_table", lambda _, raw, name, at: landed.append(name))
+    monkeypatch.setattr(plan_queries.pipeline, "run", lambda *_, only: run.extend(only))
+    monkeypatch.setattr(plan_queries, "read_table", lambda *_: spark.range(1))
+    # Each builds its own: the second does what the first has done.
+    for _ in range(2):
+        QUERIES["lake_weather_data"](spark, sf_dir)
+    assert (landed, run) == (["documents"] * 2, ["weather_data"] * 2)
+    QUERIES["lake_climate_events"](spark, sf_dir)
+    QUERIES["lake_temperature_trends_monthly"](spark, sf_dir)
+    assert landed[2:] == ["climate_events", "documents", "weather_stations"]
