@@ -11,7 +11,6 @@ from climate_lake.functions.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
     ROWS_PER_SPLIT,
-    dimension_join,
     fits_broadcast,
     key_counts,
     lookup_join,
@@ -26,6 +25,8 @@ CELL = COORDINATE_TOLERANCE * 1.1
 # A station is listed in its own cell and the eight around it.
 CELL_COPIES = 9
 LOCATION = ["city_name", "latitude", "longitude"]
+# Stations of one location up to which joined rows are left in the tasks that read the observations.
+IN_PLACE_COPIES = 4
 
 
 def _cell(coordinate: str) -> Column:
@@ -105,9 +106,27 @@ def integrate_stations(
     broadcast and the observations are not shuffled, too many of them are
     joined by a salted shuffle.
     """
+    return integrate_in_place(observations, stations, broadcast_rows, rows_per_split)[0]
+
+
+def integrate_in_place(
+    observations: DataFrame,
+    stations: DataFrame | None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> tuple[DataFrame, bool]:
+    """``integrate_stations``, and whether its rows stay where the observations are.
+
+    They do if the observations are not shuffled and no location has so many
+    stations that a task would give many times the rows that it reads.
+    """
     if stations is None:
-        return without_stations(observations)
+        return without_stations(observations), True
     locations = materialise(key_counts(observations, LOCATION), "locations")
     places = locations.select(*LOCATION)
     matches = materialise(station_matches(places, stations, broadcast_rows, rows_per_split), "station-matches")
-    return dimension_join(observations, matches, LOCATION, "left", True, broadcast_rows, rows_per_split, locations)
+    if not fits_broadcast(matches, broadcast_rows):
+        joined = salted_join(observations, matches, LOCATION, "left", True, rows_per_split, left_counts=locations)
+        return joined, False
+    most = key_counts(matches, LOCATION).agg(F.max("rows").alias("rows")).first()["rows"] or 0
+    return lookup_join(observations, matches, LOCATION, "left", True), most <= IN_PLACE_COPIES

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from climate_lake.functions.columns import ExtremeLimits
 from climate_lake.operators import cleaning, trend_state
 from climate_lake.operators.flatten import flatten_daily
-from climate_lake.operators.integrate import integrate_stations
+from climate_lake.operators.integrate import integrate_in_place, integrate_stations
 from climate_lake.schemas import TABLES
 from climate_lake.session import materialise
 from climate_lake.sinks.tables import (
@@ -154,8 +154,8 @@ def refresh_integrated(spark: SparkSession, paths: LakePaths, stations: DataFram
     upstream, own = (commits.read_log(spark, paths.root, name) for name in (WEATHER, INTEGRATED))
     parts = None if everything else upstream.changed_since(own.source)
     if parts is None:
-        rows = integrate_stations(read_table(spark, paths, WEATHER), stations)
-        write_table(rows, paths, INTEGRATED, source=upstream.version)
+        rows, in_place = integrate_in_place(read_table(spark, paths, WEATHER), stations)
+        write_table(rows, paths, INTEGRATED, source=upstream.version, in_place=in_place)
     elif parts:
         rows = integrate_stations(only_parts(read_table(spark, paths, WEATHER), WEATHER, parts), stations)
         refresh_partitions(rows, paths, INTEGRATED, parts, source=upstream.version)

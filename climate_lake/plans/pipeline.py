@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from climate_lake.functions.columns import ExtremeLimits
 from climate_lake.operators import cleaning, climatology, trend_state
 from climate_lake.operators.flatten import flatten_daily
-from climate_lake.operators.integrate import integrate_stations
+from climate_lake.operators.integrate import integrate_in_place
 from climate_lake.session import materialise
 from climate_lake.sinks.tables import write_table, write_table_if_any
 from climate_lake.sources.raw import read_documents, read_snapshots
@@ -76,10 +76,11 @@ def run_etl(
     if "weather_thresholds" in only:
         write_table_if_any(cleaning.clean_thresholds(snapshot("weather_thresholds")), paths, "weather_thresholds")
     if "integrated_weather_data" in only:
-        integrated = integrate_stations(
+        # Both tables have the same partitions.
+        integrated, in_place = integrate_in_place(
             read_table(spark, paths, "weather_data"), read_table_if_present(spark, paths, "weather_stations")
         )
-        write_table(integrated, paths, "integrated_weather_data")
+        write_table(integrated, paths, "integrated_weather_data", in_place=in_place)
 
 
 def run_analytics(

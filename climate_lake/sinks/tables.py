@@ -13,19 +13,22 @@ from climate_lake.sources import commits
 from climate_lake.sources.tables import LakePaths, read_table, read_table_if_present, stored_schema
 
 
-def _write(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
+def _write(df: DataFrame, path: str, name: str, mode: str = "errorifexists", in_place: bool = False) -> None:
     """Write rows in a table's partition layout.
 
     A partitioned table is rebalanced on its partition columns first: adaptive
     execution merges small partitions and cuts large ones, so a month that
     holds most of the data is written by many tasks and a small one gives a
     single file. Rows are ordered inside each file, which also makes the
-    narrow row-group statistics that point reads skip by.
+    narrow row-group statistics that point reads skip by. Rows that are read,
+    unshuffled, from a table with the same partitions may stay ``in_place``:
+    their tasks hold a few whole files or pieces of a large one each.
     """
     table = TABLES[name]
     rows = df.select(*table.schema.fieldNames())
     if table.partitions:
-        rows = rows.hint("rebalance", *table.partitions).sortWithinPartitions(*table.partitions, *table.sort)
+        placed = rows if in_place else rows.hint("rebalance", *table.partitions)
+        rows = placed.sortWithinPartitions(*table.partitions, *table.sort)
     writer = rows.write.mode(mode)
     if table.partitions:
         writer = writer.partitionBy(*table.partitions)
@@ -71,11 +74,18 @@ def new_folder() -> str:
 
 
 def write_table(
-    df: DataFrame, paths: LakePaths, name: str, mode: str = "overwrite", source: int | None = None, folder: str | None = None
+    df: DataFrame,
+    paths: LakePaths,
+    name: str,
+    mode: str = "overwrite",
+    source: int | None = None,
+    folder: str | None = None,
+    in_place: bool = False,
 ) -> None:
     """Overwrite a zone table or append to it. Until the whole write is done, and if it fails, readers see the old rows.
 
     The new rows may be computed from the table itself. The folders of earlier writes stay until ``expire_versions``.
+    An overwrite ``in_place`` doesn't shuffle rows that lie as the table's partitions do.
     """
     spark = df.sparkSession
     if mode == "append":
@@ -84,7 +94,7 @@ def write_table(
     if mode != "overwrite":
         raise ValueError("mode is overwrite or append")
     folder = folder or new_folder()
-    _write(df, f"{paths.table(name)}/{folder}", name)
+    _write(df, f"{paths.table(name)}/{folder}", name, in_place=in_place)
     _commit(spark, paths, name, commits.OVERWRITE, folder, None, source)
 
 

@@ -5,8 +5,13 @@ from collections import Counter
 
 import pytest
 
-from climate_lake.operators.integrate import integrate_stations
+from climate_lake.operators.cleaning import clean_observations
+from climate_lake.operators.integrate import integrate_in_place, integrate_stations
+from climate_lake.plans import pipeline
 from climate_lake.schemas import RAW_STATIONS
+from climate_lake.sinks.tables import write_table
+from climate_lake.sources.files import list_files
+from climate_lake.sources.tables import read_table
 
 FORMS = {
     "broadcast": {},
@@ -111,3 +116,40 @@ def test_few_matches_need_no_shuffle_of_observations(spark, plan):
     text = plan(integrate_stations(observations, spark.createDataFrame([station(1, "a", 1.0, 1.0)], RAW_STATIONS)))
     assert "NestedLoop" not in text and "SortMergeJoin" not in text
     assert "Exchange hashpartitioning(city_name" not in text
+
+
+def test_written_where_the_observations_lie(spark, lake, monkeypatch, plan):
+    """The joined table is written without a shuffle, in no more files than the observations, and is the same."""
+    rows = spark.range(4000, numPartitions=4).selectExpr(
+        "concat('C', id % 3) as city_name", "4d as latitude", "cast(id % 3 as double) as longitude",
+        "date'2025-01-01' + cast(id % 90 as int) as date", "cast(id as double) as temp_max", "0d as temp_min",
+        "0d as precipitation", "0d as wind_speed", "50d as humidity", "'t' as ingestion_timestamp", "'api' as data_source",
+    )
+    write_table(clean_observations(rows), lake, "weather_data")
+    stations = [station(1, "C0", 50.0, 50.0), station(2, "Other", 4.01, 0.01), station(3, "C1", 50.0, 50.0)]
+    write_table(spark.createDataFrame(stations, RAW_STATIONS), lake, "weather_stations")
+    written, write = [], pipeline.write_table
+    monkeypatch.setattr(pipeline, "write_table", lambda df, *a, **b: (written.append(b), write(df, *a, **b)))
+    pipeline.run_etl(spark, lake, only=["integrated_weather_data"])
+    assert written == [{"in_place": True}]
+    found = read_table(spark, lake, "integrated_weather_data")
+    expected, same = integrate_in_place(
+        read_table(spark, lake, "weather_data"), spark.createDataFrame(stations, RAW_STATIONS)
+    )
+    assert same and "Exchange hash" not in plan(expected)
+    wanted = sorted(tuple(row) for row in expected.select(found.columns).na.fill("").na.fill(-1).collect())
+    assert sorted(tuple(row) for row in found.na.fill("").na.fill(-1).collect()) == wanted and len(wanted) == 4000 + 1334
+
+    def files(name):
+        return list_files(spark, lake.table(name)).filter("path like '%.parquet'").count()
+
+    assert files("integrated_weather_data") <= files("weather_data")
+
+
+def test_many_stations_of_a_location_are_spread(spark):
+    """Rows that grow many times by the join, or that it shuffles, are not left in place."""
+    seen = spark.createDataFrame([("Cali", 3.45, -76.53, 1.0)] * 3, OBSERVED)
+    few, many = ([station(k, "Cali", 1.0, 1.0) for k in range(n)] for n in (4, 5))
+    for stations, form, stays in [(few, "broadcast", True), (many, "broadcast", False), (few, "shuffle", False)]:
+        rows, in_place = integrate_in_place(seen, spark.createDataFrame(stations, RAW_STATIONS), **FORMS[form])
+        assert (rows.count(), in_place) == (3 * len(stations), stays)
