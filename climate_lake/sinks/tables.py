@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,25 @@ from climate_lake.sources import commits
 from climate_lake.sources.tables import LakePaths, read_table, read_table_if_present, stored_schema
 
 
+# Partitions that one task writes at a time where rows are not sorted by them. Rows of further ones are sorted.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+MOST_WRITERS = 32
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes that don't sort the rows of their tasks, for its duration."""
+    before = spark.conf.get(WRITERS, None)
+    spark.conf.set(WRITERS, str(MOST_WRITERS))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(WRITERS)
+        else:
+            spark.conf.set(WRITERS, before)
+
+
 def _write(df: DataFrame, path: str, name: str, mode: str = "errorifexists", in_place: bool = False) -> None:
     """Write rows in a table's partition layout.
 
@@ -22,17 +43,19 @@ def _write(df: DataFrame, path: str, name: str, mode: str = "errorifexists", in_
     single file. Rows are ordered inside each file, which also makes the
     narrow row-group statistics that point reads skip by. Rows that are read,
     unshuffled, from a table with the same partitions may stay ``in_place``:
-    their tasks hold a few whole files or pieces of a large one each.
+    their tasks hold a few whole files or pieces of a large one each, in the
+    order of the files. Such a task is as large as a scan allows, which is many
+    times its memory: its rows are not sorted again.
     """
     table = TABLES[name]
     rows = df.select(*table.schema.fieldNames())
-    if table.partitions:
-        placed = rows if in_place else rows.hint("rebalance", *table.partitions)
-        rows = placed.sortWithinPartitions(*table.partitions, *table.sort)
+    if table.partitions and not in_place:
+        rows = rows.hint("rebalance", *table.partitions).sortWithinPartitions(*table.partitions, *table.sort)
     writer = rows.write.mode(mode)
     if table.partitions:
         writer = writer.partitionBy(*table.partitions)
-    writer.parquet(path)
+    with _unsorted(df.sparkSession) if in_place else nullcontext():
+        writer.parquet(path)
 
 
 def _commit(
@@ -85,7 +108,7 @@ def write_table(
     """Overwrite a zone table or append to it. Until the whole write is done, and if it fails, readers see the old rows.
 
     The new rows may be computed from the table itself. The folders of earlier writes stay until ``expire_versions``.
-    An overwrite ``in_place`` doesn't shuffle rows that lie as the table's partitions do.
+    An overwrite ``in_place`` neither shuffles nor sorts rows that lie as the table's partitions do.
     """
     spark = df.sparkSession
     if mode == "append":

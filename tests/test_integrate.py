@@ -153,3 +153,22 @@ def test_many_stations_of_a_location_are_spread(spark):
     for stations, form, stays in [(few, "broadcast", True), (many, "broadcast", False), (few, "shuffle", False)]:
         rows, in_place = integrate_in_place(seen, spark.createDataFrame(stations, RAW_STATIONS), **FORMS[form])
         assert (rows.count(), in_place) == (3 * len(stations), stays)
+
+
+def test_rows_in_place_are_not_sorted_again(spark, lake):
+    """A task's rows may be many times its memory: they are written in the order they come, several partitions at a time."""
+    rows = clean_observations(
+        spark.range(0, 3000, numPartitions=1).selectExpr(
+            "concat('C', id % 3) as city_name", "4d as latitude", "5d as longitude",
+            "date'2025-01-01' + cast(id % 90 as int) as date", "cast(3000 - id as double) as temp_max", "0d as temp_min",
+            "0d as precipitation", "0d as wind_speed", "50d as humidity", "'t' as ingestion_timestamp", "'api' as data_source",
+        )
+    )
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_table(rows, lake, "weather_data", in_place=True)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    parts = read_table(spark, lake, "weather_data").coalesce(1).select("year", "month", "temp_max").collect()
+    assert len(parts) == 3000
+    for month in (1, 2, 3):
+        temps = [row["temp_max"] for row in parts if row["month"] == month]
+        assert temps == sorted(temps, reverse=True) and len(temps) >= 900
