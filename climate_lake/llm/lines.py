@@ -302,10 +302,10 @@ class LineStore:
         ``refs`` are the references of these documents if they are at hand. Null texts stay null and have one empty
         line; documents without doc_id hold no keys and stay whole; input columns named like added ones are replaced.
         """
-        columns = [name for name in documents.columns if name not in ("n_lines", "n_dropped", "_drop", "_of")]
+        columns = [name for name in documents.columns if name not in ("n_lines", "n_dropped", "_drop")]
         drops = self.dropped(self.keys(documents) if refs is None else refs)
-        lists = drops.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_set(F.struct("k1", "k2")).alias("_drop"))
-        rows = documents.select(columns).join(lists, F.col("doc_id") == F.col("_of"), "left").select(*columns, "_drop")
+        lists = drops.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("_drop"))
+        rows = documents.select(columns).join(lists, "doc_id", "left").select(*columns, "_drop")
         fields = ", ".join(f"`{name}` {kind}" for name, kind in documents.select(columns).dtypes)
         return map_batches(rows, _dropped, f"{fields}, n_lines long, n_dropped long", min_chars=self.min_chars)
 
